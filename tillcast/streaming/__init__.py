@@ -1,0 +1,5 @@
+"""Left empty on purpose.
+
+The workload is batch only: no reader, window, watermark or state to carry over. Its incremental steps are the
+backlog anti join (``operators.scoring.backlog``) and the append sinks (``sources.sinks``).
+"""
