@@ -1,0 +1,169 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast.contracts import LEGACY_PREDICTIONS, METRICS, PREDICTIONS, REVENUE
+from tillcast.functions.text import any_pair_matches
+from tillcast.operators import monitoring, scoring
+from tillcast.operators.regression import LinearModel
+from tillcast.plans import prediction
+from tillcast.plans.monitoring import add_metrics
+from tillcast.sources.tables import literal_rows
+
+FLAT = LinearModel(True, True, 1, 16.0, (0.0, 0.0))
+
+
+@pytest.fixture
+def table(spark, schema, revenue):
+    """Predictions of the flat model for the whole backlog of the example."""
+    name = f"{schema}.predictions"
+    prediction.predict_backlog(spark, revenue, name, FLAT, "models:/m/1")
+    return name
+
+
+def test_example_backlog(spark, revenue, rows, day):
+    empty = spark.createDataFrame([], PREDICTIONS)
+    assert rows(scoring.backlog(revenue, empty).select("clientID", "nextMonth", "revenueLastMonth")) == [
+        (1, day(2), 15),
+        (1, day(3), 12),
+        (2, day(4), 7),
+        (3, day(5), 24),
+        (3, day(6), 16),
+        (3, day(7), 16),
+    ]
+
+
+def test_backlog_is_empty_after_appending(spark, revenue, table):
+    stored = spark.table(table)
+    assert stored.count() == 6
+    assert [f.dataType.simpleString() for f in stored.schema] == ["int", "date", "float", "string"]
+    assert scoring.backlog(revenue, stored).count() == 0
+    prediction.predict_backlog(spark, revenue, table, FLAT, "models:/m/2")
+    assert spark.table(table).count() == 6
+
+
+def test_partitioned_predictions(spark, revenue, schema):
+    name = f"{schema}.by_month"
+    prediction.predict_backlog(spark, revenue, name, FLAT, "models:/m/1", partition_by=("month",))
+    assert spark.table(name).count() == 6
+    assert scoring.backlog(revenue, spark.table(name)).count() == 0
+
+
+def test_legacy_rebuild_replaces_the_table(spark, revenue, schema, rows):
+    name = f"{schema}.legacy"
+    model = LinearModel(True, False, 0, 0.0, (1.0, 0.0, 100.0))
+    for _ in range(2):
+        prediction.rebuild_predictions(spark, revenue, name, model)
+    stored = spark.table(name)
+    assert stored.schema.simpleString() == spark.createDataFrame([], LEGACY_PREDICTIONS).schema.simpleString()
+    assert rows(stored)[0] == (1, dt.date(2025, 1, 1), 101.0) and stored.count() == 6
+
+
+def test_example_metrics(spark, revenue, table, schema, rows, day):
+    metrics = f"{schema}.metrics"
+    expected = (day(6), 0.0, 0.0, 0.0, 0.0, "models:/m/1")
+    add_metrics(revenue, spark.table(table), metrics)
+    assert rows(spark.table(metrics)) == [expected]
+    add_metrics(revenue, spark.table(table), metrics, if_absent=True)
+    assert rows(spark.table(metrics)) == [expected]
+    add_metrics(revenue, spark.table(table), metrics)
+    assert rows(spark.table(metrics)) == [expected, expected]
+    message = monitoring.should_retrain(spark.table(metrics), 99999999)
+    assert message == '{"should_retrain":false}'
+
+
+def test_no_metrics_without_predictions_for_the_newest_month(spark, revenue, day):
+    for data in ([], [(3, day(5), 16.0, "models:/m/1")]):
+        predictions = literal_rows(spark, data, PREDICTIONS)
+        assert monitoring.monitor_metrics(revenue, predictions).count() == 0
+
+
+def four_step_metrics(spark, revenue, predictions):
+    """The metrics row the long way: one query per figure."""
+    revenue.createOrReplaceTempView("mr")
+    predictions.createOrReplaceTempView("mp")
+    rmse = "sqrt(avg(power(cast(r.revenue as double) - cast(p.predictedRevenue as double), 2)))"
+    worst = "max(abs(cast(r.revenue as double) - cast(p.predictedRevenue as double)))"
+
+    def over(back, frame, value):
+        return f"""(SELECT {value} FROM mr r LEFT JOIN {frame} p ON p.clientID = r.clientID AND p.month = r.month
+                    WHERE r.month >= (SELECT add_months(max(month), -{back}) FROM mr))"""
+
+    return spark.sql(f"""
+        WITH latest AS (SELECT modelURI FROM mp ORDER BY month DESC, modelURI NULLS LAST LIMIT 1),
+        lp AS (SELECT clientID, month, CASE WHEN (SELECT modelURI FROM latest) != modelURI THEN NULL
+                                            ELSE predictedRevenue END AS predictedRevenue
+               FROM mp WHERE month > (SELECT add_months(max(month), -3) FROM mp))
+        SELECT {over(0, 'mp', 'max(r.month)')} AS month, {over(0, 'mp', rmse)} AS RMSE_1,
+               {over(1, 'lp', rmse)} AS RMSE_2, {over(2, 'lp', rmse)} AS RMSE_3,
+               {over(0, 'mp', worst)} AS maxErrorLastMonth, (SELECT modelURI FROM latest) AS modelURI""")
+
+
+@pytest.mark.parametrize("uris", [("a", "a", "a", "a"), ("a", "b", "b", "b"), ("b", None, "a", "b"), ("a", "a", "b", None)])
+@pytest.mark.parametrize("ahead", [0, 1])
+def test_metrics_equal_the_four_queries(spark, day, uris, ahead):
+    """Model changes, NULL URIs, repeated predictions, clients without one, and predictions a month ahead."""
+    revenue = literal_rows(
+        spark, [(c, day(m), 100 * c + 7 * m) for c in range(1, 6) for m in range(1, 6) if (c, m) != (2, 5)], REVENUE
+    )
+    data = [
+        (c, day(m + ahead), 100.0 * c + 5 * m * c, uri)
+        for m, uri in zip(range(2, 6), uris)
+        for c in range(1, 5)
+    ]
+    predictions = literal_rows(spark, [*data, *data[:3]], PREDICTIONS)
+    found = monitoring.monitor_metrics(revenue, predictions).collect()
+    expected = four_step_metrics(spark, revenue, predictions).collect()
+    for ours, theirs in zip(found, expected, strict=True):
+        assert ours.asDict() == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in theirs.asDict().items()}
+
+
+def test_null_uri_keeps_its_prediction(spark, rows, day):
+    predictions = literal_rows(
+        spark, [(1, day(5), 1.0, None), (2, day(5), 2.0, "models:/m/1"), (1, day(6), 3.0, "models:/m/2")], PREDICTIONS
+    )
+    assert rows(monitoring.latest_model_predictions(predictions)) == [
+        (1, day(5), 1.0),
+        (1, day(6), 3.0),
+        (2, day(5), None),
+    ]
+
+
+def test_two_models_in_the_newest_month(spark, day):
+    predictions = literal_rows(spark, [(1, day(6), 1.0, "models:/m/2"), (2, day(6), 1.0, "models:/m/1")], PREDICTIONS)
+    assert monitoring.latest_model_uri(predictions).first().modelURI == "models:/m/1"
+
+
+@pytest.mark.parametrize(
+    "newest,threshold,expected",
+    [(5.0, 4, True), (5.0, 5, False), (5.0, "4.5", True), (None, 1, False), (float("nan"), 1, False)],
+)
+def test_gate(spark, day, newest, threshold, expected):
+    metrics = literal_rows(
+        spark, [(day(1), 900.0, 1.0, 1.0, 1.0, "u"), (day(2), newest, 1.0, 1.0, 1.0, "u")], METRICS
+    )
+    assert monitoring.should_retrain(metrics, threshold) == f'{{"should_retrain":{str(expected).lower()}}}'
+
+
+def test_gate_without_metrics(spark):
+    with pytest.raises(ValueError, match="empty"):
+        monitoring.should_retrain(spark.createDataFrame([], METRICS), 1)
+
+
+@pytest.mark.parametrize(
+    "message,wanted,expected",
+    [
+        ('{"should_retrain":true}', {"should_retrain": True}, True),
+        ('{"should_retrain":false}', {"should_retrain": True}, False),
+        ('{"a":1,"b":"x"}', {"a": 2, "b": "x"}, True),
+        ('{"a":1}', {"b": 1}, False),
+        ('{"a":"true"}', {"a": True}, False),
+        ('{"a":1.5}', {"a": 1.5}, True),
+        ('{"a":1}', None, False),
+        ('{"a":1}', {}, False),
+    ],
+)
+def test_any_pair_matches(spark, message, wanted, expected):
+    frame = spark.range(1).select(any_pair_matches(F.lit(message), wanted).alias("go"))
+    assert frame.first().go is expected

@@ -1,0 +1,86 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast.contracts import FACT_SALES, PRODUCTS, SALES, table_name
+from tillcast.operators import warehouse
+from tillcast.plans.warehouse import write_warehouse
+from tillcast.session import new_folder
+from tillcast.sources.literals import example_source
+from tillcast.sources.tables import literal_rows, stack_by_position
+
+
+def test_example_warehouse(example, rows, day):
+    assert example["raw_sales"].count() == 12
+    assert example["dim_clients"].count() == 3
+    assert example["dim_products"].count() == 2
+    assert example["fact_sales"].count() == 12
+    assert example["fact_sales"].agg(F.sum("totalPrice")).first()[0] == 90
+    assert rows(example["fact_clients_total_revenue"]) == [
+        (1, day(1), 15),
+        (1, day(2), 12),
+        (2, day(3), 7),
+        (3, day(4), 24),
+        (3, day(5), 16),
+        (3, day(6), 16),
+    ]
+
+
+def test_types_follow_the_contract(example):
+    found = {f.name: f.dataType.simpleString() for f in example["fact_sales"].schema}
+    assert found == dict(part.split() for part in FACT_SALES.split(", "))
+    revenue = {f.name: f.dataType.simpleString() for f in example["fact_clients_total_revenue"].schema}
+    assert revenue == {"clientID": "int", "month": "date", "revenue": "bigint"}
+
+
+def test_conflicting_price_duplicates_the_sales(spark, day):
+    first = literal_rows(spark, [(1, "p", 1)], PRODUCTS)
+    second = literal_rows(spark, [(1, "p", 3)], PRODUCTS)
+    products = warehouse.dim_products(first, second)
+    assert products.count() == 2
+    sales = literal_rows(spark, [(1, 1, day(1), 2)], SALES)
+    fact = warehouse.fact_sales(sales, products)
+    assert sorted(r.totalPrice for r in fact.collect()) == [2, 6]
+
+
+def test_missing_product_gives_null(spark, rows, day):
+    products = literal_rows(spark, [(1, "p", 1)], PRODUCTS)
+    sales = literal_rows(spark, [(1, 9, day(1), 2), (1, 9, day(2), 2), (1, 1, day(2), 5)], SALES)
+    fact = warehouse.fact_sales(sales, products)
+    assert fact.where("totalPrice is null").count() == 2
+    assert rows(warehouse.clients_total_revenue(fact)) == [(1, day(1), None), (1, day(2), 5)]
+
+
+def test_overflow_is_an_error(spark, day):
+    products = literal_rows(spark, [(1, "p", 2147483647)], PRODUCTS)
+    sales = literal_rows(spark, [(1, 1, day(1), 2)], SALES)
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        warehouse.fact_sales(sales, products).collect()
+
+
+def test_month_is_the_first_day(spark, rows):
+    products = literal_rows(spark, [(1, "p", 1)], PRODUCTS)
+    sales = literal_rows(spark, [(1, 1, dt.date(2024, 2, 29), 2), (1, 1, dt.date(2024, 2, 1), 3)], SALES)
+    fact = warehouse.fact_sales(sales, products)
+    assert rows(warehouse.clients_total_revenue(fact)) == [(1, dt.date(2024, 2, 1), 5)]
+
+
+def test_stack_by_position_takes_the_first_names(spark):
+    first = literal_rows(spark, [(1, "a")], "x int, y string")
+    second = literal_rows(spark, [(2, "b")], "y int, x string")
+    assert sorted(map(tuple, stack_by_position(first, second).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_written_warehouse_is_rebuilt_whole(spark, rows, example):
+    sources = [example_source(spark, 1), example_source(spark, 2)]
+    prefix = "w1_"
+    root = new_folder(spark, prefix)
+    for _ in range(2):
+        written = write_warehouse(spark, sources, prefix, root, partition_revenue_by=("month",))
+    assert rows(written["fact_clients_total_revenue"].select("clientID", "month", "revenue")) == rows(
+        example["fact_clients_total_revenue"]
+    )
+    table = spark.table(table_name("fact_clients_total_revenue", prefix))
+    assert table.schema["month"].dataType.simpleString() == "date"
+    assert spark.table(table_name("raw_sales", prefix)).count() == 12

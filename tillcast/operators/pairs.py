@@ -20,7 +20,7 @@ def _pair_up(revenue: DataFrame) -> DataFrame:
     A second row for the same client and month would break that reasoning and fails the job.
     """
     following = Window.partitionBy("clientID").orderBy("month")
-    repeated = F.raise_error(F.lit("revenue holds two rows for one clientID and month"))
+    repeated = F.raise_error(F.lit("revenue holds two rows for one clientID and month")).cast("boolean")
     return (
         revenue.where(F.col("clientID").isNotNull() & F.col("month").isNotNull())
         .select(
@@ -29,12 +29,15 @@ def _pair_up(revenue: DataFrame) -> DataFrame:
             F.lead("month").over(following).alias("nextMonth"),
             F.col("revenue").alias("revenueLastMonth"),
             F.lead("revenue").over(following).alias("revenue"),
+            F.row_number().over(following).alias("_row"),
+            F.dense_rank().over(following).alias("_month"),
         )
         .where(
-            F.when(F.col("nextMonth") == F.col("month"), repeated.cast("boolean")).otherwise(
+            F.when(F.col("_row") > F.col("_month"), repeated).otherwise(
                 F.col("nextMonth") == shift_months(F.col("month"))
             )
         )
+        .drop("_row", "_month")
     )
 
 
