@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.dates import epoch_ms_value
 from tillcast.functions.text import registered_uri
+from tillcast.session import stage
 
 # Lifecycle and stage names, tag keys.
 ACTIVE, DELETED = "active", "deleted"
@@ -91,8 +92,8 @@ def runs_of_experiments(ledger: Ledger, experiments: DataFrame, view: str = ACTI
 
 
 def run_by_id(ledger: Ledger, run_ids: DataFrame) -> DataFrame:
-    """Runs, deleted ones too, of a frame of distinct ``run_uuid``."""
-    return ledger.runs.join(run_ids.select("run_uuid"), "run_uuid", "left_semi")
+    """Runs, deleted ones too, of a frame with ``run_uuid``."""
+    return ledger.runs.join(run_ids.select("run_uuid").distinct(), "run_uuid", "left_semi")
 
 
 def runs_after(runs: DataFrame, moment: dt.datetime) -> DataFrame:
@@ -139,18 +140,15 @@ def best_runs(ledger: Ledger, runs: DataFrame, metrics: dict[str, str]) -> DataF
     """Best run of each experiment and the URI of its model: the evaluated one, else the created one.
 
     The winner is a minimum over a struct of sort keys, which is partly computed before the shuffle: no experiment's
-    runs gather in one task. Tags are read for the winners only.
+    runs gather in one task. The winners, one row per experiment, are stored; tags are then read for them only.
     """
     rank = [c.alias(f"k{i}") for i, c in enumerate([*_rank_columns(metrics), F.col("run_uuid")])]
     kept = ["run_uuid", *[f"metrics_{key}" for key in metrics]]
     measured = runs.select("run_uuid", "experiment_id").join(
         _wide(ledger.latest_metrics, list(metrics), "metrics_"), "run_uuid", "left"
     )
-    best = (
-        measured.groupBy("experiment_id")
-        .agg(F.min_by(F.struct(*kept), F.struct(*rank)).alias("best"))
-        .select("experiment_id", "best.*")
-    )
+    winner = F.min_by(F.struct(*kept), F.struct(*rank)).alias("best")
+    best = stage(measured.groupBy("experiment_id").agg(winner).select("experiment_id", "best.*"), "best-runs")
     tags = _wide(
         ledger.tags.join(best.select("run_uuid"), "run_uuid", "left_semi"), [EVALUATED, CREATED], "tags_"
     )
@@ -208,7 +206,10 @@ def versions_by_name(ledger: Ledger, names: DataFrame) -> DataFrame:
 
 def registered_with_aliases(ledger: Ledger, view: str = ACTIVE) -> DataFrame:
     """Registered models and their aliases, one row per alias; a model without any keeps a row."""
-    return by_view(ledger.registered_models, view).join(ledger.aliases, "name", "left")
+    models = by_view(ledger.registered_models, view)
+    bare = models.join(ledger.aliases.select("name").distinct(), "name", "left_anti")
+    # Not one left join: a name with very many aliases is split over tasks by an inner join only.
+    return ledger.aliases.join(models, "name").unionByName(bare, allowMissingColumns=True)
 
 
 def registered_names(ledger: Ledger, run_ids: DataFrame) -> DataFrame:

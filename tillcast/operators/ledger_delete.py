@@ -20,11 +20,12 @@ from tillcast.operators.ledger import (
     experiment_id,
     registered_names,
 )
+from tillcast.session import stage
 
 
 def _mark(df: DataFrame, ids: DataFrame, key: str, column: str, value: Column) -> DataFrame:
-    """``df`` with ``column`` set to ``value`` in the rows whose ``key`` is in ``ids``."""
-    marked = ids.select(key).distinct().withColumn("_hit", F.lit(True))
+    """``df`` with ``column`` set to ``value`` in the rows whose ``key`` is in ``ids``, which holds no key twice."""
+    marked = ids.select(key).withColumn("_hit", F.lit(True))
     return (
         df.join(marked, key, "left")
         .withColumn(column, F.when(F.col("_hit"), value).otherwise(F.col(column)))
@@ -43,13 +44,15 @@ def _without(df: DataFrame, ids: DataFrame, **keys: str) -> DataFrame:
 
 def soft_delete_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
     """Hide runs and the registered models, all versions, whose name was found for them."""
-    names = registered_names(ledger, run_ids).select("name")
-    return soft_delete_names(
-        ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(DELETED))), names
-    )
+    run_ids = run_ids.select("run_uuid").distinct()
+    names = registered_names(ledger, run_ids)
+    hidden = ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(DELETED)))
+    return soft_delete_names(hidden, names)
 
 
 def soft_delete_names(ledger: Ledger, names: DataFrame) -> Ledger:
+    # Stored: used twice, and a join with a stored table splits a name that holds very many versions.
+    names = stage(names.select("name").distinct(), "names")
     return ledger.with_tables(
         registered_models=_mark(ledger.registered_models, names, "name", "lifecycle_stage", F.lit(DELETED)),
         model_versions=_mark(ledger.model_versions, names, "name", "current_stage", F.lit(DELETED_STAGE)),
@@ -107,6 +110,7 @@ def delete_experiment(ledger: Ledger, experiment: str, hard_delete: bool = False
 
 
 def restore_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
+    run_ids = run_ids.select("run_uuid").distinct()
     return ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(ACTIVE)))
 
 
@@ -122,15 +126,18 @@ def restore_experiment(ledger: Ledger, experiment: str) -> Ledger:
 
 def orphan_names(ledger: Ledger) -> DataFrame:
     """Names of registered models without any version."""
-    return ledger.registered_models.join(ledger.model_versions, "name", "left_anti").select("name").distinct()
+    return ledger.registered_models.join(_names_with_versions(ledger), "name", "left_anti").select("name").distinct()
+
+
+def _names_with_versions(ledger: Ledger) -> DataFrame:
+    """Distinct before the shuffle: a name may hold a large share of all versions."""
+    return ledger.model_versions.select("name").distinct()
 
 
 def drop_orphans(ledger: Ledger) -> Ledger:
-    return ledger.with_tables(
-        registered_models=ledger.registered_models.join(
-            ledger.model_versions.select("name"), "name", "left_semi"
-        ).select(*ledger.registered_models.columns)
-    )
+    models = ledger.registered_models
+    kept = models.join(_names_with_versions(ledger), "name", "left_semi").select(*models.columns)
+    return ledger.with_tables(registered_models=kept)
 
 
 def delete_versions_by_source(ledger: Ledger, models: DataFrame) -> Ledger:

@@ -108,9 +108,13 @@ def next_versions(ledger: Ledger, new: DataFrame) -> DataFrame:
 
 
 def register(ledger: Ledger, new: DataFrame) -> Ledger:
-    """Add one version per name, and the names that are new; a name deleted before shows again."""
-    versions = next_versions(ledger, new)
-    names = new.select("name").distinct()
+    """Add one version per name of ``new`` (distinct name, source, run_id)."""
+    return add_versions(ledger, next_versions(ledger, new))
+
+
+def add_versions(ledger: Ledger, versions: DataFrame) -> Ledger:
+    """Add numbered versions, one per name, and the names that are new; a name deleted before shows again."""
+    names = versions.select("name")
     others = ledger.registered_models.join(names, "name", "left_anti").select(*ledger.registered_models.columns)
     return ledger.with_tables(
         model_versions=_add(ledger.model_versions, versions),

@@ -13,8 +13,12 @@ KEYS = ["clientID", "month"]
 
 
 def latest_model_uri(predictions: DataFrame) -> DataFrame:
-    """URI on the newest month's predictions; among several the first by name."""
-    return predictions.orderBy(F.desc("month"), F.asc_nulls_last("modelURI")).limit(1).select("modelURI")
+    """URI on the newest month's predictions, among several the first by name; no row without predictions.
+
+    The newest month is found first, so that only its rows are read for the URI.
+    """
+    newest = predictions.where(F.col("month") == predictions.select(F.max("month")).scalar())
+    return newest.groupBy("month").agg(F.min("modelURI").alias("modelURI")).select("modelURI")
 
 
 def latest_model_predictions(predictions: DataFrame) -> DataFrame:
@@ -48,47 +52,51 @@ def _error():
     return errors.difference(F.col("revenue"), F.col("predictedRevenue"))
 
 
-def monitor_metrics(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
-    """One metrics row for the newest revenue month, or none when that month has no prediction.
+def _window_metrics(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One row with the month, the four figures (NULL where nothing could be compared) and the latest model's URI.
 
-    RMSE_1 and the maximum error take every model's predictions, RMSE_2 and RMSE_3 only the latest model's. One join over
-    three months feeds all four. Both tables are read several times: pass stored tables.
+    RMSE_1 and the maximum error take every model's predictions, RMSE_2 and RMSE_3 only the latest model's. The two newest
+    months and the URI are looked up first, so that plain values bound both scans; then one join over three months feeds
+    all figures. It is an inner join because a row without a prediction adds to no figure.
     """
-    latest = latest_model_uri(predictions).scalar()
-    cutoff = predictions.select(shift_months(F.max("month"), -3)).scalar()
-    oldest = newest_month(revenue, 2)
+    newest = F.lit(revenue.agg(F.max("month")).first()[0]).cast("date")
+    newest_predicted = F.lit(predictions.agg(F.max("month")).first()[0]).cast("date")
+    found = predictions.where(F.col("month") == newest_predicted).agg(F.min("modelURI")).first()[0]
+    latest = F.lit(found).cast("string")
+
+    in_three = F.col("month") >= shift_months(newest, -2)
     compared = (
-        last_months(revenue, 3)
-        .join(predictions.where(F.col("month") >= oldest).select(*KEYS, "predictedRevenue", "modelURI"), KEYS, "left")
+        revenue.where(in_three)
+        .join(predictions.where(in_three).select(*KEYS, "predictedRevenue", "modelURI"), KEYS)
         .select("month", "modelURI", _error().alias("error"))
     )
-    by_latest = (F.col("month") > cutoff) & ~F.coalesce(latest != F.col("modelURI"), F.lit(False))
-    in_newest = F.col("month") >= newest_month(revenue)
-    in_two = F.col("month") >= newest_month(revenue, 1)
-    return (
-        compared.agg(
-            F.max("month").alias("month"),
-            errors.rmse(F.when(in_newest, F.col("error"))).alias("RMSE_1"),
-            errors.rmse(F.when(in_two & by_latest, F.col("error"))).alias("RMSE_2"),
-            errors.rmse(F.when(by_latest, F.col("error"))).alias("RMSE_3"),
-            errors.max_abs_error(F.when(in_newest, F.col("error"))).alias("maxErrorLastMonth"),
-        )
-        .where(F.col("RMSE_1").isNotNull())
-        .withColumn("modelURI", latest)
+    in_two = F.col("month") >= shift_months(newest, -1)
+    in_newest = F.col("month") >= newest
+    other_model = F.coalesce(latest != F.col("modelURI"), F.lit(False))
+    by_latest = (F.col("month") > shift_months(newest_predicted, -3)) & ~other_model
+    return compared.agg(
+        newest.alias("month"),
+        errors.rmse(F.when(in_newest, F.col("error"))).alias("RMSE_1"),
+        errors.rmse(F.when(in_two & by_latest, F.col("error"))).alias("RMSE_2"),
+        errors.rmse(F.when(by_latest, F.col("error"))).alias("RMSE_3"),
+        errors.max_abs_error(F.when(in_newest, F.col("error"))).alias("maxErrorLastMonth"),
+        latest.alias("modelURI"),
     )
 
 
+def monitor_metrics(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One metrics row for the newest revenue month, or none when that month has no prediction.
+
+    Both tables are read several times: pass stored tables.
+    """
+    return _window_metrics(revenue, predictions).where(F.col("RMSE_1").isNotNull())
+
+
 def rmse_by_window(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
-    """The three RMSE values, also when the newest month has none."""
-    rows = []
-    for months in (1, 2, 3):
-        used = predictions if months == 1 else latest_model_predictions(predictions)
-        rows.append(
-            revenue_with_prediction(last_months(revenue, months), used).agg(
-                F.lit(months).alias("months"), errors.rmse(_error()).alias("RMSE")
-            )
-        )
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    """RMSE over the newest 1, 2 and 3 months, NULL where nothing could be compared."""
+    names = ["RMSE_1", "RMSE_2", "RMSE_3"]
+    long_rows = _window_metrics(revenue, predictions).select(*names).unpivot([], names, "name", "RMSE")
+    return long_rows.select(F.substring("name", -1, 1).cast("int").alias("months"), "RMSE")
 
 
 def max_error_last_month(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -99,7 +107,7 @@ def max_error_last_month(revenue: DataFrame, predictions: DataFrame) -> DataFram
 
 def metrics_to_add(metrics: DataFrame, existing: DataFrame) -> DataFrame:
     """Metrics rows of months the metrics table does not have yet."""
-    return metrics.join(existing.select("month"), "month", "left_anti").select(*metrics.columns)
+    return metrics.join(existing.select("month").distinct(), "month", "left_anti").select(*metrics.columns)
 
 
 def decide(metrics: DataFrame, threshold: float | str) -> DataFrame:

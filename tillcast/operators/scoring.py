@@ -19,7 +19,8 @@ def backlog(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
     wanted = revenue.select(
         "clientID", shift_months(F.col("month")).alias("nextMonth"), F.col("revenue").alias("revenueLastMonth")
     )
-    done = predictions.select("clientID", F.col("month").alias("nextMonth"))
+    # Distinct before the shuffle: many predictions for one client and month must not meet in one task.
+    done = predictions.select("clientID", F.col("month").alias("nextMonth")).distinct()
     return wanted.join(done, ["clientID", "nextMonth"], "left_anti")
 
 

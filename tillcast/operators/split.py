@@ -34,13 +34,12 @@ def split_index(rows: int, test_size: float = TEST_SIZE) -> int:
     return math.floor((1 - test_size) * rows)
 
 
-def key_at_position(keys: DataFrame, column: str, position: int) -> int:
-    """The integer key at ``position`` (1-based) of the ascending order, by narrowing the range that holds it.
+def key_at_position(keys: DataFrame, column: str, position: int, low: int, high: int) -> int:
+    """The key at ``position`` (1-based) of the ascending order of integers in [low, high], by narrowing that range.
 
     Each pass returns at most RANGES counts and divides the range by RANGES: three passes for a 32-bit key span, six at
     the most for 64 bits, however the keys are spread.
     """
-    low, high = keys.agg(F.min(column), F.max(column)).first()
     while low < high:
         width = -(-(high - low + 1) // RANGES)
         counts = (
@@ -66,12 +65,16 @@ def find_split(pairs: DataFrame, holdout: str = "oldest", test_size: float = TES
     if holdout not in ("oldest", "newest"):
         raise ValueError(f"holdout is 'oldest' or 'newest', not {holdout!r}")
     # One row per calendar month.
-    months = sorted(pairs.groupBy("month").count().collect(), reverse=holdout == "oldest")
-    rows = sum(count for _, count in months)
+    months = sorted(
+        pairs.groupBy("month").agg(F.count(F.lit(1)), F.min("clientID"), F.max("clientID")).collect(),
+        reverse=holdout == "oldest",
+    )
+    rows = sum(count for _, count, _, _ in months)
     left = training_rows = split_index(rows, test_size)
-    for month, count in months:
+    for month, count, low, high in months:
         if 0 < left <= count:
-            client = key_at_position(pairs.where(F.col("month") == F.lit(month)).select("clientID"), "clientID", left)
+            keys = pairs.where(F.col("month") == F.lit(month)).select("clientID")
+            client = key_at_position(keys, "clientID", left, low, high)
             return SplitPoint(rows, training_rows, holdout, month, client)
         left -= count
     return SplitPoint(rows, training_rows, holdout)

@@ -83,7 +83,8 @@ def run_evaluation(
 ) -> Ledger:
     """Evaluate every logged model of the experiment, each in a run of its own."""
     models = ledger.logged_models.where(F.col("experiment_id") == experiment_id(ledger, experiment))
-    evaluations = evaluate_models(models, evaluation_pairs(revenue, start, end))
+    # Stored: it feeds four ledger tables.
+    evaluations = stage(evaluate_models(models, evaluation_pairs(revenue, start, end)), "evaluations")
     return log_evaluations(ledger, evaluations, start_time)
 
 

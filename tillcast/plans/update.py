@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.text import any_pair_matches
 from tillcast.operators.ledger import Ledger, best_model_uri
-from tillcast.operators.ledger_write import next_versions, register, set_alias, transition_stage
+from tillcast.operators.ledger_write import add_versions, next_versions, set_alias, transition_stage
 from tillcast.operators.monitoring import should_retrain
 from tillcast.operators.pairs import Date
 from tillcast.operators.regression import CANDIDATES, Setting
@@ -27,8 +27,9 @@ def store_ledger(ledger: Ledger) -> Ledger:
 
 def promote_models(ledger: Ledger, new: DataFrame) -> Ledger:
     """Register ``new`` (distinct name, source, run_id), put each new version in Production and alias it."""
-    chosen = next_versions(ledger, new).select("name", "version")
-    return set_alias(transition_stage(register(ledger, new), chosen), chosen)
+    # Stored: used three times, and a join with a stored table splits a name that holds very many versions.
+    versions = stage(next_versions(ledger, new), "new-versions")
+    return set_alias(transition_stage(add_versions(ledger, versions), versions), versions)
 
 
 def promote(ledger: Ledger, experiment: str, model_name: str, metrics: dict[str, str] = METRICS) -> Ledger:

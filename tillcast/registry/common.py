@@ -21,20 +21,20 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
     return models.fact_sales(models.raw_sales(retail.sales(spark, folder)), products(spark, folder))
 
 
+def in_dollars(df: DataFrame, column: str) -> DataFrame:
+    """Whole cents as dollars: the double next to the exact amount."""
+    return df.withColumn(column, F.col(column) / F.lit(100.0))
+
+
 def revenue(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per client and month."""
-    return models.clients_total_revenue(fact(spark, folder))
+    return in_dollars(models.clients_total_revenue(fact(spark, folder)), "revenue")
 
 
 def nation_revenue(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per nation and month: dense enough that every month but the last has all clients."""
-    return retail.to_nations(revenue(spark, folder), spark, folder)
-
-
-def plain(df: DataFrame) -> DataFrame:
-    """Money as double, for comparison with another engine."""
-    money = [f.name for f in df.schema if f.dataType.typeName() == "decimal"]
-    return df.withColumns({name: F.col(name).cast("double") for name in money})
+    cents = retail.to_nations(models.clients_total_revenue(fact(spark, folder)), spark, folder)
+    return in_dollars(cents, "revenue")
 
 
 SALES = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import pairs, regression, scoring, split
 from tillcast.plans import training
 from tillcast.registry import common
-from tillcast.registry.common import EVALUATION_RANGE, PAIRS, PREDICTIONS, REVENUE, TRAIN_RANGE, plain
+from tillcast.registry.common import EVALUATION_RANGE, PAIRS, PREDICTIONS, REVENUE, TRAIN_RANGE
 from tillcast.session import stage
 from tillcast.sources import retail, retail_ledger
 
@@ -21,21 +21,21 @@ def _evaluation_pairs(spark, folder):
 
 
 def train_pairs(spark, folder):
-    return plain(_training_pairs(spark, folder))
+    return _training_pairs(spark, folder)
 
 
 def eval_pairs(spark, folder):
-    return plain(_evaluation_pairs(spark, folder))
+    return _evaluation_pairs(spark, folder)
 
 
 def train_test_split(spark, folder):
     stored = stage(_training_pairs(spark, folder), "pairs")
-    return plain(split.train_test_split(stored))
+    return split.train_test_split(stored)
 
 
 def train_test_split_newest(spark, folder):
     stored = stage(_training_pairs(spark, folder), "pairs")
-    return plain(split.train_test_split(stored, holdout="newest"))
+    return split.train_test_split(stored, holdout="newest")
 
 
 def _rounded_models(df):
@@ -88,7 +88,7 @@ def _revenue_and_predictions(spark, folder):
 
 
 def backlog_pairs(spark, folder):
-    return plain(scoring.backlog(*_revenue_and_predictions(spark, folder)))
+    return scoring.backlog(*_revenue_and_predictions(spark, folder))
 
 
 def score_backlog(spark, folder):
@@ -105,7 +105,7 @@ def score_pandas_udf(spark, folder):
         "clientID", F.add_months("month", 1).alias("month"), F.col("revenue").alias("revenueLastMonth")
     )
     scored = scoring.score_opaque(rows, lambda x: 1000.0 + 2.0 * x["clientID"] + 0.5 * x["revenueLastMonth"])
-    return plain(scored)
+    return scored
 
 
 def legacy_rescore(spark, folder):

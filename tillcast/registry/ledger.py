@@ -13,6 +13,7 @@ from tillcast.operators.pairs import evaluation_pairs
 from tillcast.plans import training, update
 from tillcast.registry.common import EVALUATION_RANGE, revenue
 from tillcast.registry.forecast import EVALUATED
+from tillcast.session import stage
 from tillcast.sources.retail_ledger import ledger
 
 EXPERIMENT = "1-URGENT"
@@ -113,10 +114,16 @@ def ledger_production_uri(spark, folder):
 
 
 def ledger_soft_delete_run(spark, folder):
-    """Runs that are sources of a model, deleted softly: lifecycle of every run afterwards."""
+    """Runs that are sources of a model, deleted softly: state of every run, name and version afterwards."""
     tables = ledger(spark, folder)
     made = tables.logged_models.select(F.col("source_run_id").alias("run_uuid"))
-    return delete.soft_delete_runs(tables, made).runs.select("run_uuid", "lifecycle_stage")
+    after = delete.soft_delete_runs(tables, made)
+    versions = F.concat_ws(":", "name", F.col("version").cast("string"))
+    return (
+        after.runs.select(F.lit("run").alias("kind"), F.col("run_uuid").alias("id"), F.col("lifecycle_stage").alias("state"))
+        .union(after.registered_models.select(F.lit("name"), "name", "lifecycle_stage"))
+        .union(after.model_versions.select(F.lit("version"), versions, "current_stage"))
+    )
 
 
 def ledger_hard_delete_runs(spark, folder):
@@ -151,8 +158,9 @@ def ledger_delete_experiment(spark, folder):
 
 
 def ledger_artifact_paths(spark, folder):
-    _, paths = delete.delete_experiment(ledger(spark, folder), EXPERIMENT)
-    return paths
+    tables = ledger(spark, folder)
+    mine = F.col("experiment_id") == search.experiment_id(tables, EXPERIMENT)
+    return delete.artifact_paths(tables.logged_models.where(mine), search.by_view(tables.runs).where(mine))
 
 
 def ledger_restore(spark, folder):
@@ -193,7 +201,7 @@ def ledger_log_run(spark, folder):
     """Every model evaluated, each in a run of its own: the metric and tag rows that are logged."""
     tables = ledger(spark, folder)
     pairs = evaluation_pairs(revenue(spark, folder), *EVALUATION_RANGE)
-    evaluations = training.evaluate_models(tables.logged_models, pairs)
+    evaluations = stage(training.evaluate_models(tables.logged_models, pairs), "evaluations")
     rows = write.evaluation_rows(evaluations, START)
     rounded = F.when(F.col("key") == "mse", F.round("value", -3)).otherwise(F.round("value", 6))
     return rows["metrics"].select("run_uuid", "key", rounded.alias("metric")).unionByName(
@@ -346,8 +354,13 @@ SELECT name, max(version) AS version, 'models:/' || name || '/' || max(version)
 FROM model_versions WHERE current_stage = 'Production' GROUP BY name""",
     "ledger_soft_delete_run": f"""
 WITH {ALL}
-SELECT run_uuid, CASE WHEN run_uuid IN (SELECT source_run_id FROM logged_models) THEN 'deleted'
-                      ELSE lifecycle_stage END AS lifecycle_stage FROM runs""",
+SELECT 'run' AS kind, run_uuid AS id, CASE WHEN run_uuid IN (SELECT source_run_id FROM logged_models) THEN 'deleted'
+                                           ELSE lifecycle_stage END AS state FROM runs
+UNION ALL
+SELECT 'name', name, CASE WHEN name IN (SELECT name FROM model_versions) THEN 'deleted' ELSE lifecycle_stage END
+FROM registered_models
+UNION ALL
+SELECT 'version', name || ':' || version, 'Deleted_Internal' FROM model_versions""",
     "ledger_hard_delete_runs": f"""
 WITH {LONG}, latest_metrics AS (SELECT * FROM metrics)
 {_counts(*[(table, _RUN_OK) for table in search.RUN_TABLES])}""",

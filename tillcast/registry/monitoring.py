@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import monitoring
 from tillcast.registry import common
-from tillcast.registry.common import PREDICTIONS, plain
+from tillcast.registry.common import PREDICTIONS
 from tillcast.session import stage
 from tillcast.sources import retail
 
@@ -15,9 +15,9 @@ METRICS = ["RMSE_1", "RMSE_2", "RMSE_3", "maxErrorLastMonth"]
 
 
 def _tables(spark, folder):
-    """Nation revenue and its predictions as stored tables: monitoring reads each several times."""
+    """Nation revenue as a stored table, which monitoring reads several times, and the predictions over it."""
     revenue = stage(common.nation_revenue(spark, folder), "revenue")
-    return revenue, stage(retail.past_predictions(revenue), "predictions")
+    return revenue, retail.past_predictions(revenue)
 
 
 def _rounded(df, *names):
@@ -34,11 +34,11 @@ def predictions_latest_model(spark, folder):
 
 def revenue_last_months(spark, folder):
     revenue = stage(common.revenue(spark, folder), "revenue")
-    return plain(monitoring.last_months(revenue, 3))
+    return monitoring.last_months(revenue, 3)
 
 
 def revenue_vs_prediction(spark, folder):
-    return plain(monitoring.revenue_with_prediction(*_tables(spark, folder)))
+    return monitoring.revenue_with_prediction(*_tables(spark, folder))
 
 
 def rmse_windows(spark, folder):

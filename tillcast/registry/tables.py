@@ -6,12 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tillcast.operators import monitoring as models
-from tillcast.operators import regression, scoring
-from tillcast.plans import monitoring, prediction, warehouse
 from tillcast.contracts import table_name
+from tillcast.operators import regression
+from tillcast.plans import monitoring, prediction, warehouse
 from tillcast.registry import common
-from tillcast.registry.common import NATION_REVENUE, PREDICTIONS, PRODUCTS, REVENUE, plain
+from tillcast.registry.common import PREDICTIONS, PRODUCTS, REVENUE, in_dollars
 from tillcast.registry.monitoring import METRICS, METRICS_COLUMNS, METRICS_SQL
 from tillcast.session import new_folder, stage
 from tillcast.sources import literals, retail, sinks, tables
@@ -43,7 +42,7 @@ def src_literal_rows(spark, folder):
 def scan_model_table(spark, folder):
     table = f"{_schema(spark)}.products"
     sinks.rebuild_table(common.products(spark, folder), table)
-    return plain(tables.scan_table(spark, table))
+    return in_dollars(tables.scan_table(spark, table), "price")
 
 
 def scan_external_source(spark, folder):
@@ -70,13 +69,12 @@ def sink_rebuild_table(spark, folder):
     sources = [retail.source(spark, folder, number) for number in (1, 2)]
     warehouse.write_warehouse(spark, sources, name, new_folder(spark, name))
     table = table_name("fact_clients_total_revenue", name)
-    return plain(sinks.rebuild_table(spark.table(table), table))
+    return in_dollars(sinks.rebuild_table(spark.table(table), table), "revenue")
 
 
 def sink_incremental_append(spark, folder):
     """The metrics row added twice, and left alone the third time."""
     revenue, predictions = _nation_tables(spark, folder)
-    predictions = stage(predictions, "predictions")
     table = f"{_schema(spark)}.metrics"
     monitoring.add_metrics(revenue, predictions, table)
     monitoring.add_metrics(revenue, predictions, table)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillcast.functions import dates
 from tillcast.operators import warehouse as models
 from tillcast.registry import common
-from tillcast.registry.common import FACT, PRODUCTS, REVENUE, SALES, plain
+from tillcast.registry.common import FACT, PRODUCTS, REVENUE, SALES, in_dollars
 from tillcast.sources import retail
 
 
@@ -20,15 +20,15 @@ def dim_clients(spark, folder):
 
 
 def dim_products(spark, folder):
-    return plain(common.products(spark, folder))
+    return in_dollars(common.products(spark, folder), "price")
 
 
 def fact_sales(spark, folder):
-    return plain(common.fact(spark, folder))
+    return in_dollars(common.fact(spark, folder), "totalPrice")
 
 
 def clients_total_revenue(spark, folder):
-    return plain(common.revenue(spark, folder))
+    return common.revenue(spark, folder)
 
 
 def scalar_dates(spark, folder):
