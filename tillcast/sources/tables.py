@@ -89,4 +89,5 @@ def random_frame(spark: SparkSession, rows: int = 20, seed: int = 123) -> DataFr
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[str]:
-    return sorted(table.name for table in spark.catalog.listTables(schema))
+    """Tables of a schema, without the session's temporary views."""
+    return sorted(table.name for table in spark.catalog.listTables(schema) if not table.isTemporary)
