@@ -1,12 +1,18 @@
 """The whole model update on the example warehouse."""
 
+import datetime as dt
+import uuid
+
 import pytest
 
+from tillcast import session
 from tillcast.contracts import METRICS, PREDICTIONS
 from tillcast.operators import scoring
-from tillcast.operators.ledger_write import empty_ledger
+from tillcast.operators import ledger_delete as delete
+from tillcast.operators.ledger import COLUMNS, RUN_TABLES, Ledger
 from tillcast.operators.pairs import evaluation_pairs
-from tillcast.plans import prediction, training, update
+from tillcast.plans import ledger_store, prediction, training, update
+from tillcast.sources import sinks
 from tillcast.sources.tables import literal_rows, random_frame
 
 START = 1_750_000_000_000
@@ -14,27 +20,38 @@ RANGES = (("2025-01-01", "2025-06-01"), ("2025-05-01", "2025-06-01"))
 
 
 @pytest.fixture(scope="module")
-def ledger(spark):
-    experiments = [(1, "revenue", "active")]
-    empty = empty_ledger(spark)
-    return empty.with_tables(experiments=literal_rows(spark, experiments, "experiment_id bigint, name string, lifecycle_stage string"))
+def store(spark):
+    """A stored ledger with one experiment."""
+    name = "ledger_" + uuid.uuid4().hex[:8]
+    sinks.create_schema(spark, name, session.new_folder(spark, name))
+    ledger_store.create_ledger(spark, name)
+    ledger_store.create_ledger(spark, name)
+    rows = literal_rows(spark, [(1, "revenue", "active")], COLUMNS["experiments"])
+    ledger_store.append_rows({"experiments": rows}, name)
+    return name
 
 
-def update_once(ledger, revenue, metrics, threshold, start):
-    return update.update_model(ledger, revenue, metrics, threshold, *RANGES, "revenue", "revenue_model", start)
+def kept(spark, store):
+    """The ledger as it is now, apart from later changes."""
+    tables = ledger_store.open_ledger(spark, store).tables()
+    return Ledger(**{name: session.stage(df, name) for name, df in tables.items()})
 
 
 @pytest.fixture(scope="module")
-def updated(spark, ledger, revenue):
-    import datetime as dt
-
+def updated(spark, store, revenue):
     metrics = literal_rows(spark, [(dt.date(2025, 6, 1), 50.0, None, None, 60.0, "u")], METRICS)
-    same, message = update_once(ledger, revenue, metrics, 99999999, START)
-    assert message == '{"should_retrain":false}' and same is ledger
-    first, message = update_once(ledger, revenue, metrics, 10, START)
-    assert message == '{"should_retrain":true}'
-    second, _ = update_once(first, revenue, metrics, 10, START + 1)
-    return first, second
+
+    def update_once(threshold, start):
+        return update.update_model(
+            spark, store, revenue, metrics, threshold, *RANGES, "revenue", "revenue_model", start
+        )
+
+    assert update_once(99999999, START) == '{"should_retrain":false}'
+    assert ledger_store.open_ledger(spark, store).runs.count() == 0
+    assert update_once(10, START) == '{"should_retrain":true}'
+    first = kept(spark, store)
+    update_once(10, START + 1)
+    return first, kept(spark, store)
 
 
 def test_first_update(updated):
@@ -81,3 +98,16 @@ def test_latest_model(spark, updated, revenue):
     frame = random_frame(spark, 20)
     on_random = training.evaluate_latest(updated[0], "revenue", frame, ["x0", "x1"], "y").first()
     assert on_random.n == 20 and on_random.mse > 0
+
+
+def test_stored_ledger_after_a_delete(spark, store, updated):
+    """Rebuilt tables that are read from each other: run tables without the deleted runs, the rest whole."""
+    before = ledger_store.open_ledger(spark, store)
+    runs = before.tags.where("key = 'evaluated_model_uri'").select("run_uuid")
+    ids = [row.run_uuid for row in runs.collect()]
+    ledger_store.replace_tables(before, delete.hard_delete_runs(before, runs), store)
+    after = ledger_store.open_ledger(spark, store)
+    for table in RUN_TABLES:
+        assert getattr(after, table).where(getattr(after, table).run_uuid.isin(ids)).count() == 0
+    assert after.runs.count() == updated[1].runs.count() - len(ids) == 4
+    assert after.logged_models.count() == 4

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.operators.ledger import (
@@ -22,45 +22,34 @@ def _add(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows.select(*table.columns))
 
 
-def run_id_for(kind: str, *columns: str):
+def run_id_for(kind: str, *columns: str) -> Column:
     """Id of a new run, made from what the run is about: a recomputed task gives the same id again."""
     return F.substring(F.sha2(F.concat_ws("|", F.lit(kind), *[F.col(c).cast("string") for c in columns]), 256), 1, 32)
 
 
+def _long(new: DataFrame, columns: list[str]) -> DataFrame:
+    """One (run_uuid, key, value) row per listed column."""
+    return new.unpivot("run_uuid", columns, "key", "value")
+
+
 def evaluation_rows(evaluations: DataFrame, start_time: int) -> dict[str, DataFrame]:
-    """New rows of ``runs``, ``metrics`` and ``tags`` for evaluated models: one run per model.
+    """New ledger rows for evaluated models, each in a run of its own.
 
     ``evaluations`` has experiment_id, model_uri, source_run_id, mse and r2.
     """
-    new = evaluations.withColumn("start_time", F.lit(start_time).cast("bigint")).withColumn(
-        "run_uuid", run_id_for("evaluate", "model_uri", "start_time")
-    )
-    runs = new.select(
-        "run_uuid",
-        "experiment_id",
-        "start_time",
-        F.lit(ACTIVE).alias("lifecycle_stage"),
-        F.concat_ws("/", F.lit("runs:"), F.col("run_uuid"), F.lit("artifacts")).alias("artifact_uri"),
-    )
-    metrics = new.unpivot("run_uuid", ["mse", "r2"], "key", "value")
-    tags = new.withColumnsRenamed({"model_uri": EVALUATED, "source_run_id": SOURCE_RUN}).unpivot(
-        "run_uuid", [EVALUATED, SOURCE_RUN], "key", "value"
-    )
-    return {"runs": runs, "metrics": metrics, "tags": tags}
-
-
-def log_evaluations(ledger: Ledger, evaluations: DataFrame, start_time: int) -> Ledger:
-    rows = evaluation_rows(evaluations, start_time)
-    return ledger.with_tables(
-        runs=_add(ledger.runs, rows["runs"]),
-        metrics=_add(ledger.metrics, rows["metrics"]),
-        latest_metrics=_add(ledger.latest_metrics, rows["metrics"]),
-        tags=_add(ledger.tags, rows["tags"]),
+    new = (
+        evaluations.withColumn("start_time", F.lit(start_time).cast("bigint"))
+        .withColumn("run_uuid", run_id_for("evaluate", "model_uri", "start_time"))
+        .withColumn("lifecycle_stage", F.lit(ACTIVE))
+        .withColumn("artifact_uri", F.concat_ws("/", F.lit("runs:"), F.col("run_uuid"), F.lit("artifacts")))
     )
+    metrics = _long(new, ["mse", "r2"])
+    tagged = new.withColumnsRenamed({"model_uri": EVALUATED, "source_run_id": SOURCE_RUN})
+    return {"runs": new, "metrics": metrics, "latest_metrics": metrics, "tags": _long(tagged, [EVALUATED, SOURCE_RUN])}
 
 
-def log_training(ledger: Ledger, trained: DataFrame, experiment: int, model_name: str, start_time: int) -> Ledger:
-    """One run and one logged model per trained model.
+def training_rows(trained: DataFrame, experiment: int, model_name: str, start_time: int) -> dict[str, DataFrame]:
+    """New ledger rows for trained models, each in a run of its own.
 
     ``trained`` has fit_intercept, positive, n, intercept, coefficients, mse and r2.
     """
@@ -77,21 +66,16 @@ def log_training(ledger: Ledger, trained: DataFrame, experiment: int, model_name
         .withColumn("source_run_id", F.col("run_uuid"))
         .withColumn("creation_timestamp", F.col("start_time"))
     )
-    metrics = new.unpivot("run_uuid", ["mse", "r2"], "key", "value")
-    params = new.select(
-        "run_uuid",
-        F.col("fit_intercept").cast("string").alias("fit_intercept"),
-        F.col("positive").cast("string").alias("positive"),
-    ).unpivot("run_uuid", ["fit_intercept", "positive"], "key", "value")
-    tags = new.select("run_uuid", F.lit(CREATED).alias("key"), F.col("model_uri").alias("value"))
-    return ledger.with_tables(
-        runs=_add(ledger.runs, new),
-        metrics=_add(ledger.metrics, metrics),
-        latest_metrics=_add(ledger.latest_metrics, metrics),
-        params=_add(ledger.params, params),
-        tags=_add(ledger.tags, tags),
-        logged_models=_add(ledger.logged_models, new),
-    )
+    metrics = _long(new, ["mse", "r2"])
+    settings = [F.col(c).cast("string").alias(c) for c in ("fit_intercept", "positive")]
+    return {
+        "runs": new,
+        "metrics": metrics,
+        "latest_metrics": metrics,
+        "params": _long(new.select("run_uuid", *settings), ["fit_intercept", "positive"]),
+        "tags": new.select("run_uuid", F.lit(CREATED).alias("key"), F.col("model_uri").alias("value")),
+        "logged_models": new,
+    }
 
 
 def next_versions(ledger: Ledger, new: DataFrame) -> DataFrame:
@@ -148,5 +132,5 @@ def set_alias(ledger: Ledger, chosen: DataFrame, alias: str = PRODUCTION) -> Led
     return ledger.with_tables(aliases=_add(others, new))
 
 
-def empty_ledger(spark) -> Ledger:
+def empty_ledger(spark: SparkSession) -> Ledger:
     return Ledger(**{table: spark.createDataFrame([], columns) for table, columns in COLUMNS.items()})

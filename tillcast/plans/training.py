@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillcast.contracts import FEATURES
 from tillcast.operators.ledger import Ledger, experiment_id, find_latest_model
-from tillcast.operators.ledger_write import log_evaluations, log_training
+from tillcast.operators.ledger_write import evaluation_rows, training_rows
 from tillcast.operators.pairs import Date, evaluation_pairs, training_pairs
 from tillcast.operators.regression import (
     CANDIDATES,
@@ -67,10 +67,11 @@ def run_training(
     start_time: int,
     settings: Sequence[Setting] = CANDIDATES,
     holdout: str = "oldest",
-) -> Ledger:
-    """Train on a range of months and log run, metrics, tag and model for each setting."""
+) -> dict[str, DataFrame]:
+    """Train on a range of months; the ledger rows with run, metrics, tag and model of each setting."""
+    number = experiment_id(ledger, experiment)
     trained = train(training_pairs(revenue, start, end), settings, holdout)
-    return log_training(ledger, trained, experiment_id(ledger, experiment), model_name, start_time)
+    return training_rows(trained, number, model_name, start_time)
 
 
 def evaluate_models(models: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -80,12 +81,12 @@ def evaluate_models(models: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def run_evaluation(
     ledger: Ledger, revenue: DataFrame, start: Date, end: Date, experiment: str, start_time: int
-) -> Ledger:
-    """Evaluate every logged model of the experiment, each in a run of its own."""
+) -> dict[str, DataFrame]:
+    """Evaluate every logged model of the experiment; the ledger rows, one run per model."""
     models = ledger.logged_models.where(F.col("experiment_id") == experiment_id(ledger, experiment))
     # Stored: it feeds four ledger tables.
     evaluations = stage(evaluate_models(models, evaluation_pairs(revenue, start, end)), "evaluations")
-    return log_evaluations(ledger, evaluations, start_time)
+    return evaluation_rows(evaluations, start_time)
 
 
 def evaluate_latest(ledger: Ledger, experiment: str, rows: DataFrame, features=FEATURES, label="revenue") -> DataFrame:

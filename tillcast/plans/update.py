@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.text import any_pair_matches
@@ -13,6 +13,7 @@ from tillcast.operators.ledger_write import add_versions, next_versions, set_ali
 from tillcast.operators.monitoring import should_retrain
 from tillcast.operators.pairs import Date
 from tillcast.operators.regression import CANDIDATES, Setting
+from tillcast.plans.ledger_store import append_rows, open_ledger, replace_tables
 from tillcast.plans.training import run_evaluation, run_training
 from tillcast.session import stage
 
@@ -20,11 +21,6 @@ from tillcast.session import stage
 METRICS = {"mse": "lowest", "r2": "highest"}
 
 
-def store_ledger(ledger: Ledger) -> Ledger:
-    """The ledger as stored tables, so that the next step does not recompute the steps before it."""
-    return Ledger(**{name: stage(df, f"ledger-{name}") for name, df in ledger.tables().items()})
-
-
 def promote_models(ledger: Ledger, new: DataFrame) -> Ledger:
     """Register ``new`` (distinct name, source, run_id), put each new version in Production and alias it."""
     # Stored: used three times, and a join with a stored table splits a name that holds very many versions.
@@ -43,7 +39,8 @@ def promote(ledger: Ledger, experiment: str, model_name: str, metrics: dict[str,
 
 
 def update_model(
-    ledger: Ledger,
+    spark: SparkSession,
+    schema: str,
     revenue: DataFrame,
     metrics: DataFrame,
     threshold: float | str,
@@ -53,16 +50,19 @@ def update_model(
     model_name: str,
     start_time: int,
     settings: Sequence[Setting] = CANDIDATES,
-) -> tuple[Ledger, str]:
-    """Gate, train the candidates, evaluate every model, promote the best. Returns the ledger and the decision."""
+) -> str:
+    """Gate, train the candidates, evaluate every model, promote the best. Returns the decision message.
+
+    The ledger is the stored one of ``schema``: runs are appended, and only the registry tables are rewritten.
+    """
     message = should_retrain(metrics, threshold)
-    decision = metrics.sparkSession.range(1).select(
-        any_pair_matches(F.lit(message), {"should_retrain": True}).alias("go")
-    )
-    if not decision.first().go:
-        return ledger, message
-    ledger = store_ledger(
-        run_training(ledger, revenue, *train_range, experiment, model_name, start_time, settings)
-    )
-    ledger = store_ledger(run_evaluation(ledger, revenue, *evaluation_range, experiment, start_time))
-    return store_ledger(promote(ledger, experiment, model_name)), message
+    wanted = any_pair_matches(F.lit(message), {"should_retrain": True})
+    if not spark.range(1).select(wanted.alias("go")).first().go:
+        return message
+    ledger = open_ledger(spark, schema)
+    append_rows(run_training(ledger, revenue, *train_range, experiment, model_name, start_time, settings), schema)
+    ledger = open_ledger(spark, schema)
+    append_rows(run_evaluation(ledger, revenue, *evaluation_range, experiment, start_time), schema)
+    ledger = open_ledger(spark, schema)
+    replace_tables(ledger, promote(ledger, experiment, model_name), schema)
+    return message

@@ -45,30 +45,51 @@ def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
-def rebuild_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the whole table by ``df``, which may read the table it replaces.
+def _columns_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-    V1: the new files go to a folder of their own and only then the catalog entry moves to them, so a job that fails
-    half-way leaves the old table as it was.
-    """
-    spark = df.sparkSession
-    df = _spread(df, partition_by)
-    if in_v2_catalog(spark, table):
-        writer = df.writeTo(table)
-        if partition_by:
-            writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
-        writer.createOrReplace()
-        return spark.table(table)
-    path = f"{_schema_location(spark, table)}/{table.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
+
+def _write_beside(df: DataFrame, table: str, partition_by: Sequence[str]) -> str:
+    """Write the rows to a new folder of the table's schema."""
+    path = f"{_schema_location(df.sparkSession, table)}/{table.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
+    return path
+
+
+def _point_at(df: DataFrame, table: str, path: str, partition_by: Sequence[str]) -> None:
+    """Let the catalog entry of the table be the folder, with the columns of ``df``."""
+    spark = df.sparkSession
     drop_table(spark, table)
-    # Columns as declared: reading back would turn the partition columns' types into guesses.
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{partitions} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {table} ({_columns_of(df)}) USING parquet{partitions} LOCATION '{path}'")
     if partition_by:
         spark.catalog.recoverPartitions(table)
-    return spark.table(table)
+
+
+def rebuild_tables(frames: dict[str, DataFrame], partition_by: Sequence[str] = ()) -> None:
+    """Replace whole tables by frames that may read the tables they replace.
+
+    V1: the new files go to folders of their own and only then the catalog entries move to them, so a job that fails
+    half-way leaves the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
+    """
+    spread = {table: _spread(df, partition_by) for table, df in frames.items()}
+    paths = {}
+    for table, df in spread.items():
+        if in_v2_catalog(df.sparkSession, table):
+            writer = df.writeTo(table)
+            if partition_by:
+                writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+            writer.createOrReplace()
+        else:
+            paths[table] = _write_beside(df, table, partition_by)
+    for table, path in paths.items():
+        _point_at(frames[table], table, path, partition_by)
+
+
+def rebuild_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace one whole table and read it."""
+    rebuild_tables({table: df}, partition_by)
+    return df.sparkSession.table(table)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -85,11 +106,10 @@ def append_incremental(df: DataFrame, table: str) -> None:
     """Create the table on the first run, append on later ones."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         if in_v2_catalog(spark, table):
             df.limit(0).writeTo(table).create()
         else:
-            create_table_if_absent(spark, table, columns)
+            create_table_if_absent(spark, table, _columns_of(df))
     append(df, table)
 
 
