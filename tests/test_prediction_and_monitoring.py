@@ -9,6 +9,7 @@ from tillcast.operators import monitoring, scoring
 from tillcast.operators.regression import LinearModel
 from tillcast.plans import prediction
 from tillcast.plans.monitoring import add_metrics
+from tillcast.sources.sinks import Layout
 from tillcast.sources.tables import literal_rows
 
 FLAT = LinearModel(True, True, 1, 16.0, (0.0, 0.0))
@@ -45,7 +46,7 @@ def test_backlog_is_empty_after_appending(spark, revenue, table):
 
 def test_partitioned_predictions(spark, revenue, schema):
     name = f"{schema}.by_month"
-    prediction.predict_backlog(spark, revenue, name, FLAT, "models:/m/1", partition_by=("month",))
+    prediction.predict_backlog(spark, revenue, name, FLAT, "models:/m/1", layout=Layout(("month",)))
     assert spark.table(name).count() == 6
     assert scoring.backlog(revenue, spark.table(name)).count() == 0
 

@@ -5,6 +5,7 @@ import pytest
 from tillcast import session
 from tillcast.contracts import CLIENTS, PREDICTIONS, TABLES, table_name
 from tillcast.functions.dates import epoch_ms_value
+from tillcast.operators import pairs
 from tillcast.plans.warehouse import create_schemas
 from tillcast.sources import sinks, tables
 
@@ -50,7 +51,7 @@ def test_rebuild_reads_the_table_it_replaces(spark, schema, rows):
     sinks.rebuild_table(data, name)
     sinks.rebuild_table(spark.table(name).where("clientID = 2"), name)
     assert rows(spark.table(name)) == [ROWS[1]]
-    sinks.rebuild_table(spark.table(name).union(data), name, ["month"])
+    sinks.rebuild_table(spark.table(name).union(data), name, sinks.Layout(("month",)))
     assert spark.table(name).count() == 3
     assert dict(spark.table(name).dtypes)["month"] == "date"
 
@@ -61,6 +62,16 @@ def test_failed_rebuild_keeps_the_old_table(spark, schema, rows):
     with pytest.raises(Exception):
         sinks.rebuild_table(spark.table(name).selectExpr("cast(modelURI as int) AS x"), name)
     assert rows(spark.table(name)) == ROWS
+    assert tables.list_tables(spark, schema) == ["t"]
+
+
+def test_bucketed_revenue_pairs_up_without_a_shuffle(spark, schema, revenue, rows):
+    layout = sinks.Layout(bucket_by=("clientID",), buckets=4, sort_by=("clientID", "month"))
+    for _ in range(2):
+        stored = sinks.rebuild_table(revenue, f"{schema}.revenue", layout)
+    found = pairs.all_pairs(stored)
+    assert rows(found) == rows(pairs.all_pairs(revenue))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_append_casts_and_matches_by_name(spark, schema, rows):
@@ -84,7 +95,7 @@ def test_incremental_append_creates_then_adds(spark, schema):
 
 def test_overwrite_replaces_only_given_partitions(spark, schema, rows):
     name = f"{schema}.t"
-    sinks.create_table_if_absent(spark, name, PREDICTIONS, ["modelURI"])
+    sinks.create_table_if_absent(spark, name, PREDICTIONS, sinks.Layout(("modelURI",)))
     sinks.append(tables.literal_rows(spark, ROWS, PREDICTIONS), name)
     sinks.overwrite_partitions(tables.literal_rows(spark, [(9, dt.date(2025, 3, 1), 9.0, "b")], PREDICTIONS), name)
     assert rows(spark.table(name)) == [ROWS[0], (9, dt.date(2025, 3, 1), 9.0, "b")]
@@ -109,6 +120,11 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_shuffles_are_sized_by_their_bytes():
+    assert session.shuffle_partitions(0) == 200
+    assert session.shuffle_partitions(20 * 2**40) == 104858
+
+
 def test_stage_keeps_rows_and_types(spark, rows):
     data = tables.literal_rows(spark, ROWS, PREDICTIONS)
     stored = session.stage(data, "t")

@@ -7,6 +7,7 @@ from tillcast.contracts import FACT_SALES, PRODUCTS, SALES, table_name
 from tillcast.operators import warehouse
 from tillcast.plans.warehouse import write_warehouse
 from tillcast.session import new_folder
+from tillcast.sources import sinks
 from tillcast.sources.literals import example_source
 from tillcast.sources.tables import literal_rows, stack_by_position
 
@@ -77,7 +78,7 @@ def test_written_warehouse_is_rebuilt_whole(spark, rows, example):
     prefix = "w1_"
     root = new_folder(spark, prefix)
     for _ in range(2):
-        written = write_warehouse(spark, sources, prefix, root, partition_revenue_by=("month",))
+        written = write_warehouse(spark, sources, prefix, root, sinks.Layout(("month",)))
     assert rows(written["fact_clients_total_revenue"].select("clientID", "month", "revenue")) == rows(
         example["fact_clients_total_revenue"]
     )

@@ -30,10 +30,10 @@ def predict_backlog(
     model: LinearModel,
     model_uri: str,
     columns: str = contracts.PREDICTIONS,
-    partition_by: tuple[str, ...] = (),
+    layout: sinks.Layout = sinks.PLAIN,
 ) -> None:
     """Append predictions for the backlog. Backlog, scoring and append are one plan; no row leaves the executors."""
-    sinks.create_table_if_absent(spark, table, columns, partition_by)
+    sinks.create_table_if_absent(spark, table, columns, layout)
     sinks.append(score(backlog(revenue, spark.table(table)), model, model_uri), table)
 
 

@@ -35,19 +35,19 @@ def write_warehouse(
     sources: list[dict],
     prefix: str = "",
     root: str | None = None,
-    partition_revenue_by: tuple[str, ...] = (),
+    revenue_layout: sinks.Layout = sinks.PLAIN,
 ) -> dict[str, DataFrame]:
     """Rebuild every warehouse table; each model reads the stored tables of the models before it."""
     create_schemas(spark, prefix, root)
 
-    def store(model: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        return sinks.rebuild_table(df, table_name(model, prefix), partition_by)
+    def store(model: str, df: DataFrame, layout: sinks.Layout = sinks.PLAIN) -> DataFrame:
+        return sinks.rebuild_table(df, table_name(model, prefix), layout)
 
     clients = store("dim_clients", models.dim_clients(*[s["clients"] for s in sources]))
     products = store("dim_products", models.dim_products(*[s["products"] for s in sources]))
     sales = store("raw_sales", models.raw_sales(*[s["sales"] for s in sources]))
     fact = store("fact_sales", models.fact_sales(sales, products))
-    revenue = store("fact_clients_total_revenue", models.clients_total_revenue(fact), partition_revenue_by)
+    revenue = store("fact_clients_total_revenue", models.clients_total_revenue(fact), revenue_layout)
     return {
         "dim_clients": clients,
         "dim_products": products,

@@ -67,7 +67,8 @@ def sink_rebuild_table(spark, folder):
     """All warehouse tables from both sources; the revenue table is then rebuilt from itself."""
     name = f"tc_{uuid.uuid4().hex[:12]}_"
     sources = [retail.source(spark, folder, number) for number in (1, 2)]
-    warehouse.write_warehouse(spark, sources, name, new_folder(spark, name))
+    by_client = sinks.Layout(bucket_by=("clientID",), buckets=8, sort_by=("clientID", "month"))
+    warehouse.write_warehouse(spark, sources, name, new_folder(spark, name), by_client)
     table = table_name("fact_clients_total_revenue", name)
     return in_dollars(sinks.rebuild_table(spark.table(table), table), "revenue")
 
@@ -107,7 +108,7 @@ def sink_overwrite_partitions(spark, folder):
     """Predictions partitioned by model; those of one model are replaced, the others stay."""
     revenue, predictions = _nation_tables(spark, folder)
     table = f"{_schema(spark)}.predictions"
-    sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS, ["modelURI"])
+    sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS, sinks.Layout(("modelURI",)))
     sinks.append(predictions, table)
     newer = predictions.where(F.col("modelURI") == "models:/m/2")
     sinks.overwrite_partitions(newer.withColumn("predictedRevenue", F.col("predictedRevenue") * 2), table)

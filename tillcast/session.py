@@ -19,11 +19,24 @@ SESSION_OPTIONS = {
 }
 
 
-def build_session(app_name: str = "tillcast", master: str | None = None, **options: str) -> SparkSession:
+# Bytes of one shuffle partition before run-time coalescing: small enough to sort in an executor's memory.
+PARTITION_BYTES = 200 * 2**20
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for the largest shuffle of a job; smaller shuffles are coalesced at run time."""
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "tillcast", master: str | None = None, shuffle_bytes: int | None = None, **options: str
+) -> SparkSession:
+    """A session with this package's options; ``shuffle_bytes`` sizes the shuffles for the data at hand."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_OPTIONS, **options}.items():
+    sized = {} if shuffle_bytes is None else {"spark.sql.shuffle.partitions": str(shuffle_partitions(shuffle_bytes))}
+    for key, value in {**SESSION_OPTIONS, **sized, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +20,6 @@ def create_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
 
 
-def create_table_if_absent(
-    spark: SparkSession, table: str, columns: str, partition_by: Sequence[str] = (), file_format: str = "parquet"
-) -> None:
-    partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {file_format}{partitions}")
-
-
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -36,59 +29,96 @@ def _schema_location(spark: SparkSession, table: str) -> str:
     return spark.catalog.getDatabase(schema).locationUri.rstrip("/")
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+@dataclass(frozen=True)
+class Layout:
+    """How a table lies on disk: partition folders, or hash buckets sorted inside by ``sort_by``.
+
+    Revenue in buckets of its client needs no shuffle to pair up a client's months.
+    """
+
+    partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+    sort_by: tuple[str, ...] = ()
+
+    def ddl(self) -> str:
+        text = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
+        if self.bucket_by:
+            sort = f" SORTED BY ({', '.join(self.sort_by)})" if self.sort_by else ""
+            text += f" CLUSTERED BY ({', '.join(self.bucket_by)}){sort} INTO {self.buckets} BUCKETS"
+        return text
+
+
+PLAIN = Layout()
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """One writer per partition value where it is small; a hot value is split over several tasks."""
-    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+def _spread(df: DataFrame, layout: Layout) -> DataFrame:
+    """One writer per bucket or per partition value; a hot partition value is split over several tasks."""
+    if layout.bucket_by:
+        return df.repartition(layout.buckets, *layout.bucket_by)
+    if layout.partition_by:
+        return df.hint("rebalance", *[F.col(c) for c in layout.partition_by])
+    return df
+
+
+def create_table_if_absent(
+    spark: SparkSession, table: str, columns: str, layout: Layout = PLAIN, file_format: str = "parquet"
+) -> None:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {file_format}{layout.ddl()}")
+
+
+def _layout_of(spark: SparkSession, table: str) -> Layout:
+    return Layout(partition_by=tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition))
 
 
 def _columns_of(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def _write_beside(df: DataFrame, table: str, partition_by: Sequence[str]) -> str:
-    """Write the rows to a new folder of the table's schema."""
-    path = f"{_schema_location(df.sparkSession, table)}/{table.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return path
+def _write_beside(df: DataFrame, table: str, layout: Layout) -> str:
+    """Write the rows to a new table in a folder of its own, beside the table it will replace."""
+    spark = df.sparkSession
+    beside = f"{table}_{uuid.uuid4().hex}"
+    path = f"{_schema_location(spark, table)}/{beside.rsplit('.', 1)[-1]}"
+    spark.sql(f"CREATE TABLE {beside} ({_columns_of(df)}) USING parquet{layout.ddl()} LOCATION '{path}'")
+    try:
+        _spread(df, layout).select(*spark.table(beside).columns).write.insertInto(beside)
+    except Exception:
+        drop_table(spark, beside)
+        raise
+    return beside
 
 
-def _point_at(df: DataFrame, table: str, path: str, partition_by: Sequence[str]) -> None:
-    """Let the catalog entry of the table be the folder, with the columns of ``df``."""
-    spark = df.sparkSession
-    drop_table(spark, table)
-    partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {table} ({_columns_of(df)}) USING parquet{partitions} LOCATION '{path}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+def _write_v2(df: DataFrame, table: str, layout: Layout) -> None:
+    writer = df.writeTo(table)
+    spread = [F.col(c) for c in layout.partition_by]
+    spread += [F.partitioning.bucket(layout.buckets, c) for c in layout.bucket_by]
+    if spread:
+        writer = writer.partitionedBy(*spread)
+    writer.createOrReplace()
 
 
-def rebuild_tables(frames: dict[str, DataFrame], partition_by: Sequence[str] = ()) -> None:
+def rebuild_tables(frames: dict[str, DataFrame], layout: Layout = PLAIN) -> None:
     """Replace whole tables by frames that may read the tables they replace.
 
-    V1: the new files go to folders of their own and only then the catalog entries move to them, so a job that fails
-    half-way leaves the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
+    V1: the rows first go to tables beside the old ones, which then take their names, so a job that fails half-way leaves
+    the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
     """
-    spread = {table: _spread(df, partition_by) for table, df in frames.items()}
-    paths = {}
-    for table, df in spread.items():
+    beside = {}
+    for table, df in frames.items():
         if in_v2_catalog(df.sparkSession, table):
-            writer = df.writeTo(table)
-            if partition_by:
-                writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
-            writer.createOrReplace()
+            _write_v2(_spread(df, layout), table, layout)
         else:
-            paths[table] = _write_beside(df, table, partition_by)
-    for table, path in paths.items():
-        _point_at(frames[table], table, path, partition_by)
+            beside[table] = _write_beside(df, table, layout)
+    for table, new in beside.items():
+        spark = frames[table].sparkSession
+        drop_table(spark, table)
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
 
 
-def rebuild_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def rebuild_table(df: DataFrame, table: str, layout: Layout = PLAIN) -> DataFrame:
     """Replace one whole table and read it."""
-    rebuild_tables({table: df}, partition_by)
+    rebuild_tables({table: df}, layout)
     return df.sparkSession.table(table)
 
 
@@ -98,7 +128,7 @@ def append(df: DataFrame, table: str) -> None:
     if in_v2_catalog(spark, table):
         df.writeTo(table).append()
         return
-    rows = _spread(df, _partition_columns(spark, table))
+    rows = _spread(df, _layout_of(spark, table))
     spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
@@ -120,7 +150,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         df.writeTo(table).overwritePartitions()
         return
     columns = spark.table(table).columns
-    rows = _spread(df.select(*columns), _partition_columns(spark, table))
+    rows = _spread(df.select(*columns), _layout_of(spark, table))
     # The V1 insert takes this setting from the session only.
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
