@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillcast.operators import ledger as search
 from tillcast.operators import ledger_delete as delete
@@ -112,6 +113,14 @@ def test_wide_runs(ledger):
     assert wide.count() == 5
 
 
+def test_search_runs(ledger):
+    found = search.search_runs(ledger, [1], metrics=["mse"], condition=F.col("metrics_mse") < 6, order_by=[F.desc("run_uuid")])
+    assert [r.run_uuid for r in found.collect()] == ["r2", "r1"]
+    newest = search.search_runs(ledger, view="all", order_by=[F.desc("start_time")], max_results=2)
+    assert [r.run_uuid for r in newest.collect()] == ["r4", "r3"]
+    assert newest.columns == ledger.runs.columns
+
+
 def test_run_searches(spark, ledger):
     runs = search.by_view(ledger.runs)
     latest = {r.experiment_id: r.run_uuid for r in search.latest_runs(runs).collect()}

@@ -1,0 +1,72 @@
+"""Properties that hold on any data, checked on the smallest test data."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast.operators import ledger_delete as delete
+from tillcast.operators import monitoring, scoring
+from tillcast.operators.ledger import RUN_TABLES, by_view
+from tillcast.plans import prediction, update, warehouse
+from tillcast.operators.regression import LinearModel
+from tillcast.registry import common
+from tillcast.session import stage
+from tillcast.sources import retail, retail_ledger
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def nation_revenue(spark):
+    return stage(common.nation_revenue(spark, FOLDER), "revenue")
+
+
+def total(df, column):
+    return df.agg(F.sum(column)).first()[0]
+
+
+def test_revenue_is_the_sum_of_priced_sales(spark):
+    built = warehouse.build_warehouse([retail.source(spark, FOLDER, number) for number in (1, 2)])
+    assert total(built["fact_clients_total_revenue"], "revenue") == total(built["fact_sales"], "totalPrice") > 0
+    lines = retail.read(spark, FOLDER, "lineitem").count()
+    assert built["raw_sales"].count() == built["fact_sales"].count() == lines
+    one_scan = common.fact(spark, FOLDER)
+    assert total(one_scan, "totalPrice") == total(built["fact_sales"], "totalPrice")
+
+
+def test_backlog_is_empty_after_predicting(spark, nation_revenue, schema):
+    table = f"{schema}.predictions"
+    prediction.predict_backlog(spark, nation_revenue, table, LinearModel(True, True, 0, 1.0, (0.0, 1.0)), "u")
+    assert spark.table(table).count() == nation_revenue.count()
+    assert scoring.backlog(nation_revenue, spark.table(table)).count() == 0
+
+
+def test_rmse_times_rows_is_the_squared_error(nation_revenue):
+    predictions = retail.past_predictions(nation_revenue)
+    months = {r.months: r.RMSE for r in monitoring.rmse_by_window(nation_revenue, predictions).collect()}
+    both = monitoring.revenue_with_prediction(monitoring.last_months(nation_revenue, 1), predictions)
+    errors = [(r.revenue - r.predictedRevenue) ** 2 for r in both.collect() if r.predictedRevenue is not None]
+    assert months[1] ** 2 * len(errors) == pytest.approx(sum(errors))
+
+
+def test_one_production_version_per_name(spark):
+    ledger = retail_ledger.ledger(spark, FOLDER)
+    new = ledger.registered_models.select("name", F.lit("models:/m-0").alias("source"), F.lit("0").alias("run_id"))
+    for _ in range(2):
+        ledger = update.promote_models(ledger, new)
+        in_production = ledger.model_versions.where("current_stage = 'Production'").groupBy("name").count()
+        assert in_production.where("count <> 1").count() == 0
+        assert in_production.count() == ledger.registered_models.count()
+    assert ledger.aliases.groupBy("name", "alias").count().where("count <> 1").count() == 0
+
+
+def test_hard_delete_leaves_no_row_of_the_run(spark):
+    ledger = retail_ledger.ledger(spark, FOLDER)
+    deleted = by_view(ledger.runs, "deleted")
+    after = delete.hard_delete_runs(ledger, deleted)
+    for table in RUN_TABLES:
+        assert getattr(after, table).join(deleted, "run_uuid", "left_semi").count() == 0
+        kept = getattr(ledger, table).join(deleted, "run_uuid", "left_anti").count()
+        assert getattr(after, table).count() == kept > 0

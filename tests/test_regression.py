@@ -80,8 +80,11 @@ def test_no_training_rows_is_an_error(spark):
     columns = "month date, " + PAIR
     with pytest.raises(ValueError, match="no training rows"):
         training.train(spark.createDataFrame([], columns))
+    empty = spark.createDataFrame([], PAIR)
     with pytest.raises(ValueError, match="no rows"):
-        regression.fit_linear(spark.createDataFrame([], PAIR))
+        regression.fit_linear(empty)
+    with pytest.raises(ValueError, match="no rows"):
+        training.evaluate_models(spark.createDataFrame([], regression.MODEL_COLUMNS), empty)
 
 
 def test_many_models_by_moments_equal_row_by_row(spark):
@@ -101,6 +104,10 @@ def test_many_models_by_moments_equal_row_by_row(spark):
         assert row.r2 == pytest.approx(1 - np.sum(residual**2) / np.sum((y - y.mean()) ** 2), rel=1e-9)
 
 
+def moments_of(data):
+    return regression.Moments(len(data), 0, data.mean(axis=0), np.cov(data.T, bias=True))
+
+
 @pytest.mark.parametrize("fit_intercept", [True, False])
 def test_fits_against_brute_force(fit_intercept):
     """Free fits equal numpy's least squares; positive fits equal projected gradient descent."""
@@ -108,12 +115,11 @@ def test_fits_against_brute_force(fit_intercept):
     for _ in range(40):
         x, y = rng.normal(size=(12, 2)) * [3, 1], rng.normal(size=12)
         data = np.column_stack([x, y])
-        means, covariances = data.mean(axis=0), np.cov(data.T, bias=True)
-        free = regression.solve(12, means, covariances, Setting(fit_intercept, False))
+        free = regression.solve(moments_of(data), Setting(fit_intercept, False))
         design = np.column_stack([np.ones(12), x]) if fit_intercept else x
         expected = np.linalg.lstsq(design, y, rcond=None)[0]
         assert free.coefficients == pytest.approx(expected[-2:], abs=1e-9)
-        positive = regression.solve(12, means, covariances, Setting(fit_intercept, True))
+        positive = regression.solve(moments_of(data), Setting(fit_intercept, True))
         xc, yc = (x - x.mean(axis=0), y - y.mean()) if fit_intercept else (x, y)
         b = np.zeros(2)
         step = 1 / np.linalg.eigvalsh(xc.T @ xc).max()
@@ -128,7 +134,7 @@ def test_features_of_very_different_size_keep_full_rank():
     x = np.column_stack([rng.integers(1, 15_000_000_000, 500), rng.uniform(0, 900, 500)]).astype(float)
     y = 5 + 1e-9 * x[:, 0] + 0.7 * x[:, 1]
     data = np.column_stack([x, y])
-    model = regression.solve(500, data.mean(axis=0), np.cov(data.T, bias=True), OPEN)
+    model = regression.solve(moments_of(data), OPEN)
     assert model.coefficients == pytest.approx((1e-9, 0.7), rel=1e-4)
 
 

@@ -117,9 +117,32 @@ def _wide(long_rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 def runs_wide(ledger: Ledger, runs: DataFrame, metrics: Sequence[str], tags: Sequence[str]) -> DataFrame:
     """Runs with ``metrics_<key>`` and ``tags_<key>`` columns; NULL where a run lacks the key."""
-    return runs.join(_wide(ledger.latest_metrics, metrics, "metrics_"), "run_uuid", "left").join(
-        _wide(ledger.tags, tags, "tags_"), "run_uuid", "left"
-    )
+    for long_rows, keys, prefix in ((ledger.latest_metrics, metrics, "metrics_"), (ledger.tags, tags, "tags_")):
+        if keys:
+            runs = runs.join(_wide(long_rows, keys, prefix), "run_uuid", "left")
+    return runs
+
+
+def search_runs(
+    ledger: Ledger,
+    experiments: Sequence[int] | None = None,
+    view: str = ACTIVE,
+    metrics: Sequence[str] = (),
+    tags: Sequence[str] = (),
+    condition: Column | None = None,
+    order_by: Sequence[Column] = (),
+    max_results: int | None = None,
+) -> DataFrame:
+    """Wide runs by experiment, lifecycle and any condition on their columns, in order, up to a number of results."""
+    runs = by_view(ledger.runs, view)
+    if experiments is not None:
+        runs = runs.where(F.col("experiment_id").isin(*experiments))
+    found = runs_wide(ledger, runs, metrics, tags)
+    if condition is not None:
+        found = found.where(condition)
+    if order_by:
+        found = found.orderBy(*order_by)
+    return found if max_results is None else found.limit(max_results)
 
 
 def _rank_columns(metrics: dict[str, str]) -> list[Column]:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.contracts import FEATURES, LABEL
@@ -35,6 +35,22 @@ class Setting:
     positive: bool = True
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Count, incomplete rows, means and covariances of features and label; the label comes last."""
+
+    n: int
+    incomplete: int
+    means: tuple[float, ...]
+    covariances: tuple[tuple[float, ...], ...]
+
+    def check(self) -> None:
+        if not self.n:
+            raise ValueError("no rows to fit or evaluate a model on")
+        if self.incomplete:
+            raise ValueError(f"{self.incomplete} rows have no value for a feature or the label")
+
+
 # The two candidates that every retraining compares.
 CANDIDATES = (Setting(True, True), Setting(False, False))
 
@@ -42,7 +58,7 @@ CANDIDATES = (Setting(True, True), Setting(False, False))
 def moments(
     rows: DataFrame | GroupedData, features: Sequence[str] = FEATURES, label: str = LABEL
 ) -> DataFrame:
-    """Count, incomplete rows, means and covariance matrix of features and label (the label comes last)."""
+    """Columns of ``Moments``: one row, or one per group."""
     columns = [F.col(c).cast("double") for c in [*features, label]]
     complete = F.lit(True)
     for column in columns:
@@ -61,6 +77,15 @@ def moments(
     )
 
 
+def as_moments(row: Row) -> Moments:
+    return Moments(row.n, row.incomplete, tuple(row.means), tuple(map(tuple, row.covariances)))
+
+
+def collect_moments(rows: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> Moments:
+    """The one row of moments, all that a fit or an evaluation brings to the driver."""
+    return as_moments(moments(rows, features, label).first())
+
+
 def _solve(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
     """Solution of the normal equations; the shortest one when they leave a choice."""
     if not len(cross):
@@ -87,10 +112,9 @@ def _solve_positive(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
     return best
 
 
-def solve(n: int, means: Sequence[float], covariances: Sequence[Sequence[float]], setting: Setting) -> LinearModel:
-    if n == 0:
-        raise ValueError("no rows to fit a model on")
-    means, covariances = np.array(means), np.array(covariances)
+def solve(found: Moments, setting: Setting) -> LinearModel:
+    found.check()
+    means, covariances = np.array(found.means), np.array(found.covariances)
     feature_means, label_mean = means[:-1], means[-1]
     gram, cross = covariances[:-1, :-1], covariances[:-1, -1]
     if not setting.fit_intercept:
@@ -99,25 +123,19 @@ def solve(n: int, means: Sequence[float], covariances: Sequence[Sequence[float]]
     coefficients = (_solve_positive if setting.positive else _solve)(gram, cross)
     intercept = label_mean - coefficients @ feature_means if setting.fit_intercept else 0.0
     return LinearModel(
-        setting.fit_intercept, setting.positive, int(n), float(intercept), tuple(float(c) for c in coefficients)
+        setting.fit_intercept, setting.positive, found.n, float(intercept), tuple(float(c) for c in coefficients)
     )
 
 
-def check_complete(incomplete: int) -> None:
-    if incomplete:
-        raise ValueError(f"{incomplete} rows have no value for a feature or the label")
-
-
 def fit_linear(
     rows: DataFrame,
     settings: Sequence[Setting] = CANDIDATES,
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
 ) -> list[LinearModel]:
-    """One model per setting from one pass over ``rows``; only the moments row comes to the driver."""
-    row = moments(rows, features, label).first()
-    check_complete(row.incomplete)
-    return [solve(row.n, row.means, row.covariances, setting) for setting in settings]
+    """One model per setting from one pass over ``rows``."""
+    found = collect_moments(rows, features, label)
+    return [solve(found, setting) for setting in settings]
 
 
 def models_frame(spark: SparkSession, models: Sequence[LinearModel]) -> DataFrame:
@@ -125,31 +143,25 @@ def models_frame(spark: SparkSession, models: Sequence[LinearModel]) -> DataFram
     return spark.createDataFrame(rows, MODEL_COLUMNS)
 
 
-def linear_errors(models: DataFrame, moments_row: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+def linear_errors(models: DataFrame, found: Moments) -> DataFrame:
     """Adds ``n``, ``mse`` and ``r2`` to models (``intercept``, ``coefficients``) for the rows behind the moments.
 
     With residual r = y - a - b.x: mse = mean(r)^2 + var(r), and var(r) = var(y) - 2 b.cov(x, y) + b'.cov(x).b.
-    The work is rows + models instead of rows x models.
+    The moments are plain numbers here, so this is a projection of the models: rows + models of work, not rows x models.
     """
-    last = len(features)
-    width = range(last)
-    b = [F.col("coefficients")[i] for i in width]
-    mean = [F.col("means")[i] for i in range(last + 1)]
-
-    def cov(i: int, j: int) -> Column:
-        return F.col("covariances")[i][j]
-
-    bias = mean[last] - F.col("intercept")
-    spread = cov(last, last)
-    for i in width:
-        bias = bias - b[i] * mean[i]
-        spread = spread - 2 * b[i] * cov(i, last)
-        for j in width:
-            spread = spread + b[i] * b[j] * cov(i, j)
-    # moments_row is a global aggregate: exactly one row, so this pairs nothing with anything else.
-    scored = models.drop("n").crossJoin(F.broadcast(moments_row))
+    found.check()
+    *feature_means, label_mean = found.means
+    last = len(feature_means)
+    b = [F.col("coefficients")[i] for i in range(last)]
+    bias = F.lit(label_mean) - F.col("intercept")
+    spread = F.lit(found.covariances[last][last])
+    for i in range(last):
+        bias = bias - b[i] * F.lit(feature_means[i])
+        spread = spread - b[i] * F.lit(2 * found.covariances[i][last])
+        for j in range(last):
+            spread = spread + b[i] * b[j] * F.lit(found.covariances[i][j])
     return (
-        scored.withColumn("mse", bias * bias + F.greatest(spread, F.lit(0.0)))
-        .withColumn("r2", r2_from_parts(F.col("n"), F.col("mse"), cov(last, last)))
-        .drop("incomplete", "means", "covariances")
+        models.withColumn("n", F.lit(found.n).cast("bigint"))
+        .withColumn("mse", bias * bias + F.greatest(spread, F.lit(0.0)))
+        .withColumn("r2", r2_from_parts(F.col("n"), F.col("mse"), F.lit(found.covariances[last][last])))
     )

@@ -15,7 +15,8 @@ from tillcast.operators.regression import (
     CANDIDATES,
     LinearModel,
     Setting,
-    check_complete,
+    as_moments,
+    collect_moments,
     linear_errors,
     models_frame,
     moments,
@@ -38,23 +39,13 @@ def train(
     """
     pairs = stage(pairs, "pairs")
     point = find_split(pairs, holdout, test_size)
-    parts = {
-        row.training: row
-        for row in moments(pairs.groupBy(is_training(point).alias("training"))).collect()
-    }
+    by_part = moments(pairs.groupBy(is_training(point).alias("training")))
+    parts = {row.training: as_moments(row) for row in by_part.collect()}
     if True not in parts:
         raise ValueError(f"{point.rows} pairs leave no training rows")
-    for row in parts.values():
-        check_complete(row.incomplete)
-    fitted = parts[True]
-    models = [solve(fitted.n, fitted.means, fitted.covariances, setting) for setting in settings]
-    spark = pairs.sparkSession
-    test = spark.createDataFrame(
-        [parts[False]], "training boolean, n bigint, incomplete bigint, means array<double>, "
-        "covariances array<array<double>>"
-    ).drop("training")
-    trained = models_frame(spark, models)
-    return linear_errors(trained, test).withColumn("n", F.lit(fitted.n).cast("bigint"))
+    models = [solve(parts[True], setting) for setting in settings]
+    trained = linear_errors(models_frame(pairs.sparkSession, models), parts[False])
+    return trained.withColumn("n", F.lit(parts[True].n).cast("bigint"))
 
 
 def run_training(
@@ -76,7 +67,7 @@ def run_training(
 
 def evaluate_models(models: DataFrame, pairs: DataFrame) -> DataFrame:
     """``n``, ``mse`` and ``r2`` of every linear model over the same pairs."""
-    return linear_errors(models, moments(pairs))
+    return linear_errors(models, collect_moments(pairs))
 
 
 def run_evaluation(
@@ -84,9 +75,7 @@ def run_evaluation(
 ) -> dict[str, DataFrame]:
     """Evaluate every logged model of the experiment; the ledger rows, one run per model."""
     models = ledger.logged_models.where(F.col("experiment_id") == experiment_id(ledger, experiment))
-    # Stored: it feeds four ledger tables.
-    evaluations = stage(evaluate_models(models, evaluation_pairs(revenue, start, end)), "evaluations")
-    return evaluation_rows(evaluations, start_time)
+    return evaluation_rows(evaluate_models(models, evaluation_pairs(revenue, start, end)), start_time)
 
 
 def evaluate_latest(ledger: Ledger, experiment: str, rows: DataFrame, features=FEATURES, label="revenue") -> DataFrame:

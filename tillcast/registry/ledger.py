@@ -13,7 +13,6 @@ from tillcast.operators.pairs import evaluation_pairs
 from tillcast.plans import training, update
 from tillcast.registry.common import EVALUATION_RANGE, revenue
 from tillcast.registry.forecast import EVALUATED
-from tillcast.session import stage
 from tillcast.sources.retail_ledger import ledger
 
 EXPERIMENT = "1-URGENT"
@@ -76,6 +75,18 @@ def ledger_runs_wide(spark, folder):
     )
 
 
+def ledger_search_runs(spark, folder):
+    """The hundred runs with the least error of all active runs whose R2 is below one half."""
+    return search.search_runs(
+        ledger(spark, folder),
+        metrics=["mse", "r2"],
+        tags=["evaluated_model_uri"],
+        condition=F.col("metrics_r2") < 0.5,
+        order_by=[F.asc_nulls_last("metrics_mse"), F.asc("run_uuid")],
+        max_results=100,
+    )
+
+
 def ledger_best_run(spark, folder):
     tables = ledger(spark, folder)
     return search.best_runs(tables, search.by_view(tables.runs), METRICS)
@@ -201,8 +212,7 @@ def ledger_log_run(spark, folder):
     """Every model evaluated, each in a run of its own: the metric and tag rows that are logged."""
     tables = ledger(spark, folder)
     pairs = evaluation_pairs(revenue(spark, folder), *EVALUATION_RANGE)
-    evaluations = stage(training.evaluate_models(tables.logged_models, pairs), "evaluations")
-    rows = write.evaluation_rows(evaluations, START)
+    rows = write.evaluation_rows(training.evaluate_models(tables.logged_models, pairs), START)
     rounded = F.when(F.col("key") == "mse", F.round("value", -3)).otherwise(F.round("value", 6))
     return rows["metrics"].select("run_uuid", "key", rounded.alias("metric")).unionByName(
         rows["tags"].select("run_uuid", "key", F.col("value").alias("tag")), allowMissingColumns=True
@@ -314,6 +324,15 @@ LEFT JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
 LEFT JOIN tags te ON te.run_uuid = r.run_uuid AND te.key = 'evaluated_model_uri'
 LEFT JOIN tags tc ON tc.run_uuid = r.run_uuid AND tc.key = 'created_model_uri'
 WHERE r.lifecycle_stage = 'active'""",
+    "ledger_search_runs": f"""
+WITH {LONG}
+SELECT r.*, m.value AS metrics_mse, q.value AS metrics_r2, te.value AS tags_evaluated_model_uri
+FROM runs r
+LEFT JOIN metrics m ON m.run_uuid = r.run_uuid AND m.key = 'mse'
+LEFT JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
+LEFT JOIN tags te ON te.run_uuid = r.run_uuid AND te.key = 'evaluated_model_uri'
+WHERE r.lifecycle_stage = 'active' AND q.value < 0.5
+ORDER BY m.value ASC NULLS LAST, r.run_uuid LIMIT 100""",
     "ledger_best_run": f"""
 WITH {LONG}, placed AS (
     SELECT r.run_uuid, r.experiment_id, m.value AS mse, q.value AS r2,
