@@ -1,8 +1,8 @@
 """Time registered queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3), and BENCH_QUERIES: names
-separated by commas, or ``all``; by default the headline queries. Each query runs once to warm up; its time is the median
-of the runs after that, planning and stored intermediate tables included.
+separated by commas, or ``all``; by default the headline queries. Each query runs once to warm up; its time is the
+median of the runs after that, planning and stored intermediate tables included.
 """
 
 from __future__ import annotations

@@ -114,7 +114,8 @@ def test_wide_runs(ledger):
 
 
 def test_search_runs(ledger):
-    found = search.search_runs(ledger, [1], metrics=["mse"], condition=F.col("metrics_mse") < 6, order_by=[F.desc("run_uuid")])
+    small = F.col("metrics_mse") < 6
+    found = search.search_runs(ledger, [1], metrics=["mse"], condition=small, order_by=[F.desc("run_uuid")])
     assert [r.run_uuid for r in found.collect()] == ["r2", "r1"]
     newest = search.search_runs(ledger, view="all", order_by=[F.desc("start_time")], max_results=2)
     assert [r.run_uuid for r in newest.collect()] == ["r4", "r3"]
@@ -210,9 +211,8 @@ def test_delete_versions(spark, ledger):
 
 
 def test_register_and_promote(spark, ledger):
-    new = literal_rows(
-        spark, [("sales", "models:/m2", "r2"), ("fresh", "models:/m4", "r4")], "name string, source string, run_id string"
-    )
+    rows = [("sales", "models:/m2", "r2"), ("fresh", "models:/m4", "r4")]
+    new = literal_rows(spark, rows, "name string, source string, run_id string")
     promoted = update.promote_models(ledger, new)
     assert names(promoted.model_versions, "name", "version", "current_stage") == [
         ("alt", 7, "None"),

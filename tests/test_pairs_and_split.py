@@ -22,7 +22,9 @@ def test_training_label_may_lie_after_the_end(revenue, rows):
     assert rows(found) == [(3, dt.date(2025, 5, 1), dt.date(2025, 6, 1))]
 
 
-@pytest.mark.parametrize("start,end", [("1995-01-15", "1996-02-10"), ("1995-02-01", "1995-02-01"), ("1995-01-01", "1999-01-01")])
+@pytest.mark.parametrize(
+    "start,end", [("1995-01-15", "1996-02-10"), ("1995-02-01", "1995-02-01"), ("1995-01-01", "1999-01-01")]
+)
 def test_pairs_equal_the_self_join(spark, rows, start, end):
     """Brute force over random gaps, NULL keys and NULL revenue."""
     rng = random.Random(7)

@@ -101,7 +101,9 @@ def four_step_metrics(spark, revenue, predictions):
                {over(0, 'mp', worst)} AS maxErrorLastMonth, (SELECT modelURI FROM latest) AS modelURI""")
 
 
-@pytest.mark.parametrize("uris", [("a", "a", "a", "a"), ("a", "b", "b", "b"), ("b", None, "a", "b"), ("a", "a", "b", None)])
+@pytest.mark.parametrize(
+    "uris", [("a", "a", "a", "a"), ("a", "b", "b", "b"), ("b", None, "a", "b"), ("a", "a", "b", None)]
+)
 @pytest.mark.parametrize("ahead", [0, 1])
 def test_metrics_equal_the_four_queries(spark, day, uris, ahead):
     """Model changes, NULL URIs, repeated predictions, clients without one, and predictions a month ahead."""

@@ -56,9 +56,7 @@ def test_example_evaluation(spark, revenue):
     first, second = training.evaluate_models(models, chosen).orderBy("mse").collect()
     assert (first.n, first.mse, first.r2) == (2, 0, 1)
     assert (second.mse, second.r2) == pytest.approx((29.863325, 0), abs=1e-5)
-    scored = scoring.score(
-        chosen.withColumn("nextMonth", F.col("nextMonth")), LinearModel(False, False, 1, 0.0, (48 / 265, 256 / 265)), "u"
-    )
+    scored = scoring.score(chosen, LinearModel(False, False, 1, 0.0, (48 / 265, 256 / 265)), "u")
     assert sorted(r.predictedRevenue for r in scored.collect()) == pytest.approx([16, 23.728302], abs=1e-6)
 
 

@@ -82,7 +82,9 @@ def ledger(large):
         F.when(F.col("id") == 3, "Production").otherwise("None").alias("current_stage"),
         F.lit("READY").alias("status"),
     )
-    names = large.range(1, 1012).select(F.col("id").cast("string").alias("name"), F.lit("active").alias("lifecycle_stage"))
+    names = large.range(1, 1012).select(
+        F.col("id").cast("string").alias("name"), F.lit("active").alias("lifecycle_stage")
+    )
     return empty_ledger(large).with_tables(
         tags=stage(tags, "tags"), model_versions=stage(versions, "versions"), registered_models=stage(names, "names")
     )

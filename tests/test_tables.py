@@ -77,11 +77,13 @@ def test_bucketed_revenue_pairs_up_without_a_shuffle(spark, schema, revenue, row
 def test_append_casts_and_matches_by_name(spark, schema, rows):
     name = f"{schema}.t"
     sinks.create_table_if_absent(spark, name, PREDICTIONS)
-    given = spark.sql("SELECT 'u' AS modelURI, 2.5D AS predictedRevenue, 7L AS clientID, timestamp_ntz'2025-03-01' AS month")
+    given = spark.sql(
+        "SELECT 'u' AS modelURI, 2.5D AS predictedRevenue, 7L AS clientID, timestamp_ntz'2025-03-01' AS month"
+    )
     sinks.append(given, name)
     assert rows(spark.table(name)) == [(7, dt.date(2025, 3, 1), 2.5, "u")]
     with pytest.raises(Exception, match="(?i)overflow"):
-        sinks.append(given.selectExpr("modelURI", "predictedRevenue", "clientID + 3000000000 AS clientID", "month"), name)
+        sinks.append(given.withColumn("clientID", given.clientID + 3_000_000_000), name)
     assert spark.table(name).count() == 1
 
 

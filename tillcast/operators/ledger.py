@@ -251,12 +251,11 @@ def registered_model_names(
     """Names by experiment or by run; a name found for several runs is repeated."""
     if experiment is None and run_id is None:
         raise ValueError("give an experiment or a run")
-    runs = by_view(ledger.runs)
     if experiment is not None:
-        runs = runs.where(F.col("experiment_id") == experiment_id(ledger, experiment))
-    else:
-        runs = ledger.runs.where(F.col("run_uuid") == run_id)
-    return registered_names(ledger, runs).select("name")
+        runs = by_view(ledger.runs).where(F.col("experiment_id") == experiment_id(ledger, experiment))
+        return registered_names(ledger, runs).select("name")
+    of_run = visible_versions(ledger.model_versions).where(F.col("run_id") == run_id)
+    return of_run.orderBy(F.desc("version"), "name").limit(1).select("name")
 
 
 def latest_in_stage(ledger: Ledger, stage: str = PRODUCTION) -> DataFrame:

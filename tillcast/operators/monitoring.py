@@ -55,9 +55,9 @@ def _error():
 def _window_metrics(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
     """One row with the month, the four figures (NULL where nothing could be compared) and the latest model's URI.
 
-    RMSE_1 and the maximum error take every model's predictions, RMSE_2 and RMSE_3 only the latest model's. The two newest
-    months and the URI are looked up first, so that plain values bound both scans; then one join over three months feeds
-    all figures. It is an inner join because a row without a prediction adds to no figure.
+    RMSE_1 and the maximum error take every model's predictions, RMSE_2 and RMSE_3 only the latest model's. The two
+    newest months and the URI are looked up first, so that plain values bound both scans; then one join over three months
+    feeds all figures. It is an inner join because a row without a prediction adds to no figure.
     """
     newest = F.lit(revenue.agg(F.max("month")).first()[0]).cast("date")
     newest_predicted = F.lit(predictions.agg(F.max("month")).first()[0]).cast("date")

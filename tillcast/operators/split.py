@@ -37,8 +37,8 @@ def split_index(rows: int, test_size: float = TEST_SIZE) -> int:
 def key_at_position(keys: DataFrame, column: str, position: int, low: int, high: int) -> int:
     """The key at ``position`` (1-based) of the ascending order of integers in [low, high], by narrowing that range.
 
-    Each pass returns at most RANGES counts and divides the range by RANGES: two passes for a 32-bit key span, four for 64
-    bits, however the keys are spread.
+    Each pass returns at most RANGES counts and divides the range by RANGES: two passes for a 32-bit key span, four for
+    64 bits, however the keys are spread.
     """
     while low < high:
         width = -(-(high - low + 1) // RANGES)

@@ -56,8 +56,10 @@ def ledger_run_by_id(spark, folder):
 
 def ledger_runs_by_view(spark, folder):
     runs = ledger(spark, folder).runs
-    views = [search.by_view(runs, view).select(F.lit(view).alias("view"), "run_uuid") for view in ("active", "deleted", "all")]
-    return views[0].union(views[1]).union(views[2])
+    active, deleted, both = [
+        search.by_view(runs, view).select(F.lit(view).alias("view"), "run_uuid") for view in ("active", "deleted", "all")
+    ]
+    return active.union(deleted).union(both)
 
 
 def ledger_runs_after(spark, folder):
@@ -130,9 +132,9 @@ def ledger_soft_delete_run(spark, folder):
     made = tables.logged_models.select(F.col("source_run_id").alias("run_uuid"))
     after = delete.soft_delete_runs(tables, made)
     versions = F.concat_ws(":", "name", F.col("version").cast("string"))
+    runs = after.runs.select(F.lit("run"), "run_uuid", "lifecycle_stage").toDF("kind", "id", "state")
     return (
-        after.runs.select(F.lit("run").alias("kind"), F.col("run_uuid").alias("id"), F.col("lifecycle_stage").alias("state"))
-        .union(after.registered_models.select(F.lit("name"), "name", "lifecycle_stage"))
+        runs.union(after.registered_models.select(F.lit("name"), "name", "lifecycle_stage"))
         .union(after.model_versions.select(F.lit("version"), versions, "current_stage"))
     )
 
@@ -165,7 +167,8 @@ def ledger_orphan_models(spark, folder):
 
 def ledger_delete_experiment(spark, folder):
     kept, _ = delete.delete_experiment(ledger(spark, folder), EXPERIMENT, hard_delete=True)
-    return _with_row_counts(kept, "experiments", "logged_models", "model_versions", "registered_models", *search.RUN_TABLES)
+    registry_tables = ("experiments", "logged_models", "model_versions", "registered_models")
+    return _with_row_counts(kept, *registry_tables, *search.RUN_TABLES)
 
 
 def ledger_artifact_paths(spark, folder):

@@ -30,7 +30,8 @@ def _nation_tables(spark, folder):
 
 
 def _stored_predictions(df):
-    return df.select("clientID", "month", F.col("predictedRevenue").cast("double").alias("predictedRevenue"), "modelURI")
+    value = F.col("predictedRevenue").cast("double").alias("predictedRevenue")
+    return df.select("clientID", "month", value, "modelURI")
 
 
 def src_literal_rows(spark, folder):
@@ -120,8 +121,9 @@ def sink_legacy_overwrite(spark, folder):
     table = f"{_schema(spark)}.predictions"
     model = regression.LinearModel(True, False, 0, 10.0, (0.5, 2.0, 0.25))
     revenue = stage(common.revenue(spark, folder), "revenue")
+    columns = "clientID bigint, month date, predictedRevenue float"
     for _ in range(2):
-        prediction.rebuild_predictions(spark, revenue, table, model, "clientID bigint, month date, predictedRevenue float")
+        prediction.rebuild_predictions(spark, revenue, table, model, columns)
     return spark.table(table).withColumn("predictedRevenue", F.col("predictedRevenue").cast("double"))
 
 

@@ -24,7 +24,9 @@ def _experiment():
 
 def experiments(orders: DataFrame) -> DataFrame:
     return orders.select(
-        _experiment().alias("experiment_id"), F.col("o_orderpriority").alias("name"), F.lit("active").alias("lifecycle_stage")
+        _experiment().alias("experiment_id"),
+        F.col("o_orderpriority").alias("name"),
+        F.lit("active").alias("lifecycle_stage"),
     ).distinct()
 
 

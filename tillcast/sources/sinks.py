@@ -101,8 +101,8 @@ def _write_v2(df: DataFrame, table: str, layout: Layout) -> None:
 def rebuild_tables(frames: dict[str, DataFrame], layout: Layout = PLAIN) -> None:
     """Replace whole tables by frames that may read the tables they replace.
 
-    V1: the rows first go to tables beside the old ones, which then take their names, so a job that fails half-way leaves
-    the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
+    V1: the rows first go to tables beside the old ones, which then take their names, so a job that fails half-way
+    leaves the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
     """
     beside = {}
     for table, df in frames.items():
