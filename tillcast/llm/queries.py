@@ -3,21 +3,125 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillcast.llm import near_dup
+from tillcast.llm import near_dup, quality_rules, url_filter
+
+#: The rules that pages are judged by.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of every document, and whether the rules keep it."""
+    judged = quality_rules.judge(_read(spark, sf_dir, "documents"))
+    return judged.drop("n_lines", "n_ellipsis_lines", "n_bullet_lines")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"), size=2)
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the rules, else by the list: URLs of pages whose document is labelled poor or toxic."""
+    pages = _read(spark, sf_dir, "pages")
+    poor = _read(spark, sf_dir, "labels").where("quality = 0 OR toxic = 1").select("doc_id").distinct()
+    number = F.regexp_extract(url_filter.path(F.col("url")), r"^/[a-z]+/([0-9]{1,18})", 1)
+    numbered = pages.select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    listed = numbered.join(poor, "doc_id", "left_semi").select("url")
+    return url_filter.judge(pages, listed, URL_RULES)
+
+
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+_STOPS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
+
+_OP4 = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents
+), parts AS (
+  SELECT k, doc_id, t,
+    list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM texts
+), windows AS (
+  SELECT k, i, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM parts WHERE len(w) >= 5)
+), repeated AS (
+  SELECT DISTINCT k, i + unnest([0, 1, 2, 3, 4]) AS place
+  FROM (SELECT k, i, count(*) OVER (PARTITION BY k, s) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT k, count(*) AS n FROM repeated GROUP BY k
+), counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: x IN ({_STOPS})))::BIGINT AS n_stop_words,
+    len(list_filter(l, lambda x: suffix(x, '...') OR suffix(x, '…')))::BIGINT AS n_ellipsis_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09]*[-*•]\x20')))::BIGINT AS n_bullet_lines,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}')))::BIGINT AS n_letter_words
+  FROM parts LEFT JOIN covered USING (k)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, n_letter_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 100 * n_symbols <= 30 * n_words
+  AND 100 * n_stop_words >= 2 * n_words AND 100 * n_dup_lines <= 30 * n_lines
+  AND 100 * n_ellipsis_lines <= 50 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines
+  AND 100 * n_letter_words >= 70 * n_words AS kept
+FROM judged
+"""
+
+_OP10 = r"""
+WITH rests AS (
+  SELECT page_id, url, strpos(url, '://') > 0 AS ok, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+    CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+    CASE WHEN ok THEN list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|gclid|fbclid)='))) ELSE [] END AS own
+  FROM rests
+), pages_seen AS (
+  SELECT page_id, host, path, host || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(own) > 0 THEN '?' || array_to_string(own, '&') ELSE '' END AS canonical,
+    TRY_CAST(nullif(regexp_extract(path, '^/[a-z]+/([0-9]{1,18})', 1), '') AS BIGINT) AS number
+  FROM parts
+), listed_urls AS (
+  SELECT DISTINCT canonical FROM pages_seen
+  WHERE number IN (SELECT doc_id FROM labels WHERE quality = 0 OR toxic = 1) AND canonical <> ''
+), ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'www.example.com' OR suffix(host, '.www.example.com')) AND prefix(path, '/en/')
+        THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/en/') THEN 'example.com/en/'
+      WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/es/') THEN 'net/es/'
+      WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/fr/') THEN 'net/fr/'
+      WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/') THEN 'com/' END AS rule,
+    EXISTS (SELECT 1 FROM listed_urls l WHERE l.canonical = pages_seen.canonical) AS listed
+  FROM pages_seen
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM ruled
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": _OP4,
+    "op10_url_filter": _OP10,
+}
