@@ -27,20 +27,21 @@ STOP_WORDS = (
 
 
 class Rule(NamedTuple):
-    """``low <= 100 * part / whole <= high`` (None: no bound) where ``whole`` is not 0."""
+    """``low <= 100 * part / whole <= high`` (None: no bound) where ``whole`` is at least ``least``."""
 
     name: str
     part: str
     whole: str
     low: int | None
     high: int | None
+    least: int = 1
 
 
 RULES = (
     Rule("mean word length", "word_chars", "n_words", 200, 1500),
     Rule("symbols per word", "n_symbols", "n_words", None, 30),
-    Rule("stop words", "n_stop_words", "n_words", 2, None),
-    Rule("repeated lines", "n_dup_lines", "n_lines", None, 30),
+    Rule("stop words", "n_stop_words", "n_words", 2, None, 50),
+    Rule("repeated lines", "n_dup_lines", "n_lines", None, 40),
     Rule("lines that end in an ellipsis", "n_ellipsis_lines", "n_lines", None, 50),
     Rule("bulleted lines", "n_bullet_lines", "n_lines", None, 90),
     Rule("words with a letter", "n_letter_words", "n_words", 70, None),
@@ -108,7 +109,7 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
         share, whole = 100 * F.col(rule.part), F.col(rule.whole)
         for bound, holds in ((rule.low, lambda b: share >= b * whole), (rule.high, lambda b: share <= b * whole)):
             if bound is not None:
-                out = out & ((whole == 0) | holds(bound))
+                out = out & ((whole < rule.least) | holds(bound))
     return out
 
 

@@ -80,7 +80,7 @@ WITH texts AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, n_letter_words, base_failed,
   NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 100 * n_symbols <= 30 * n_words
-  AND 100 * n_stop_words >= 2 * n_words AND 100 * n_dup_lines <= 30 * n_lines
+  AND (n_words < 50 OR 100 * n_stop_words >= 2 * n_words) AND 100 * n_dup_lines <= 40 * n_lines
   AND 100 * n_ellipsis_lines <= 50 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines
   AND 100 * n_letter_words >= 70 * n_words AS kept
 FROM judged
