@@ -4,11 +4,12 @@
    equal sets form one class and go on as one node, so exact copies cost nothing further.
 2. Inverted lists of retained values: a value's list holds the nodes that retain it. Two linked texts share at least
    ``need`` retained values (exact for small sets; for others missed with a chance below 1e-9 a link), so it is enough
-   to list a node under its rarest values, all but ``need - 1`` of them: one of them is in both nodes' lists. Frequent
-   values are left out by this without a cap.
+   to list a node under its rarest values, all but ``need - 2`` of them: two of them are in both nodes' lists. Frequent
+   values are left out by this without a cap, and the more frequent of the rest are listed two together.
 3. The first node of every list is compared with the rest (a star, linear in the list); what is linked falls into
-   components. Then only nodes of *different* components that meet in a list are compared. Nodes listed under a very
-   frequent value go on with their full sets instead of their sketches, where rare shingles tell them apart.
+   components. Then only nodes of *different* components that meet in a list are compared. Nodes of long lists that
+   are still not one component go on with their full sets instead of their sketches, where rare shingles and the number
+   of values that can still be shared tell them apart.
 4. Pairs whose sizes fit are filtered by the union sketch: of the smallest values of both sketches together, how many
    are in both. What passes is confirmed on full sets, fetched for those nodes only.
 
@@ -35,6 +36,8 @@ from tillcast.session import stage
 #: average; fewer than 11 with a chance of about 3e-10.
 KEPT = 32
 SHARED = 11
+#: Values of more nodes are listed two together.
+SHORT_LIST = 8
 #: Longer lists are hot: their nodes are paired by full sets.
 HOT_LIST = 64
 #: Rows up to which a side of a join is broadcast: long keys, about 40 bytes each.
@@ -82,29 +85,54 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if _is_small(df) else df
 
 
-def _lists(entries: DataFrame) -> DataFrame:
-    """(value, df, node, n, need), from entries (node, n, need, value): each node under its rarest values.
+def _shared(entries: DataFrame) -> DataFrame:
+    """(node, n, need, shared): the values that other nodes have too, rarest first; entries are (node, n, need, value).
 
-    Values of one node only are in no list, and as they are the rarest, what remains of the rarest all-but-need-1
-    values of a node with m shared ones are its m - need + 1 rarest shared ones.
+    Values of one node only meet nothing, and as they are the rarest, what remains of the rarest all-but-need-1 values
+    of a node with m shared ones are its m - need + 1 rarest shared ones.
     """
     frequent = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = entries.join(frequent, "value").groupBy("node", "n", "need")
     shared = shared.agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
+    return shared.where(F.size("shared") >= F.col("need"))
+
+
+def _sketch_lists(entries: DataFrame) -> DataFrame:
+    """(value, node, n, rest) from sketches.
+
+    Linked nodes that share ``need`` >= 2 values share two of their rarest all-but-need-2 ones. A value of few nodes is
+    a list; of the more frequent ones each two together are, so that lists stay short however often a value occurs.
+    Nodes of one shingle have no links.
+    """
+    rarest = _shared(entries.where("need > 1"))
+    rarest = rarest.withColumn("r", F.slice("shared", 1, F.size("shared") - F.col("need") + 2))
+    rarest = rarest.withColumn("often", F.transform(F.filter("r", lambda x: x["df"] > SHORT_LIST), lambda x: x["value"]))
+
+    def with_later(x, i):
+        return F.transform(F.slice("often", i + 2, F.size("often")), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))
+
+    alone = F.transform(F.filter("r", lambda x: x["df"] <= SHORT_LIST), lambda x: x["value"])
+    both = F.flatten(F.transform("often", with_later))
+    return rarest.select(F.explode(F.concat(alone, both)).alias("value"), "node", "n", F.col("n").alias("rest"))
+
+
+def _set_lists(entries: DataFrame) -> DataFrame:
+    """(value, node, n, rest) from full sets; rest: how many of the node's values come from this one on."""
     rarest = F.slice("shared", 1, F.size("shared") - F.col("need") + 1)
-    listed = shared.where(F.size("shared") >= F.col("need")).select("node", "n", F.explode(rarest).alias("e"))
-    return listed.select("e.value", "e.df", "node", "n")
+    listed = _shared(entries).select("node", "n", F.size("shared").alias("m"), F.posexplode(rarest).alias("at", "e"))
+    return listed.select("e.value", "node", "n", (F.col("m") - F.col("at")).cast("long").alias("rest"))
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that allow the similarity."""
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+def _fits(a: str, a_rest: str, b: str, b_rest: str, percent: int):
+    """Whether sets of these sizes are similar if they share all that is left from this value on: at the first value
+    that two linked sets share they still do. With ``rest`` = n it is the bound on sizes."""
+    return (100 + percent) * F.least(a_rest, b_rest) >= percent * (F.col(a) + F.col(b))
 
 
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
-    first = lists.groupBy("value").agg(F.min(F.struct("node", "n")).alias("f"))
-    first = first.select("value", F.col("f.node").alias("u"), F.col("f.n").alias("un"))
-    pairs = lists.join(first, "value").where("u < node").where(_fits("n", "un", percent))
+    first = lists.groupBy("value").agg(F.min(F.struct("node", "n", "rest")).alias("f"))
+    first = first.select("value", F.col("f.node").alias("u"), F.col("f.n").alias("un"), F.col("f.rest").alias("ur"))
+    pairs = lists.join(first, "value").where("u < node").where(_fits("n", "rest", "un", "ur", percent))
     return pairs.select("u", F.col("node").alias("v")).distinct()
 
 
@@ -113,17 +141,18 @@ def _with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _open(lists: DataFrame) -> DataFrame:
-    """Lists whose nodes are not all in one component."""
-    several = lists.groupBy("value").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-    return lists.join(several.select("value"), "value", "left_semi")
+    """Lists whose nodes are not all in one component, with their length."""
+    several = lists.groupBy("value").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("long"))
+    return lists.join(several.where("a < b").select("value", "long"), "value")
 
 
 def _across(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs that meet in a list and are in different components."""
-    a = lists.select("value", F.col("node").alias("u"), F.col("n").alias("un"), F.col("root").alias("ur"))
-    b = lists.select("value", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("root").alias("vr"))
-    on = (a["value"] == b["value"]) & (F.col("u") < F.col("v")) & (F.col("ur") != F.col("vr"))
-    return a.join(b, on & _fits("un", "vn", percent)).select("u", "v").distinct()
+    a = lists.select("value", *(F.col(c).alias(f"u_{c}") for c in ("node", "n", "rest", "root")))
+    b = lists.select("value", *(F.col(c).alias(f"v_{c}") for c in ("node", "n", "rest", "root")))
+    on = (a["value"] == b["value"]) & (F.col("u_node") < F.col("v_node")) & (F.col("u_root") != F.col("v_root"))
+    pairs = a.join(b, on & _fits("u_n", "u_rest", "v_n", "v_rest", percent))
+    return pairs.select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct()
 
 
 def _similar_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -181,18 +210,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         return stage(_confirmed(close, nodes, docs, size, percent), "links")
 
     entries = nodes.select("node", "n", "need", F.explode("shingles").alias("value"))
-    lists = stage(_lists(entries), "lists")
+    lists = stage(_sketch_lists(entries), "lists")
     links = similar(_stars(lists, percent))
     roots = stage(components(links), "roots")
 
     left = stage(_open(_with_roots(lists, roots)), "open")
-    links = links.unionByName(similar(_across(left.where(F.col("df") <= HOT_LIST), percent)))
+    links = links.unionByName(similar(_across(left.where(F.col("long") <= HOT_LIST), percent)))
 
-    hot = stage(left.where(F.col("df") > HOT_LIST).select("node").distinct(), "hot")
+    hot = stage(left.where(F.col("long") > HOT_LIST).select("node").distinct(), "hot")
     if hot.limit(1).count():
         sets = _full_sets(hot, nodes, docs, size)
         whole = F.ceil(F.col("n") * percent / 100).cast("int").alias("need")
-        lists = stage(_lists(sets.select("node", "n", whole, F.explode("shingles").alias("value"))), "hot-lists")
+        lists = stage(_set_lists(sets.select("node", "n", whole, F.explode("shingles").alias("value"))), "hot-lists")
         links = links.unionByName(similar(_stars(lists, percent)))
         roots = stage(components(links), "roots")
         left = stage(_open(_with_roots(lists, roots)), "hot-open")
