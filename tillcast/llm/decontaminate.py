@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import string
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,6 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.session import stage
+
+#: Documents up to which the leaked ids are broadcast: long keys, about 40 bytes each.
+BROADCAST_ROWS = 500_000
 #: Edits per 100 bytes of an item, and the shortest item that is looked for inside documents.
 PERCENT = 8
 LEAST = 32
@@ -144,15 +149,17 @@ class Finder:
         return least_distance(self.masks[index], len(pattern), text)
 
 
-_FINDERS: dict[int, tuple] = {}
+_SCHEMA = "doc_id long, item_id long, edits long, budget long"
+#: A worker's automaton, by the block it was made from.
+_FINDERS: dict[str, Finder] = {}
 
 
-def _search(shared, least: int):
+def _search(shared, key: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (shared._jbroadcast.id() if False else id(shared.value))
-        if _FINDERS.get(0, (None,))[0] != key:
-            _FINDERS[0] = (key, shared.value, Finder([Item(*x) for x in shared.value], least))
-        finder = _FINDERS[0][2]
+        if key not in _FINDERS:
+            _FINDERS.clear()
+            _FINDERS[key] = Finder([Item(*x) for x in shared.value], least)
+        finder = _FINDERS[key]
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -181,14 +188,17 @@ def leaks(
         found = sorted({(r["item_id"], normal(r["text"])) for r in mine.collect()}, key=repr)
         known = [(i, text, len(text) * percent // 100) for i, text in found if text]
         part = rows.mapInArrow(
-            _search(spark.sparkContext.broadcast(known), least), "doc_id long, item_id long, edits long, budget long"
+            _search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), _SCHEMA
         )
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose text holds no item, with the same columns."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    return plain
+    """The rows of ``docs`` without those whose doc_id has an item in its text; the columns stay. Rows with a null
+    doc_id are judged together."""
+    found = stage(leaks(docs, benchmark, percent).select("doc_id").distinct(), "leaks")
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    found = found.withColumnRenamed("doc_id", "leaked_id")
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id")), "left_anti")

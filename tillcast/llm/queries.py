@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import near_dup, quality_rules, url_filter
+from tillcast.llm import decontaminate, near_dup, packing, quality_rules, url_filter
 
 #: The rules that pages are judged by.
 URL_RULES = (
@@ -21,6 +21,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces, packed into sequences of at most 4096 tokens."""
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark, with the item and the edits between them."""
+    return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document, and whether the rules keep it."""
     judged = quality_rules.judge(_read(spark, sf_dir, "documents"))
@@ -43,6 +60,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_url_filter": op10_url_filter,
