@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, near_dup, packing, quality_rules, url_filter
+from tillcast.llm import cotrain, decontaminate, licenses, near_dup, packing, pii, quality_rules, toxicity, url_filter
 
 #: The rules that pages are judged by.
 URL_RULES = (
@@ -38,12 +38,41 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected severity of every document, by a model of its labelled ones."""
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document, and whether the rules keep it."""
     judged = quality_rules.judge(_read(spark, sf_dir, "documents"))
     return judged.drop("n_lines", "n_ellipsis_lines", "n_bullet_lines")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, by two views that train each other."""
+    docs = _read(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.train(docs, _read(spark, sf_dir, "labels")))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The own or inherited licence of every document; sources and languages are directories, and a document lies
+    the deeper in them the less round its id is."""
+    bucket = F.floor(F.col("doc_id") / 100).cast("string")
+    path = (
+        F.when(F.col("doc_id") % 100 == 0, F.concat_ws("/", "source", F.col("doc_id").cast("string")))
+        .when(F.col("doc_id") % 10 == 0, F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+        .otherwise(F.concat_ws("/", "source", "lang", bucket, F.col("doc_id").cast("string")))
+    )
+    return licenses.scan(_read(spark, sf_dir, "documents").withColumn("path", path))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(_read(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"), size=2)
@@ -62,7 +91,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_license_scan": op6_license_scan,
+    "op8_pii": op8_pii,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
