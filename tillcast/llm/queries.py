@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import cotrain, decontaminate, licenses, near_dup, packing, pii, quality_rules, toxicity, url_filter
+from tillcast.llm import (
+    cotrain,
+    decontaminate,
+    language_model,
+    licenses,
+    near_dup,
+    packing,
+    pii,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 
 #: The rules that pages are judged by.
 URL_RULES = (
@@ -68,6 +79,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_read(spark, sf_dir, "documents").withColumn("path", path))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document by words alone and by the bigram model of the training documents."""
+    return language_model.score(_read(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.report(_read(spark, sf_dir, "documents"))
@@ -95,6 +111,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_license_scan": op6_license_scan,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_pii": op8_pii,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_url_filter": op10_url_filter,

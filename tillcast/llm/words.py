@@ -36,13 +36,13 @@ class Words(NamedTuple):
     offsets: np.ndarray
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of texts of bounded bytes, with the index of their first text."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES, most: int = 2**31) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of at most ``most`` texts of bounded bytes, with the index of their first text."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         done = sizes[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
+        stop = max(at + 1, min(at + most, int(np.searchsorted(sizes, done + size, "right"))))
         yield at, texts.slice(at, stop - at)
         at = stop
 
