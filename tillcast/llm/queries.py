@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +33,9 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    """A vocabulary file of the installed public tokenizers."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces, packed into sequences of at most 4096 tokens."""
-    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(_read(spark, sf_dir, "documents"), packing.tokenizer_path())
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +98,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_toxicity": op3_toxicity,
