@@ -30,7 +30,7 @@ FEATURES = 4096
 #: Log ratio of rates from which a feature speaks for toxicity.
 STRONG = 2.0
 #: Probability of a grade above 0 from which a document is toxic.
-TOXIC = 0.4
+TOXIC = 0.25
 
 OCCURRENCES = sparse.word_features(prefixes=(5, 6, 7, 8))
 
