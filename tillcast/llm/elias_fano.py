@@ -23,9 +23,9 @@ def _ones(words: np.ndarray) -> np.ndarray:
 def _select_in_word(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The place of the rank-th set bit (from 0) of each word."""
     octets = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-    sums = np.cumsum(_BYTE_ONES[octets], axis=1, dtype=np.int64)
+    sums = np.cumsum(_BYTE_ONES[octets], axis=1, dtype=np.uint8)
     byte = (sums <= rank[:, None]).sum(axis=1)
-    before = np.where(byte > 0, np.take_along_axis(sums, np.maximum(byte - 1, 0)[:, None], 1)[:, 0], 0)
+    before = np.where(byte > 0, np.take_along_axis(sums, np.maximum(byte - 1, 0)[:, None], 1)[:, 0], 0).astype(np.int64)
     each = np.arange(len(words))
     return byte * 8 + _BYTE_SELECT[octets[each, np.minimum(byte, 7)], np.minimum(rank - before, 7)]
 
@@ -115,6 +115,8 @@ class EliasFano(NamedTuple):
 CHILD_BITS = 40
 #: Steps per unit of quantised base-10 logarithms, and the least value.
 STEPS, LEAST = 2048, -24.0
+#: Lookups made together.
+BLOCK = 2**16
 
 
 def quantise(logs: np.ndarray) -> np.ndarray:
@@ -164,7 +166,11 @@ class Trie:
         self.bytes = len(whole)
 
     def find(self, keys: np.ndarray, children: np.ndarray) -> np.ndarray:
-        """The value of each (key, child), or nan where there is none."""
+        """The value of each (key, child), or nan where there is none; so many at a time that little memory is used."""
+        parts = [self._find(keys[at : at + BLOCK], children[at : at + BLOCK]) for at in range(0, len(keys), BLOCK)]
+        return np.concatenate([np.zeros(0), *parts])
+
+    def _find(self, keys: np.ndarray, children: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), np.nan)
         node = self.keys.find(keys)
         hit = np.flatnonzero(node >= 0)

@@ -40,8 +40,8 @@ LAMBDA = 0.6
 MU = 20.0
 FREQUENT_SHARE, FREQUENT_COUNT = 2.0**-20, 64
 #: Bytes of text and documents of a run, and tokens of a shard.
-RUN_BYTES, RUN_DOCS = 8 * 2**20, 30_000
-SHARD_TOKENS = 3_000_000
+RUN_BYTES, RUN_DOCS = 6 * 2**20, 30_000
+SHARD_TOKENS = 2_000_000
 
 END = np.uint64(0x00E4D00000000001)
 START = np.uint64(0x0057A67000000001)
@@ -198,7 +198,7 @@ def _sums(rows: list[dict], counts: Counts) -> list[dict]:
     code = np.concatenate([_wide(r["contexts"]) for r in rows])
     size = joined("sizes", "<u4").astype(np.int64)
     doc = joined("docs", "<u2")
-    trained = np.add.reduceat((doc >> 15).astype(np.int64), np.cumsum(size) - size)
+    trained = np.add.reduceat((doc >> 15).astype(np.int32), np.cumsum(size) - size)
 
     order = np.lexsort((code, word))
     new_word, new_pair = np.ones((2, len(word)), bool)
@@ -235,19 +235,19 @@ def _sums(rows: list[dict], counts: Counts) -> list[dict]:
 
     back = np.empty(len(order), np.int64)
     back[order] = np.cumsum(new_pair) - 1  # the distinct pair of each run's pair
-    token = np.repeat(back, size)
-    score, base, hit = value[token], np.log10(single + 0.5)[of_word[token]], (single > 0)[of_word[token]]
-    out, at = [], 0
+    base, hit = np.log10(single + 0.5), single > 0
+    out, at, pair_at = [], 0, 0
     for row in rows:
-        stop = at + len(row["docs"]) // 2
+        stop, pair_stop = at + len(row["docs"]) // 2, pair_at + len(row["sizes"]) // 4
+        token = np.repeat(back[pair_at:pair_stop], size[pair_at:pair_stop])
         docs, place = np.unique(doc[at:stop] & 0x7FFF, return_inverse=True)
-        sums = [np.bincount(place, x[at:stop], len(docs)) for x in (base, score)]
+        sums = [np.bincount(place, x, len(docs)) for x in (base[of_word[token]], value[token])]
         out.append({
             "run": row["run"], "docs": docs.astype("<u2").tobytes(), "base": sums[0].tobytes(),
             "score": sums[1].astype("<f4").tobytes(),
-            "known": np.bincount(place, hit[at:stop], len(docs)).astype("<i4").tobytes(),
+            "known": np.bincount(place, hit[of_word[token]], len(docs)).astype("<i4").tobytes(),
         })
-        at = stop
+        at, pair_at = stop, pair_stop
     return out
 
 
