@@ -71,6 +71,7 @@ def main() -> None:
     for name in names:
         once(name)
         times[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
+    session.clean_up(spark)
     spark.stop()
     print(
         json.dumps(

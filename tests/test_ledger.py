@@ -66,7 +66,7 @@ def names(df, *columns):
 def test_experiments(ledger):
     assert search.experiment_id(ledger, "revenue") == 1
     for hidden in ("gone", "never"):
-        with pytest.raises(ValueError, match="not found"):
+        with pytest.raises(ValueError, match="no experiment is called"):
             search.experiment_id(ledger, hidden)
     assert search.experiment_id(ledger, "gone", view="all") == 3
 
@@ -93,7 +93,7 @@ def test_best_run(ledger):
 def test_best_model_errors(ledger):
     with pytest.raises(ValueError, match="neither tag"):
         search.best_model_uri(ledger, "other", {"mse": "lowest"})
-    with pytest.raises(ValueError, match="No runs"):
+    with pytest.raises(ValueError, match="no runs to choose"):
         search.best_model_uri(ledger, "bare", {"mse": "lowest"})
     with pytest.raises(ValueError, match="highest"):
         search.best_model_uri(ledger, "revenue", {"mse": "smallest"})
@@ -164,7 +164,7 @@ def test_delete_run_softly(ledger):
     assert names(search.visible_versions(result.model_versions), "name", "version") == [("alt", 7)]
     assert names(paths, "path") == [("artifacts:/m2",), ("runs:/r2",)]
     assert result.metrics.count() == ledger.metrics.count()
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="no run has the id"):
         delete.delete_run(ledger, "r9", "revenue")
     restored = delete.restore_runs(result, result.runs.where("run_uuid = 'r2'"))
     assert search.by_view(restored.runs).count() == 4

@@ -14,13 +14,13 @@ from tillcast.registry import common
 from tillcast.session import stage
 from tillcast.sources import retail, retail_ledger
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 
 @pytest.fixture(scope="module")
-def nation_revenue(spark):
-    return stage(common.nation_revenue(spark, FOLDER), "revenue")
+def client_revenue(spark):
+    return stage(common.revenue(spark, FOLDER), "revenue")
 
 
 def total(df, column):
@@ -36,17 +36,17 @@ def test_revenue_is_the_sum_of_priced_sales(spark):
     assert total(one_scan, "totalPrice") == total(built["fact_sales"], "totalPrice")
 
 
-def test_backlog_is_empty_after_predicting(spark, nation_revenue, schema):
+def test_backlog_is_empty_after_predicting(spark, client_revenue, schema):
     table = f"{schema}.predictions"
-    prediction.predict_backlog(spark, nation_revenue, table, LinearModel(True, True, 0, 1.0, (0.0, 1.0)), "u")
-    assert spark.table(table).count() == nation_revenue.count()
-    assert scoring.backlog(nation_revenue, spark.table(table)).count() == 0
+    prediction.predict_backlog(spark, client_revenue, table, LinearModel(True, True, 0, 1.0, (0.0, 1.0)), "u")
+    assert spark.table(table).count() == client_revenue.count()
+    assert scoring.backlog(client_revenue, spark.table(table)).count() == 0
 
 
-def test_rmse_times_rows_is_the_squared_error(nation_revenue):
-    predictions = retail.past_predictions(nation_revenue)
-    months = {r.months: r.RMSE for r in monitoring.rmse_by_window(nation_revenue, predictions).collect()}
-    both = monitoring.revenue_with_prediction(monitoring.last_months(nation_revenue, 1), predictions)
+def test_rmse_times_rows_is_the_squared_error(client_revenue):
+    predictions = retail.past_predictions(client_revenue)
+    months = {r.months: r.RMSE for r in monitoring.rmse_by_window(client_revenue, predictions).collect()}
+    both = monitoring.revenue_with_prediction(monitoring.last_months(client_revenue, 1), predictions)
     errors = [(r.revenue - r.predictedRevenue) ** 2 for r in both.collect() if r.predictedRevenue is not None]
     assert months[1] ** 2 * len(errors) == pytest.approx(sum(errors))
 
@@ -70,3 +70,22 @@ def test_hard_delete_leaves_no_row_of_the_run(spark):
         assert getattr(after, table).join(deleted, "run_uuid", "left_semi").count() == 0
         kept = getattr(ledger, table).join(deleted, "run_uuid", "left_anti").count()
         assert getattr(after, table).count() == kept > 0
+
+
+def test_every_alias_points_at_a_version(spark):
+    """After deletes of every kind, a new registration and a promotion."""
+    ledger = retail_ledger.ledger(spark, FOLDER)
+    brands = ledger.model_versions.where("name < 'Brand#20'").select("name").distinct()
+    models = ledger.logged_models.where("experiment_id < 3")
+    new = brands.select("name", F.lit("models:/m-0").alias("source"), F.lit("0").alias("run_id"))
+    steps = [
+        lambda t: delete.soft_delete_names(t, brands.where("name < 'Brand#12'")),
+        lambda t: delete.hard_delete_models(t, models),
+        lambda t: delete.delete_registered_version(t, "Brand#21", 1, hard_delete=True),
+        lambda t: delete.delete_registered_version(t, "Brand#22", 1),
+        lambda t: update.promote_models(t, new),
+    ]
+    for step in steps:
+        ledger = step(ledger)
+        versions = ledger.model_versions.where("current_stage <> 'Deleted_Internal'")
+        assert ledger.aliases.join(versions, ["name", "version"], "left_anti").count() == 0

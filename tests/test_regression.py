@@ -145,3 +145,48 @@ def test_opaque_model_in_batches(spark):
 def test_local_rows_by_position(spark):
     frame = frame_from_local(spark, [[1, 1], [2, 2]], ["clientID", "predictedRevenue"])
     assert frame.columns == ["clientID", "predictedRevenue"] and frame.count() == 2
+
+
+def test_a_model_of_other_features_is_an_error(spark):
+    pairs_ = frame_from_local(spark, [(1, 2.0, 3.0), (2, 4.0, 9.0)], ["clientID", "revenueLastMonth", "revenue"])
+    found = regression.collect_moments(pairs_)
+    for coefficients in ([0.0, 1.0, 999.0], [1.0], None):
+        models = literal_rows(
+            spark, [("models:/m", 0.0, coefficients)], "model_uri string, intercept double, coefficients array<double>"
+        )
+        with pytest.raises(Exception, match="models:/m has not the 2 coefficients"):
+            regression.linear_errors(models, found, pairs_).collect()
+
+
+def test_small_errors_keep_their_digits(spark):
+    rows = [(c, 1e5 + c, 1e5 + c + 1e-5 * (-1) ** c) for c in range(1, 101)]
+    pairs_ = literal_rows(spark, rows, PAIR)
+    models = literal_rows(spark, [(0.0, [0.0, 1.0]), (5.0, [0.0, 1.0])], "intercept double, coefficients array<double>")
+    found = regression.collect_moments(pairs_)
+    errors = sorted(r.mse for r in regression.linear_errors(models, found, pairs_).collect())
+    assert errors == [pytest.approx(1e-10, rel=1e-3), pytest.approx(25, rel=1e-6)]
+    with pytest.raises(ValueError, match="too closely"):
+        regression.linear_errors(models, found).collect()
+
+
+def test_no_test_rows_is_an_error(train_pairs):
+    with pytest.raises(ValueError, match="no test rows"):
+        training.train(train_pairs, test_size=0)
+
+
+def test_positive_fit_is_the_best_of_all_choices():
+    draw = np.random.default_rng(5)
+    for width in (1, 2, 3, 5):
+        for _ in range(40):
+            x = draw.normal(size=(30, width))
+            gram, cross = x.T @ x, x.T @ draw.normal(size=30)
+            best = np.zeros(width)
+            for mask in range(1, 2**width):
+                kept = [i for i in range(width) if mask >> i & 1]
+                candidate = np.zeros(width)
+                candidate[kept] = np.linalg.solve(gram[np.ix_(kept, kept)], cross[kept])
+                if (candidate >= 0).all() and candidate @ gram @ candidate - 2 * candidate @ cross < (
+                    best @ gram @ best - 2 * best @ cross
+                ):
+                    best = candidate
+            assert regression._solve_positive(gram, cross) == pytest.approx(best, abs=1e-9)

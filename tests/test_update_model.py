@@ -9,6 +9,7 @@ from tillcast import session
 from tillcast.contracts import METRICS, PREDICTIONS
 from tillcast.operators import scoring
 from tillcast.operators import ledger_delete as delete
+from tillcast.operators import ledger_write as write
 from tillcast.operators.ledger import COLUMNS, RUN_TABLES, Ledger
 from tillcast.operators.pairs import evaluation_pairs
 from tillcast.plans import ledger_store, prediction, training, update
@@ -111,3 +112,35 @@ def test_stored_ledger_after_a_delete(spark, store, updated):
         assert getattr(after, table).where(getattr(after, table).run_uuid.isin(ids)).count() == 0
     assert after.runs.count() == updated[1].runs.count() - len(ids) == 4
     assert after.logged_models.count() == 4
+
+
+def test_rows_are_appended_once_and_runs_last(spark, monkeypatch):
+    name = "ledger_" + uuid.uuid4().hex[:8]
+    sinks.create_schema(spark, name, session.new_folder(spark, name))
+    ledger_store.create_ledger(spark, name)
+    trained = literal_rows(
+        spark,
+        [(True, False, 3, 1.0, [0.5, 2.0], 4.0, 0.5), (False, False, 3, 0.0, [0.5, 1.0], 5.0, 0.4)],
+        "fit_intercept boolean, positive boolean, n bigint, intercept double, coefficients array<double>, "
+        "mse double, r2 double",
+    )
+    rows = write.training_rows(trained, 1, "m", START)
+    real, written = sinks.append, []
+
+    def stops_at_tags(df, table):
+        if table.endswith(".tags"):
+            raise RuntimeError("stopped")
+        written.append(table)
+        real(df, table)
+
+    monkeypatch.setattr(sinks, "append", stops_at_tags)
+    with pytest.raises(RuntimeError):
+        ledger_store.append_rows(rows, name)
+    assert written and ledger_store.open_ledger(spark, name).runs.count() == 0
+    monkeypatch.setattr(sinks, "append", real)
+    for _ in range(2):
+        ledger_store.append_rows(rows, name)
+        counts = {table: df.count() for table, df in ledger_store.open_ledger(spark, name).tables().items()}
+        assert {t: n for t, n in counts.items() if n} == {
+            "runs": 2, "metrics": 4, "latest_metrics": 4, "params": 4, "tags": 2, "logged_models": 2
+        }

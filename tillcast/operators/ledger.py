@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.dates import epoch_ms_value
 from tillcast.functions.text import registered_uri
-from tillcast.session import stage
 
 # Lifecycle and stage names, tag keys.
 ACTIVE, DELETED = "active", "deleted"
@@ -78,7 +77,7 @@ def experiments_by_name(ledger: Ledger, names: Sequence[str], view: str = ACTIVE
 def experiment_id(ledger: Ledger, name: str, view: str = ACTIVE) -> int:
     row = experiments_by_name(ledger, [name], view).first()
     if row is None:
-        raise ValueError(f"Experiment '{name}' not found")
+        raise ValueError(f"no experiment is called {name!r}")
     return row.experiment_id
 
 
@@ -163,7 +162,8 @@ def best_runs(ledger: Ledger, runs: DataFrame, metrics: dict[str, str]) -> DataF
     """Best run of each experiment and the URI of its model: the evaluated one, else the created one.
 
     The winner is a minimum over a struct of sort keys, which is partly computed before the shuffle: no experiment's
-    runs gather in one task. The winners, one row per experiment, are stored; tags are then read for them only.
+    runs gather in one task. The winners, one row per experiment, are used once: the tags of the two keys are joined
+    with them and folded by run.
     """
     rank = [c.alias(f"k{i}") for i, c in enumerate([*_rank_columns(metrics), F.col("run_uuid")])]
     kept = ["run_uuid", *[f"metrics_{key}" for key in metrics]]
@@ -171,15 +171,11 @@ def best_runs(ledger: Ledger, runs: DataFrame, metrics: dict[str, str]) -> DataF
         _wide(ledger.latest_metrics, list(metrics), "metrics_"), "run_uuid", "left"
     )
     winner = F.min_by(F.struct(*kept), F.struct(*rank)).alias("best")
-    best = stage(measured.groupBy("experiment_id").agg(winner).select("experiment_id", "best.*"), "best-runs")
-    tags = _wide(
-        ledger.tags.join(best.select("run_uuid"), "run_uuid", "left_semi"), [EVALUATED, CREATED], "tags_"
-    )
-    return best.join(tags, "run_uuid", "left").select(
-        "experiment_id",
-        *kept,
-        F.coalesce(F.col(f"tags_{EVALUATED}"), F.col(f"tags_{CREATED}")).alias("model_uri"),
-    )
+    best = measured.groupBy("experiment_id").agg(winner).select("experiment_id", "best.*")
+    tags = ledger.tags.where(F.col("key").isin(EVALUATED, CREATED))
+    uri = [F.max(F.when(F.col("key") == key, F.col("value"))) for key in (EVALUATED, CREATED)]
+    found = tags.join(best, "run_uuid", "right").groupBy("experiment_id", *kept)
+    return found.agg(F.coalesce(*uri).alias("model_uri"))
 
 
 def best_model_uri(ledger: Ledger, experiment: str, metrics: dict[str, str]) -> str:
@@ -187,7 +183,7 @@ def best_model_uri(ledger: Ledger, experiment: str, metrics: dict[str, str]) ->
     number = experiment_id(ledger, experiment)
     row = best_runs(ledger, by_view(ledger.runs).where(F.col("experiment_id") == number), metrics).first()
     if row is None:
-        raise ValueError("No runs found in experiment")
+        raise ValueError(f"experiment {experiment!r} holds no runs to choose from")
     if row.model_uri is None:
         raise ValueError(f"run {row.run_uuid} has neither tag {EVALUATED} nor {CREATED}")
     return row.model_uri
@@ -203,6 +199,24 @@ def models_of_runs(ledger: Ledger, run_ids: DataFrame) -> DataFrame:
     )
 
 
+def search_models(
+    ledger: Ledger,
+    experiments: Sequence[int] | None = None,
+    condition: Column | None = None,
+    order_by: Sequence[Column] = (),
+    max_results: int | None = None,
+) -> DataFrame:
+    """Logged models by experiment and any condition on their columns, in order, up to a number of results."""
+    found = ledger.logged_models
+    if experiments is not None:
+        found = found.where(F.col("experiment_id").isin(*experiments))
+    if condition is not None:
+        found = found.where(condition)
+    if order_by:
+        found = found.orderBy(*order_by)
+    return found if max_results is None else found.limit(max_results)
+
+
 def latest_models(logged_models: DataFrame) -> DataFrame:
     """Newest logged model of each experiment; of several made together the first by id."""
     order = F.struct(-F.col("creation_timestamp"), F.col("model_id"))

@@ -54,6 +54,7 @@ def soft_delete_names(ledger: Ledger, names: DataFrame) -> Ledger:
     # Stored: used twice, and a join with a stored table splits a name that holds very many versions.
     names = stage(names.select("name").distinct(), "names")
     return ledger.with_tables(
+        aliases=_without(ledger.aliases, names, name="name"),
         registered_models=_mark(ledger.registered_models, names, "name", "lifecycle_stage", F.lit(DELETED)),
         model_versions=_mark(ledger.model_versions, names, "name", "current_stage", F.lit(DELETED_STAGE)),
     )
@@ -82,7 +83,7 @@ def delete_run(ledger: Ledger, run_id: str, experiment: str, hard_delete: bool =
     number = experiment_id(ledger, experiment)
     run = ledger.runs.where(F.col("run_uuid") == run_id)
     if run.isEmpty():
-        raise ValueError(f"Run '{run_id}' not found")
+        raise ValueError(f"no run has the id {run_id!r}")
     models = ledger.logged_models.where((F.col("experiment_id") == number) & (F.col("source_run_id") == run_id))
     paths = artifact_paths(models, run)
     result = soft_delete_runs(ledger, run)
@@ -103,8 +104,8 @@ def delete_experiment(ledger: Ledger, experiment: str, hard_delete: bool = False
     result = soft_delete_runs(ledger, runs)
     hit = F.col("experiment_id") == number
     if not hard_delete:
-        stage = F.when(hit, F.lit(DELETED)).otherwise(F.col("lifecycle_stage"))
-        return result.with_tables(experiments=ledger.experiments.withColumn("lifecycle_stage", stage)), paths
+        hidden = F.when(hit, F.lit(DELETED)).otherwise(F.col("lifecycle_stage"))
+        return result.with_tables(experiments=ledger.experiments.withColumn("lifecycle_stage", hidden)), paths
     result = hard_delete_models(hard_delete_runs(result, runs), models)
     return result.with_tables(experiments=ledger.experiments.where(~hit)), paths
 
@@ -117,8 +118,8 @@ def restore_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
 def restore_experiment(ledger: Ledger, experiment: str) -> Ledger:
     """Show a soft-deleted experiment again; its runs are restored on their own."""
     number = experiment_id(ledger, experiment, view=DELETED)
-    stage = F.when(F.col("experiment_id") == number, F.lit(ACTIVE)).otherwise(F.col("lifecycle_stage"))
-    return ledger.with_tables(experiments=ledger.experiments.withColumn("lifecycle_stage", stage))
+    shown = F.when(F.col("experiment_id") == number, F.lit(ACTIVE)).otherwise(F.col("lifecycle_stage"))
+    return ledger.with_tables(experiments=ledger.experiments.withColumn("lifecycle_stage", shown))
 
 
 # ---- registry ----------------------------------------------------------------------------------------------------
@@ -135,9 +136,12 @@ def _names_with_versions(ledger: Ledger) -> DataFrame:
 
 
 def drop_orphans(ledger: Ledger) -> Ledger:
-    models = ledger.registered_models
+    """Without names that have no version, and without aliases of versions that are not there."""
+    models, aliases = ledger.registered_models, ledger.aliases
     kept = models.join(_names_with_versions(ledger), "name", "left_semi").select(*models.columns)
-    return ledger.with_tables(registered_models=kept)
+    versions = ledger.model_versions.select("name", "version")
+    pointing = aliases.join(versions, ["name", "version"], "left_semi").select(*aliases.columns)
+    return ledger.with_tables(registered_models=kept, aliases=pointing)
 
 
 def delete_versions_by_source(ledger: Ledger, models: DataFrame) -> Ledger:
@@ -166,9 +170,11 @@ def delete_registry_models(
 
 
 def delete_registered_version(ledger: Ledger, name: str, version: int, hard_delete: bool = False) -> Ledger:
-    """Hide one version, or remove it together with a name it leaves without versions."""
+    """Hide one version, or remove it together with a name it leaves without versions; its aliases go either way."""
     hit = (F.col("name") == name) & (F.col("version") == version)
     if hard_delete:
         return drop_orphans(ledger.with_tables(model_versions=ledger.model_versions.where(~hit)))
-    stage = F.when(hit, F.lit(DELETED_STAGE)).otherwise(F.col("current_stage"))
-    return ledger.with_tables(model_versions=ledger.model_versions.withColumn("current_stage", stage))
+    hidden = F.when(hit, F.lit(DELETED_STAGE)).otherwise(F.col("current_stage"))
+    return ledger.with_tables(
+        model_versions=ledger.model_versions.withColumn("current_stage", hidden), aliases=ledger.aliases.where(~hit)
+    )

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
@@ -100,16 +99,29 @@ def _solve(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
 
 
 def _solve_positive(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
-    """Best solution without negative entries: the best among all choices of entries held at zero."""
-    best, best_cost = np.zeros(len(cross)), 0.0
-    for size in range(1, len(cross) + 1):
-        for kept in map(list, combinations(range(len(cross)), size)):
-            candidate = np.zeros(len(cross))
-            candidate[kept] = _solve(gram[np.ix_(kept, kept)], cross[kept])
-            cost = candidate @ gram @ candidate - 2 * candidate @ cross
-            if np.all(candidate >= 0) and cost < best_cost:
-                best, best_cost = candidate, cost
-    return best
+    """Best solution without negative entries, by an active set: entries join where the error falls fastest, and leave
+    where the unbounded solution of the joined ones would take them below zero."""
+    solution, joined = np.zeros(len(cross)), np.zeros(len(cross), bool)
+    scale = np.sqrt(np.maximum(np.diag(gram), np.finfo(float).tiny))
+    level = 1e-12 * max(1e-300, float(np.max(np.abs(cross) / scale, initial=0.0)))
+    for _ in range(3 * len(cross) + 1):
+        fall = np.where(joined, -np.inf, (cross - gram @ solution) / scale)
+        if joined.all() or fall.max() <= level:
+            break
+        joined[int(fall.argmax())] = True
+        while joined.any():
+            kept = np.flatnonzero(joined)
+            free = np.zeros(len(cross))
+            free[kept] = _solve(gram[np.ix_(kept, kept)], cross[kept])
+            below = joined & (free <= 0)
+            if not below.any():
+                solution = free
+                break
+            step = np.min(solution[below] / (solution[below] - free[below]))
+            solution = np.where(joined, solution + step * (free - solution), 0.0)
+            joined &= ~(below & (solution <= 1e-15 * np.max(np.abs(free))))
+            solution[~joined] = 0.0
+    return solution
 
 
 def solve(found: Moments, setting: Setting) -> LinearModel:
@@ -143,16 +155,33 @@ def models_frame(spark: SparkSession, models: Sequence[LinearModel]) -> DataFram
     return spark.createDataFrame(rows, MODEL_COLUMNS)
 
 
-def linear_errors(models: DataFrame, found: Moments) -> DataFrame:
+#: Residual variance, as a share of the label's, below which moments have too few digits left for it.
+SMALL = 1e-9
+
+
+def linear_errors(
+    models: DataFrame,
+    found: Moments,
+    rows: DataFrame | None = None,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+) -> DataFrame:
     """Adds ``n``, ``mse`` and ``r2`` to models (``intercept``, ``coefficients``) for the rows behind the moments.
 
     With residual r = y - a - b.x: mse = mean(r)^2 + var(r), and var(r) = var(y) - 2 b.cov(x, y) + b'.cov(x).b.
     The moments are plain numbers here, so this is a projection of the models: rows + models of work, not rows x models.
+    Models whose residual variance is below ``SMALL`` of the label's are computed from ``rows`` themselves, all in one
+    aggregate; without rows they are an error. So is a model with other than one coefficient a feature.
     """
     found.check()
     *feature_means, label_mean = found.means
     last = len(feature_means)
-    b = [F.col("coefficients")[i] for i in range(last)]
+    fits = F.coalesce(F.size("coefficients") == last, F.lit(False))
+    about = F.col("model_uri") if "model_uri" in models.columns else F.lit("a model")
+    wrong = F.concat(about, F.lit(f" has not the {last} coefficients of the features"))
+    checked = F.when(fits, F.col("coefficients")).otherwise(F.raise_error(wrong).cast("array<double>"))
+    models = models.withColumn("coefficients", checked)
+    b = [F.get("coefficients", F.lit(i)) for i in range(last)]
     bias = F.lit(label_mean) - F.col("intercept")
     spread = F.lit(found.covariances[last][last])
     for i in range(last):
@@ -160,8 +189,35 @@ def linear_errors(models: DataFrame, found: Moments) -> DataFrame:
         spread = spread - b[i] * F.lit(2 * found.covariances[i][last])
         for j in range(last):
             spread = spread + b[i] * b[j] * F.lit(found.covariances[i][j])
-    return (
-        models.withColumn("n", F.lit(found.n).cast("bigint"))
-        .withColumn("mse", bias * bias + F.greatest(spread, F.lit(0.0)))
-        .withColumn("r2", r2_from_parts(F.col("n"), F.col("mse"), F.lit(found.covariances[last][last])))
+    variance = F.lit(found.covariances[last][last])
+    measured = models.withColumn("n", F.lit(found.n).cast("bigint")).withColumns(
+        {"mse": bias * bias + F.greatest(spread, F.lit(0.0)), "_small": spread < SMALL * variance}
     )
+    small = measured.where("_small").select("intercept", "coefficients").distinct().limit(MOST_SMALL + 1).collect()
+    if small:
+        if rows is None or len(small) > MOST_SMALL:
+            raise ValueError(f"{len(small)} models fit too closely for moments; give rows, or fewer such models")
+        exact = _errors_from_rows(rows, small, features, label)
+        value = F.col("mse")
+        for model, error in zip(small, exact, strict=True):
+            same = (F.col("intercept") == model.intercept) & (
+                F.col("coefficients") == F.array(*[F.lit(float(c)) for c in model.coefficients])
+            )
+            value = F.when(same, F.lit(error)).otherwise(value)
+        measured = measured.withColumn("mse", value)
+    return measured.drop("_small").withColumn("r2", r2_from_parts(F.col("n"), F.col("mse"), variance))
+
+
+#: Different models whose error is computed from the rows in one aggregate, at most.
+MOST_SMALL = 200
+
+
+def _errors_from_rows(rows: DataFrame, models: Sequence[Row], features: Sequence[str], label: str) -> list[float]:
+    """Mean squared error of each model, one column of a single aggregate each."""
+    errors = []
+    for model in models:
+        value = F.col(label).cast("double") - F.lit(model.intercept)
+        for coefficient, feature in zip(model.coefficients, features, strict=True):
+            value = value - F.lit(coefficient) * F.col(feature).cast("double")
+        errors.append(F.avg(value * value))
+    return [float(error) for error in rows.agg(*[e.alias(f"e{i}") for i, e in enumerate(errors)]).first()]

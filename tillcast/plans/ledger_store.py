@@ -17,10 +17,28 @@ def open_ledger(spark: SparkSession, schema: str) -> Ledger:
     return Ledger(**{table: spark.table(f"{schema}.{table}") for table in COLUMNS})
 
 
+#: What tells one row of a table from another; rows of metrics, params and tags by run and key.
+KEYS = {
+    "experiments": ["experiment_id"],
+    "runs": ["run_uuid"],
+    "logged_models": ["model_id"],
+    "model_versions": ["name", "version"],
+    "registered_models": ["name"],
+    "aliases": ["name", "alias"],
+}
+
+
 def append_rows(rows: dict[str, DataFrame], schema: str) -> None:
-    """Append new rows; what the tables hold is not read or written again."""
-    for table, new in rows.items():
-        sinks.append(new.select(*new.sparkSession.table(f"{schema}.{table}").columns), f"{schema}.{table}")
+    """Append the rows that are not there yet, those of ``runs`` last.
+
+    New ids are hashes of what a run is about, so a call that failed half-way can be repeated: rows that were written
+    are left out, and a run shows only when all of its other rows are there.
+    """
+    for table, new in sorted(rows.items(), key=lambda item: item[0] == "runs"):
+        stored = new.sparkSession.table(f"{schema}.{table}")
+        keys = KEYS.get(table, ["run_uuid", "key"])
+        fresh = new.select(*stored.columns).join(stored.select(*keys).distinct(), keys, "left_anti")
+        sinks.append(fresh.select(*stored.columns), f"{schema}.{table}")
 
 
 def replace_tables(before: Ledger, after: Ledger, schema: str) -> None:

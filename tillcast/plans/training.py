@@ -43,8 +43,11 @@ def train(
     parts = {row.training: as_moments(row) for row in by_part.collect()}
     if True not in parts:
         raise ValueError(f"{point.rows} pairs leave no training rows")
+    if False not in parts:
+        raise ValueError(f"{point.rows} pairs leave no test rows")
     models = [solve(parts[True], setting) for setting in settings]
-    trained = linear_errors(models_frame(pairs.sparkSession, models), parts[False])
+    tested = pairs.where(~is_training(point))
+    trained = linear_errors(models_frame(pairs.sparkSession, models), parts[False], tested)
     return trained.withColumn("n", F.lit(parts[True].n).cast("bigint"))
 
 
@@ -67,7 +70,7 @@ def run_training(
 
 def evaluate_models(models: DataFrame, pairs: DataFrame) -> DataFrame:
     """``n``, ``mse`` and ``r2`` of every linear model over the same pairs."""
-    return linear_errors(models, collect_moments(pairs))
+    return linear_errors(models, collect_moments(pairs), pairs)
 
 
 def run_evaluation(

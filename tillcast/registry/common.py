@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.operators import warehouse as models
@@ -26,17 +26,24 @@ def in_dollars(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column) / F.lit(100.0))
 
 
+def digits(column: str, count: int = 9) -> Column:
+    """A number rounded to so many significant digits."""
+    value = F.col(column)
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(value))) - (count - 1))
+    return F.when(value == 0, value).otherwise(F.round(value / unit) * unit)
+
+
+def digits_sql(value: str, count: int = 9) -> str:
+    """The same in SQL."""
+    unit = f"pow(CAST(10 AS DOUBLE), floor(log10(abs({value}))) - {count - 1})"
+    return f"CASE WHEN {value} = 0 THEN 0 ELSE round({value} / {unit}) * {unit} END"
+
+
 def revenue(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per client and month."""
     return in_dollars(models.clients_total_revenue(fact(spark, folder)), "revenue")
 
 
-def nation_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    """Revenue per nation and month: dense enough that every month but the last has all clients."""
-    cents = retail.to_nations(models.clients_total_revenue(fact(spark, folder)), spark, folder)
-    return in_dollars(cents, "revenue")
-
-
 SALES = """
 sales AS (
     SELECT o.o_custkey AS clientID, l.l_partkey AS productID, CAST(o.o_orderdate AS DATE) AS date,
@@ -60,10 +67,11 @@ all_products AS (
 dim_products AS (SELECT DISTINCT productID, productName, price FROM all_products)"""
 
 FACT = f"""{SALES},{PRODUCTS},
-fact_sales AS (
-    SELECT s.clientID, s.productID, s.date, s.amount, p.price * s.amount AS totalPrice
-    FROM raw_sales s LEFT JOIN dim_products p ON p.productID = s.productID
-)"""
+priced AS (
+    SELECT *, amount * (SELECT max(price) FROM dim_products known WHERE known.productID = raw_sales.productID) AS paid
+    FROM raw_sales
+),
+fact_sales AS (SELECT clientID, productID, date, amount, paid AS totalPrice FROM priced)"""
 
 REVENUE = f"""{FACT},
 revenue AS (
@@ -71,20 +79,22 @@ revenue AS (
     FROM fact_sales GROUP BY clientID, CAST(strftime(date, '%Y-%m') || '-01' AS DATE)
 )"""
 
-NATION_REVENUE = f"""{FACT},
-revenue AS (
-    SELECT CAST(c.c_nationkey AS BIGINT) AS clientID, CAST(strftime(date, '%Y-%m') || '-01' AS DATE) AS month,
-           SUM(totalPrice) AS revenue
-    FROM fact_sales f JOIN customer c ON c.c_custkey = f.clientID
-    GROUP BY CAST(c.c_nationkey AS BIGINT), CAST(strftime(date, '%Y-%m') || '-01' AS DATE)
-)"""
-
-PREDICTIONS = f"""{NATION_REVENUE},
+PREDICTIONS = f"""{REVENUE},
 predictions AS (
-    SELECT clientID, CAST(month + INTERVAL 1 MONTH AS DATE) AS month,
+    SELECT clientID, month,
            CAST(revenue AS DOUBLE) * CAST(0.9 AS DOUBLE) + CAST(100 AS DOUBLE) * clientID AS predictedRevenue,
-           CASE WHEN month < DATE '2001-05-01' THEN 'models:/m/1' ELSE 'models:/m/2' END AS modelURI
-    FROM revenue WHERE clientID <> 7
+           CASE WHEN month < DATE '2001-06-01' THEN 'models:/m/1' ELSE 'models:/m/2' END AS modelURI
+    FROM revenue
+    WHERE (clientID * 31 + year(month) * 12 + month(month)) % 13 <> 5
+)"""
+
+# Revenue months that no prediction follows.
+WAITING = """
+waiting AS (
+    SELECT clientID, CAST(month + INTERVAL 1 MONTH AS DATE) AS due, CAST(revenue AS DOUBLE) AS known FROM revenue r
+    WHERE NOT EXISTS (
+        SELECT 1 FROM predictions done
+        WHERE done.clientID = r.clientID AND done.month = CAST(r.month + INTERVAL 1 MONTH AS DATE))
 )"""
 
 PAIRS = f"""{REVENUE},

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillcast.operators import pairs, regression, scoring, split
 from tillcast.plans import training
 from tillcast.registry import common
-from tillcast.registry.common import EVALUATION_RANGE, PAIRS, PREDICTIONS, REVENUE, TRAIN_RANGE
+from tillcast.registry.common import EVALUATION_RANGE, PAIRS, PREDICTIONS, REVENUE, TRAIN_RANGE, WAITING, digits, digits_sql
 from tillcast.session import stage
 from tillcast.sources import retail, retail_ledger
 
@@ -63,7 +63,7 @@ def train_report(spark, folder):
         "fit_intercept",
         "positive",
         "n",
-        F.round("mse", -3).alias("mse"),
+        digits("mse").alias("mse"),
         F.round("r2", 6).alias("r2"),
     )
 
@@ -72,18 +72,18 @@ def evaluate_all_models(spark, folder):
     models = retail_ledger.ledger(spark, folder).logged_models
     evaluated = training.evaluate_models(models, _evaluation_pairs(spark, folder))
     return evaluated.select(
-        "experiment_id", "model_uri", "n", F.round("mse", -3).alias("mse"), F.round("r2", 6).alias("r2")
+        "experiment_id", "model_uri", "n", digits("mse").alias("mse"), F.round("r2", 6).alias("r2")
     )
 
 
 def evaluate_latest_model(spark, folder):
     ledger = retail_ledger.ledger(spark, folder)
     report = training.evaluate_latest(ledger, "1-URGENT", _evaluation_pairs(spark, folder))
-    return report.withColumns({"mse": F.round("mse", -3), "r2": F.round("r2", 6)})
+    return report.withColumns({"mse": digits("mse"), "r2": F.round("r2", 6)})
 
 
 def _revenue_and_predictions(spark, folder):
-    revenue = stage(common.nation_revenue(spark, folder), "revenue")
+    revenue = stage(common.revenue(spark, folder), "revenue")
     return revenue, retail.past_predictions(revenue)
 
 
@@ -92,7 +92,7 @@ def backlog_pairs(spark, folder):
 
 
 def score_backlog(spark, folder):
-    """The backlog scored with the model fitted on all nation pairs."""
+    """The backlog scored with the model fitted on all pairs."""
     revenue, predictions = _revenue_and_predictions(spark, folder)
     model = regression.fit_linear(pairs.all_pairs(revenue), [regression.Setting(True, False)])[0]
     scored = scoring.score(scoring.backlog(revenue, predictions), model, "models:/m/3")
@@ -196,7 +196,7 @@ FROM fits WHERE {where}"""
 _PAIR_COLUMNS = """clientID, month, nextMonth, CAST(revenueLastMonth AS DOUBLE) AS "revenueLastMonth",
        CAST(revenue AS DOUBLE) AS revenue"""
 
-_ERRORS = """round(avg(pow(revenue - p, 2)), -3) AS mse,
+_ERRORS = f"""{digits_sql("avg(pow(revenue - p, 2))")} AS mse,
        round(1 - sum(pow(revenue - p, 2)) / (var_pop(revenue) * count(*)), 6) AS r2"""
 
 EVALUATED = f"""{_EVAL},
@@ -235,26 +235,18 @@ WITH {EVALUATED}
 SELECT 'models:/m-' || p_partkey AS model_uri, CAST(p_partkey AS VARCHAR) AS source_run_id, n, mse, r2
 FROM evaluated WHERE p_partkey = (SELECT max(p_partkey) FROM part WHERE p_partkey % 5 + 1 = 1)""",
     "backlog_pairs": f"""
-WITH {PREDICTIONS}
-SELECT rev.clientID, CAST(rev.month + INTERVAL 1 MONTH AS DATE) AS "nextMonth",
-       CAST(rev.revenue AS DOUBLE) AS "revenueLastMonth"
-FROM revenue rev LEFT JOIN predictions pred
-  ON pred.clientID = rev.clientID AND pred.month = CAST(rev.month + INTERVAL 1 MONTH AS DATE)
-WHERE pred.clientID IS NULL""",
+WITH {PREDICTIONS},{WAITING}
+SELECT clientID, due AS "nextMonth", known AS "revenueLastMonth" FROM waiting""",
     "score_backlog": f"""
 WITH {PREDICTIONS},
 pairs AS (
     SELECT n.clientID, p.revenue AS revenueLastMonth, n.revenue
     FROM revenue p JOIN revenue n
       ON n.clientID = p.clientID AND n.month = CAST(p.month + INTERVAL 1 MONTH AS DATE)
-),{_fits_sql("pairs")}
-SELECT rev.clientID, CAST(rev.month + INTERVAL 1 MONTH AS DATE) AS month,
-       round(f.intercept + f.b1 * rev.clientID + f.b2 * CAST(rev.revenue AS DOUBLE), 2) AS "predictedRevenue",
+),{WAITING},{_fits_sql("pairs")}
+SELECT clientID, due AS month, round(intercept + b1 * clientID + b2 * known, 2) AS "predictedRevenue",
        'models:/m/3' AS "modelURI"
-FROM revenue rev LEFT JOIN predictions pred
-  ON pred.clientID = rev.clientID AND pred.month = CAST(rev.month + INTERVAL 1 MONTH AS DATE)
-CROSS JOIN (SELECT * FROM fits WHERE fit_intercept AND NOT positive) f
-WHERE pred.clientID IS NULL""",
+FROM waiting JOIN fits ON fit_intercept AND NOT positive""",
     "score_pandas_udf": f"""
 WITH {REVENUE}
 SELECT clientID, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, CAST(revenue AS DOUBLE) AS "revenueLastMonth",

@@ -11,7 +11,7 @@ from tillcast.operators import ledger_delete as delete
 from tillcast.operators import ledger_write as write
 from tillcast.operators.pairs import evaluation_pairs
 from tillcast.plans import training, update
-from tillcast.registry.common import EVALUATION_RANGE, revenue
+from tillcast.registry.common import EVALUATION_RANGE, digits, revenue
 from tillcast.registry.forecast import EVALUATED
 from tillcast.sources.retail_ledger import ledger
 
@@ -19,20 +19,38 @@ EXPERIMENT = "1-URGENT"
 METRICS = {"mse": "lowest", "r2": "highest"}
 AFTER = dt.datetime(1998, 1, 1)
 START = 1_700_000_000_000
+# A brand in the middle of the names, and the tables beside those of runs.
+SOME = "Brand#20"
+REGISTRY_TABLES = ("experiments", "logged_models", "model_versions", "registered_models", "aliases")
 
 
 def _deleted_runs(tables):
     return search.by_view(tables.runs, "deleted")
 
 
-def _with_row_counts(tables, *names):
-    """(table, n) of ledger tables; the counts come from the changed tables themselves."""
-    counts = [
-        getattr(tables, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n")) for name in names
+# What tells the rows of a table apart, as text.
+IDS = {
+    "experiments": ["experiment_id"],
+    "logged_models": ["model_id"],
+    "model_versions": ["name", "version"],
+    "registered_models": ["name"],
+    "aliases": ["name", "alias", "version"],
+    "runs": ["run_uuid"],
+}
+
+
+def _ids(tables, *names):
+    """(table_name, id) of every row of ledger tables; rows of runs by run and key."""
+    frames = [
+        getattr(tables, name).select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws(":", *[F.col(c).cast("string") for c in IDS.get(name, ["run_uuid", "key"])]).alias("id"),
+        )
+        for name in names
     ]
-    frame = counts[0]
-    for count in counts[1:]:
-        frame = frame.union(count)
+    frame = frames[0]
+    for other in frames[1:]:
+        frame = frame.union(other)
     return frame
 
 
@@ -127,9 +145,9 @@ def ledger_production_uri(spark, folder):
 
 
 def ledger_soft_delete_run(spark, folder):
-    """Runs that are sources of a model, deleted softly: state of every run, name and version afterwards."""
+    """Runs of some brands' models, deleted softly: state of every run, name and version afterwards."""
     tables = ledger(spark, folder)
-    made = tables.logged_models.select(F.col("source_run_id").alias("run_uuid"))
+    made = tables.model_versions.where(F.col("name") < SOME).select(F.col("run_id").alias("run_uuid"))
     after = delete.soft_delete_runs(tables, made)
     versions = F.concat_ws(":", "name", F.col("version").cast("string"))
     runs = after.runs.select(F.lit("run"), "run_uuid", "lifecycle_stage").toDF("kind", "id", "state")
@@ -140,9 +158,9 @@ def ledger_soft_delete_run(spark, folder):
 
 
 def ledger_hard_delete_runs(spark, folder):
-    """The softly deleted runs removed from all five tables: remaining rows of each."""
+    """The softly deleted runs removed from all five tables: what remains of each."""
     tables = ledger(spark, folder)
-    return _with_row_counts(delete.hard_delete_runs(tables, _deleted_runs(tables)), *search.RUN_TABLES)
+    return _ids(delete.hard_delete_runs(tables, _deleted_runs(tables)), *search.RUN_TABLES)
 
 
 def ledger_hard_delete_models(spark, folder):
@@ -167,8 +185,52 @@ def ledger_orphan_models(spark, folder):
 
 def ledger_delete_experiment(spark, folder):
     kept, _ = delete.delete_experiment(ledger(spark, folder), EXPERIMENT, hard_delete=True)
-    registry_tables = ("experiments", "logged_models", "model_versions", "registered_models")
-    return _with_row_counts(kept, *registry_tables, *search.RUN_TABLES)
+    return _ids(kept, *REGISTRY_TABLES, *search.RUN_TABLES)
+
+
+def ledger_delete_run(spark, folder):
+    """One run deleted for good, by its id: what remains of the registry."""
+    tables = ledger(spark, folder)
+    mine = tables.experiments.where("experiment_id = 5").first().name  # the experiment of the model of run 4
+    kept, _ = delete.delete_run(tables, "4", mine, hard_delete=True)
+    return _ids(kept, *REGISTRY_TABLES, "runs")
+
+
+def ledger_delete_version(spark, folder):
+    """One version of a name deleted for good and one softly: versions and aliases afterwards."""
+    tables = ledger(spark, folder)
+    kept = delete.delete_registered_version(tables, SOME, 1, hard_delete=True)
+    kept = delete.delete_registered_version(kept, SOME, 2)
+    versions = kept.model_versions.select("name", "version", F.col("current_stage").alias("state"))
+    return versions.unionByName(kept.aliases.select("name", "version", F.col("alias").alias("state")))
+
+
+def ledger_aliases_after_deletes(spark, folder):
+    """Aliases after names were hidden, models deleted, and a new version registered under every name left."""
+    tables = ledger(spark, folder)
+    hidden = delete.soft_delete_names(tables, tables.registered_models.where(F.col("name") < SOME))
+    first = tables.logged_models.join(
+        tables.model_versions.where("version = 1").select(F.col("source").alias("model_uri")), "model_uri", "left_semi"
+    )
+    first = first.where(F.col("experiment_id") != 1)
+    kept = delete.hard_delete_models(hidden, first)
+    return search.registered_with_aliases(write.register(kept, _newest_model_of_each_name(kept)))
+
+
+def ledger_restore_experiment(spark, folder):
+    """An experiment hidden and shown again: the experiments, and how many of its runs stay hidden."""
+    tables = ledger(spark, folder)
+    hidden, _ = delete.delete_experiment(tables, EXPERIMENT)
+    shown = delete.restore_experiment(hidden, EXPERIMENT)
+    runs = shown.runs.groupBy("experiment_id").agg(F.count_if(F.col("lifecycle_stage") == "deleted").alias("hidden"))
+    return shown.experiments.join(runs, "experiment_id", "left")
+
+
+def ledger_search_models(spark, folder):
+    """The newest hundred models of two experiments with a part of the intercepts."""
+    return search.search_models(
+        ledger(spark, folder), [1, 3], F.col("intercept") > 1000, [F.desc("creation_timestamp"), F.col("model_id")], 100
+    ).select("model_id", "experiment_id", "intercept", "creation_timestamp")
 
 
 def ledger_artifact_paths(spark, folder):
@@ -211,12 +273,23 @@ def ledger_promote(spark, folder):
     )
 
 
+def ledger_promote_best(spark, folder):
+    """The best run's model of an experiment registered under a new name and under a known one, and in Production."""
+    tables = ledger(spark, folder)
+    for name in ("forecast", SOME):
+        tables = update.promote(tables, EXPERIMENT, name, METRICS)
+    mine = tables.model_versions.where(F.col("name").isin("forecast", SOME))
+    return mine.join(tables.aliases, ["name", "version"], "left").select(
+        "name", "version", "source", "current_stage", "alias"
+    )
+
+
 def ledger_log_run(spark, folder):
     """Every model evaluated, each in a run of its own: the metric and tag rows that are logged."""
     tables = ledger(spark, folder)
     pairs = evaluation_pairs(revenue(spark, folder), *EVALUATION_RANGE)
     rows = write.evaluation_rows(training.evaluate_models(tables.logged_models, pairs), START)
-    rounded = F.when(F.col("key") == "mse", F.round("value", -3)).otherwise(F.round("value", 6))
+    rounded = F.when(F.col("key") == "mse", digits("value")).otherwise(F.round("value", 6))
     return rows["metrics"].select("run_uuid", "key", rounded.alias("metric")).unionByName(
         rows["tags"].select("run_uuid", "key", F.col("value").alias("tag")), allowMissingColumns=True
     )
@@ -282,14 +355,19 @@ new_versions AS (
 )"""
 
 
-def _counts(*tables: tuple[str, str]) -> str:
+def _ids_sql(*tables: tuple[str, str]) -> str:
+    ids = {table: " || ':' || ".join(IDS.get(table, ["run_uuid", "key"])) for table, _ in tables}
     return "\nUNION ALL ".join(
-        f"SELECT '{table}' AS table_name, count(*) AS n FROM {table} WHERE {condition}" for table, condition in tables
+        f"SELECT '{table}' AS table_name, CAST({ids[table]} AS VARCHAR) AS id FROM {table} WHERE {condition}"
+        for table, condition in tables
     )
 
 
 _RUN_OK = "run_uuid NOT IN (SELECT run_uuid FROM runs WHERE lifecycle_stage = 'deleted')"
 _NOT_URGENT = "run_uuid NOT IN (SELECT run_uuid FROM runs WHERE lifecycle_stage = 'active' AND experiment_id = 1)"
+_URGENT_NAMES = """
+SELECT arg_max(name, version) FROM model_versions JOIN runs ON run_id = run_uuid
+WHERE lifecycle_stage = 'active' AND experiment_id = 1 GROUP BY run_uuid"""
 _SOURCE_OK = "source NOT IN (SELECT model_uri FROM logged_models WHERE experiment_id = 1)"
 _SHA = f"substring(sha256('evaluate|models:/m-' || p_partkey || '|{START}'), 1, 32)"
 
@@ -376,16 +454,18 @@ SELECT name, max(version) AS version, 'models:/' || name || '/' || max(version)
 FROM model_versions WHERE current_stage = 'Production' GROUP BY name""",
     "ledger_soft_delete_run": f"""
 WITH {ALL}
-SELECT 'run' AS kind, run_uuid AS id, CASE WHEN run_uuid IN (SELECT source_run_id FROM logged_models) THEN 'deleted'
-                                           ELSE lifecycle_stage END AS state FROM runs
+SELECT 'run' AS kind, run_uuid AS id,
+       CASE WHEN run_uuid IN (SELECT run_id FROM model_versions WHERE name < '{SOME}') THEN 'deleted'
+            ELSE lifecycle_stage END AS state FROM runs
 UNION ALL
-SELECT 'name', name, CASE WHEN name IN (SELECT name FROM model_versions) THEN 'deleted' ELSE lifecycle_stage END
-FROM registered_models
+SELECT 'name', name, CASE WHEN name < '{SOME}' AND name IN (SELECT name FROM model_versions) THEN 'deleted'
+                          ELSE lifecycle_stage END FROM registered_models
 UNION ALL
-SELECT 'version', name || ':' || version, 'Deleted_Internal' FROM model_versions""",
+SELECT 'version', name || ':' || version, CASE WHEN name < '{SOME}' THEN 'Deleted_Internal' ELSE current_stage END
+FROM model_versions""",
     "ledger_hard_delete_runs": f"""
 WITH {LONG}, latest_metrics AS (SELECT * FROM metrics)
-{_counts(*[(table, _RUN_OK) for table in search.RUN_TABLES])}""",
+{_ids_sql(*[(table, _RUN_OK) for table in search.RUN_TABLES])}""",
     "ledger_hard_delete_models": f"""
 WITH {ALL}
 SELECT name, version, source FROM model_versions WHERE source NOT IN (
@@ -397,14 +477,52 @@ SELECT name, version, run_id FROM model_versions
 WHERE run_id NOT IN (SELECT run_uuid FROM runs WHERE lifecycle_stage = 'deleted')""",
     "ledger_orphan_models": f"""
 WITH {MODELS}
-SELECT DISTINCT rm.name FROM registered_models rm LEFT JOIN model_versions mv ON mv.name = rm.name
-WHERE mv.name IS NULL""",
+SELECT name FROM registered_models EXCEPT SELECT name FROM model_versions""",
     "ledger_delete_experiment": f"""
 WITH {ALL}, latest_metrics AS (SELECT * FROM metrics)
-{_counts(("experiments", "experiment_id <> 1"), ("logged_models", "experiment_id <> 1"),
-         ("model_versions", _SOURCE_OK),
-         ("registered_models", f"name IN (SELECT name FROM model_versions WHERE {_SOURCE_OK})"),
-         *[(table, _NOT_URGENT) for table in search.RUN_TABLES])}""",
+{_ids_sql(("experiments", "experiment_id <> 1"), ("logged_models", "experiment_id <> 1"),
+          ("model_versions", _SOURCE_OK),
+          ("registered_models", f"name IN (SELECT name FROM model_versions WHERE {_SOURCE_OK})"),
+          ("aliases", f"name NOT IN ({_URGENT_NAMES}) AND version IN "
+                      f"(SELECT version FROM model_versions v WHERE v.name = aliases.name AND {_SOURCE_OK})"),
+          *[(table, _NOT_URGENT) for table in search.RUN_TABLES])}""",
+    "ledger_delete_run": f"""
+WITH {ALL}
+{_ids_sql(("experiments", "true"), ("logged_models", "model_id <> 'm-4'"), ("model_versions", "run_id <> '4'"),
+          ("registered_models", "name IN (SELECT name FROM model_versions WHERE run_id <> '4')"),
+          ("aliases", "name NOT IN (SELECT name FROM model_versions WHERE run_id = '4')"),
+          ("runs", "run_uuid <> '4'"))}""",
+    "ledger_delete_version": f"""
+WITH {MODELS}
+SELECT name, version, CASE WHEN name = '{SOME}' AND version = 2 THEN 'Deleted_Internal' ELSE current_stage END AS state
+FROM model_versions WHERE name <> '{SOME}' OR version <> 1
+UNION ALL SELECT name, version, alias FROM aliases WHERE name <> '{SOME}'""",
+    "ledger_aliases_after_deletes": f"""
+WITH {MODELS},
+gone AS (
+    SELECT v.name, v.version FROM model_versions v JOIN logged_models m ON m.model_uri = v.source
+    WHERE v.version = 1 AND m.experiment_id <> 1
+),
+kept AS (SELECT name, version FROM model_versions EXCEPT SELECT name, version FROM gone),
+pointing AS (
+    SELECT a.name, a.alias, a.version FROM aliases a JOIN kept USING (name, version) WHERE a.name >= '{SOME}'
+)
+SELECT k.name, 'active' AS lifecycle_stage, p.alias, p.version
+FROM (SELECT DISTINCT name FROM kept) k LEFT JOIN pointing p ON p.name = k.name""",
+    "ledger_restore_experiment": f"""
+WITH {ALL},
+found AS (
+    SELECT runs.run_uuid FROM runs WHERE experiment_id = 1 AND lifecycle_stage = 'active'
+)
+SELECT e.experiment_id, e.name, e.lifecycle_stage,
+       count(*) FILTER (WHERE r.lifecycle_stage = 'deleted' OR r.run_uuid IN (SELECT run_uuid FROM found)) AS hidden
+FROM experiments e LEFT JOIN runs r ON r.experiment_id = e.experiment_id
+GROUP BY e.experiment_id, e.name, e.lifecycle_stage""",
+    "ledger_search_models": """
+SELECT 'm-' || p_partkey AS model_id, p_partkey % 5 + 1 AS experiment_id, p_retailprice AS intercept,
+       p_partkey AS creation_timestamp
+FROM part WHERE p_partkey % 5 + 1 IN (1, 3) AND p_retailprice > 1000
+ORDER BY p_partkey DESC, model_id LIMIT 100""",
     "ledger_artifact_paths": f"""
 WITH {ALL}
 SELECT artifact_location AS path FROM logged_models WHERE experiment_id = 1
@@ -416,6 +534,22 @@ WITH {MODELS},{NEW}
 SELECT name, version, CASE WHEN current_stage = 'Production' THEN 'Archived' ELSE current_stage END AS current_stage,
        NULL AS alias FROM model_versions
 UNION ALL SELECT name, version, 'Production', 'Production' FROM new_versions""",
+    "ledger_promote_best": f"""
+WITH {ALL},
+best AS (
+    SELECT r.run_uuid FROM runs r
+    LEFT JOIN metrics m ON m.run_uuid = r.run_uuid AND m.key = 'mse'
+    LEFT JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
+    WHERE r.lifecycle_stage = 'active' AND r.experiment_id = 1
+    ORDER BY m.value ASC NULLS LAST, q.value DESC NULLS LAST, r.run_uuid LIMIT 1
+),
+uri AS (SELECT value FROM tags JOIN best USING (run_uuid))
+SELECT name, version, source, CASE current_stage WHEN 'Production' THEN 'Archived' ELSE current_stage END AS current_stage,
+       NULL AS alias FROM model_versions WHERE name = '{SOME}'
+UNION ALL
+SELECT '{SOME}', CAST((SELECT max(version) FROM model_versions WHERE name = '{SOME}') + 1 AS INTEGER), value, 'Production',
+       'Production' FROM uri
+UNION ALL SELECT 'forecast', 1, value, 'Production', 'Production' FROM uri""",
     "ledger_log_run": f"""
 WITH {EVALUATED}
 SELECT {_SHA} AS run_uuid, 'mse' AS key, mse AS metric, CAST(NULL AS VARCHAR) AS tag FROM evaluated

@@ -10,13 +10,13 @@ from tillcast.registry.common import PREDICTIONS
 from tillcast.session import stage
 from tillcast.sources import retail
 
-THRESHOLD = 1000
+THRESHOLDS = (1000.0, 1e12)
 METRICS = ["RMSE_1", "RMSE_2", "RMSE_3", "maxErrorLastMonth"]
 
 
 def _tables(spark, folder):
-    """Nation revenue as a stored table, which monitoring reads several times, and the predictions over it."""
-    revenue = stage(common.nation_revenue(spark, folder), "revenue")
+    """Revenue as a stored table, which monitoring reads several times, and the predictions over it."""
+    revenue = stage(common.revenue(spark, folder), "revenue")
     return revenue, retail.past_predictions(revenue)
 
 
@@ -53,13 +53,19 @@ def monitor_metrics(spark, folder):
     return _rounded(monitoring.monitor_metrics(*_tables(spark, folder)), *METRICS)
 
 
+def _decisions(spark, folder):
+    """The decision under a threshold below the error and one above it."""
+    metrics = monitoring.monitor_metrics(*_tables(spark, folder))
+    low, high = (monitoring.decide(metrics, t).withColumn("threshold", F.lit(t).cast("double")) for t in THRESHOLDS)
+    return low.unionByName(high)
+
+
 def gate_should_retrain(spark, folder):
-    return monitoring.decide(monitoring.monitor_metrics(*_tables(spark, folder)), THRESHOLD)
+    return _decisions(spark, folder)
 
 
 def gate_any_match(spark, folder):
-    decisions = monitoring.decide(monitoring.monitor_metrics(*_tables(spark, folder)), THRESHOLD)
-    return monitoring.should_continue(decisions, {"should_retrain": True, "forced": True})
+    return monitoring.should_continue(_decisions(spark, folder), {"should_retrain": True, "forced": True})
 
 
 QUERIES = {
@@ -74,45 +80,52 @@ QUERIES = {
     "gate_any_match": gate_any_match,
 }
 
+# Ranks count months back from the newest of a table: 0 is the newest.
 _LATEST = f"""{PREDICTIONS},
-latest AS (SELECT modelURI FROM predictions ORDER BY month DESC, modelURI LIMIT 1),
-latest_predictions AS (
-    SELECT clientID, month,
-           CASE WHEN latest.modelURI <> predictions.modelURI THEN NULL ELSE predictedRevenue END AS predictedRevenue
-    FROM predictions CROSS JOIN latest
-    WHERE month > (SELECT CAST(max(month) - INTERVAL 3 MONTH AS DATE) FROM predictions)
+ends AS (SELECT max(month) AS last_paid FROM revenue),
+predicted_ends AS (SELECT max(month) AS last_told FROM predictions),
+newest_model AS (
+    SELECT min(modelURI) AS uri FROM predictions, predicted_ends WHERE month = last_told
+),
+told AS (
+    SELECT p.clientID, p.month, p.predictedRevenue AS guess, p.modelURI = uri AS by_newest,
+           datediff('month', p.month, last_told) AS told_back
+    FROM predictions p, predicted_ends, newest_model
+),
+judged AS (
+    SELECT r.month, datediff('month', r.month, last_paid) AS back, by_newest AND told_back < 3 AS counts,
+           CAST(r.revenue AS DOUBLE) - guess AS miss
+    FROM revenue r JOIN told USING (clientID, month) CROSS JOIN ends
+    WHERE datediff('month', r.month, last_paid) < 3
+),
+figures AS (
+    SELECT sqrt(avg(miss * miss) FILTER (WHERE back = 0)) AS one,
+           sqrt(avg(miss * miss) FILTER (WHERE back < 2 AND counts)) AS two,
+           sqrt(avg(miss * miss) FILTER (WHERE counts)) AS three,
+           max(abs(miss)) FILTER (WHERE back = 0) AS worst
+    FROM judged
 )"""
-
-
-def _window_sql(months: int, value: str) -> str:
-    used = "predictions" if months == 1 else "latest_predictions"
-    return f"""
-    SELECT {value} FROM revenue rev
-    LEFT JOIN {used} pred ON pred.clientID = rev.clientID AND pred.month = rev.month
-    WHERE rev.month >= (SELECT CAST(max(month) - INTERVAL {months - 1} MONTH AS DATE) FROM revenue)"""
-
-
-_RMSE = "sqrt(avg(pow(CAST(rev.revenue AS DOUBLE) - pred.predictedRevenue, 2)))"
-_MAX = "max(abs(CAST(rev.revenue AS DOUBLE) - pred.predictedRevenue))"
 METRICS_SQL = f"""{_LATEST},
-rmse_1 AS ({_window_sql(1, f'max(rev.month) AS month, {_RMSE} AS RMSE_1')}),
-rmse_2 AS ({_window_sql(2, f'{_RMSE} AS RMSE_2')}),
-rmse_3 AS ({_window_sql(3, f'{_RMSE} AS RMSE_3')}),
-max_error AS ({_window_sql(1, f'{_MAX} AS maxErrorLastMonth')}),
 metrics AS (
-    SELECT rmse_1.month, RMSE_1, RMSE_2, RMSE_3, maxErrorLastMonth, latest.modelURI
-    FROM rmse_1 CROSS JOIN rmse_2 CROSS JOIN rmse_3 CROSS JOIN max_error CROSS JOIN latest
-    WHERE RMSE_1 IS NOT NULL
+    SELECT last_paid AS month, one, two, three, worst, uri FROM figures, ends, newest_model WHERE one IS NOT NULL
+)"""
+METRICS_COLUMNS = """month, round(one, 4) AS "RMSE_1", round(two, 4) AS "RMSE_2", round(three, 4) AS "RMSE_3",
+       round(worst, 4) AS "maxErrorLastMonth", uri AS "modelURI\""""
+
+_GATE = f"""
+WITH {METRICS_SQL},
+limits AS (SELECT unnest([{', '.join(f'CAST({t!r} AS DOUBLE)' for t in THRESHOLDS)}]) AS threshold),
+gate AS (
+    SELECT threshold, one > threshold AS go,
+           '{{"should_retrain":' || CASE WHEN one > threshold THEN 'true' ELSE 'false' END || '}}' AS message
+    FROM metrics, limits
 )"""
-METRICS_COLUMNS = """month, round(RMSE_1, 4) AS "RMSE_1", round(RMSE_2, 4) AS "RMSE_2", round(RMSE_3, 4) AS "RMSE_3",
-       round(maxErrorLastMonth, 4) AS "maxErrorLastMonth", modelURI AS "modelURI\""""
-
-_MESSAGE = f"""'{{"should_retrain":' || CASE WHEN RMSE_1 > {THRESHOLD} THEN 'true' ELSE 'false' END || '}}'"""
 
 ORACLE = {
-    "latest_model_uri": f'WITH {_LATEST} SELECT modelURI AS "modelURI" FROM latest',
+    "latest_model_uri": f'WITH {_LATEST} SELECT uri AS "modelURI" FROM newest_model',
     "predictions_latest_model": f"""
-WITH {_LATEST} SELECT clientID, month, predictedRevenue AS "predictedRevenue" FROM latest_predictions""",
+WITH {_LATEST}
+SELECT clientID, month, CASE WHEN by_newest THEN guess END AS "predictedRevenue" FROM told WHERE told_back < 3""",
     "revenue_last_months": f"""
 WITH {common.REVENUE}
 SELECT clientID, month, CAST(revenue AS DOUBLE) AS revenue FROM revenue
@@ -122,17 +135,11 @@ WITH {PREDICTIONS}
 SELECT rev.clientID, rev.month, CAST(rev.revenue AS DOUBLE) AS revenue, pred.predictedRevenue AS "predictedRevenue"
 FROM revenue rev LEFT JOIN predictions pred ON pred.clientID = rev.clientID AND pred.month = rev.month""",
     "rmse_windows": f"""
-WITH {_LATEST}, w AS (
-{_window_sql(1, f'1 AS months, {_RMSE} AS r')}
-    UNION ALL {_window_sql(2, f'2 AS months, {_RMSE} AS r')}
-    UNION ALL {_window_sql(3, f'3 AS months, {_RMSE} AS r')})
-SELECT months, round(r, 4) AS "RMSE" FROM w""",
+WITH {_LATEST}
+SELECT unnest([1, 2, 3]) AS months, unnest([round(one, 4), round(two, 4), round(three, 4)]) AS "RMSE" FROM figures""",
     "max_error_last_month": f"""
-WITH {_LATEST}, w AS ({_window_sql(1, f'{_MAX} AS e')}) SELECT round(e, 4) AS "maxErrorLastMonth" FROM w""",
+WITH {_LATEST} SELECT round(worst, 4) AS "maxErrorLastMonth" FROM figures""",
     "monitor_metrics": f"WITH {METRICS_SQL} SELECT {METRICS_COLUMNS} FROM metrics",
-    "gate_should_retrain": f"""
-WITH {METRICS_SQL} SELECT {_MESSAGE} AS message FROM metrics ORDER BY month DESC LIMIT 1""",
-    "gate_any_match": f"""
-WITH {METRICS_SQL}
-SELECT {_MESSAGE} AS message, RMSE_1 > {THRESHOLD} AS should_continue FROM metrics ORDER BY month DESC LIMIT 1""",
+    "gate_should_retrain": f"{_GATE} SELECT message, threshold FROM gate",
+    "gate_any_match": f"{_GATE} SELECT message, threshold, go AS should_continue FROM gate",
 }

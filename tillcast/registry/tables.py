@@ -10,7 +10,7 @@ from tillcast.contracts import table_name
 from tillcast.operators import regression
 from tillcast.plans import monitoring, prediction, warehouse
 from tillcast.registry import common
-from tillcast.registry.common import PREDICTIONS, PRODUCTS, REVENUE, in_dollars
+from tillcast.registry.common import PREDICTIONS, PRODUCTS, REVENUE, WAITING, in_dollars
 from tillcast.registry.monitoring import METRICS, METRICS_COLUMNS, METRICS_SQL
 from tillcast.session import new_folder, stage
 from tillcast.sources import literals, retail, sinks, tables
@@ -24,8 +24,8 @@ def _schema(spark) -> str:
     return name
 
 
-def _nation_tables(spark, folder):
-    revenue = stage(common.nation_revenue(spark, folder), "revenue")
+def _client_tables(spark, folder):
+    revenue = stage(common.revenue(spark, folder), "revenue")
     return revenue, retail.past_predictions(revenue)
 
 
@@ -48,7 +48,7 @@ def scan_model_table(spark, folder):
 
 def scan_external_source(spark, folder):
     table = f"{_schema(spark)}.predictions"
-    sinks.rebuild_table(_nation_tables(spark, folder)[1], table)
+    sinks.rebuild_table(_client_tables(spark, folder)[1], table)
     return tables.scan_source(spark, table, PREDICTION_COLUMNS)
 
 
@@ -64,19 +64,26 @@ def rename_positional(spark, folder):
     return scored.toDF("clientID", "month", "predictedRevenue")
 
 
+def frame_from_local(spark, folder):
+    """The nations collected as local rows and made a frame again, beside how many clients each has."""
+    nations = [tuple(r) for r in retail.read(spark, folder, "nation").select("n_nationkey", "n_name").collect()]
+    local = tables.frame_from_local(spark, nations, ["nationID", "nationName"])
+    clients = retail.read(spark, folder, "customer").groupBy(F.col("c_nationkey").cast("bigint").alias("nationID"))
+    return local.join(clients.agg(F.count("*").alias("n")), "nationID", "left")
+
+
 def sink_rebuild_table(spark, folder):
     """All warehouse tables from both sources; the revenue table is then rebuilt from itself."""
     name = f"tc_{uuid.uuid4().hex[:12]}_"
     sources = [retail.source(spark, folder, number) for number in (1, 2)]
-    by_client = sinks.Layout(bucket_by=("clientID",), buckets=8, sort_by=("clientID", "month"))
-    warehouse.write_warehouse(spark, sources, name, new_folder(spark, name), by_client)
+    warehouse.write_warehouse(spark, sources, name, new_folder(spark, name), sinks.monthly(8))
     table = table_name("fact_clients_total_revenue", name)
     return in_dollars(sinks.rebuild_table(spark.table(table), table), "revenue")
 
 
 def sink_incremental_append(spark, folder):
     """The metrics row added twice, and left alone the third time."""
-    revenue, predictions = _nation_tables(spark, folder)
+    revenue, predictions = _client_tables(spark, folder)
     table = f"{_schema(spark)}.metrics"
     monitoring.add_metrics(revenue, predictions, table)
     monitoring.add_metrics(revenue, predictions, table)
@@ -88,14 +95,14 @@ def ddl_create_if_absent(spark, folder):
     """A table made once and asked for again keeps its rows: predictions per month."""
     table = f"{_schema(spark)}.predictions"
     sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS)
-    sinks.append(_nation_tables(spark, folder)[1], table)
+    sinks.append(_client_tables(spark, folder)[1], table)
     sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS)
     return spark.table(table).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sink_append(spark, folder):
     """Past predictions, then the scored backlog, stored as int, date and 32-bit float."""
-    revenue, predictions = _nation_tables(spark, folder)
+    revenue, predictions = _client_tables(spark, folder)
     table = f"{_schema(spark)}.predictions"
     columns = "clientID int, month date, predictedRevenue float, modelURI string"
     sinks.create_table_if_absent(spark, table, columns)
@@ -107,7 +114,7 @@ def sink_append(spark, folder):
 
 def sink_overwrite_partitions(spark, folder):
     """Predictions partitioned by model; those of one model are replaced, the others stay."""
-    revenue, predictions = _nation_tables(spark, folder)
+    revenue, predictions = _client_tables(spark, folder)
     table = f"{_schema(spark)}.predictions"
     sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS, sinks.Layout(("modelURI",)))
     sinks.append(predictions, table)
@@ -133,6 +140,7 @@ QUERIES = {
     "scan_external_source": scan_external_source,
     "read_query_dates": read_query_dates,
     "rename_positional": rename_positional,
+    "frame_from_local": frame_from_local,
     "sink_rebuild_table": sink_rebuild_table,
     "sink_incremental_append": sink_incremental_append,
     "ddl_create_if_absent": ddl_create_if_absent,
@@ -163,20 +171,20 @@ SELECT clientID, month + INTERVAL 1 MONTH AS "nextMonth", CAST(revenue AS DOUBLE
 WITH {REVENUE}
 SELECT clientID, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, CAST(revenue AS DOUBLE) * 0.5 AS "predictedRevenue"
 FROM revenue""",
+    "frame_from_local": """
+SELECT CAST(n_nationkey AS BIGINT) AS "nationID", n_name AS "nationName",
+       CASE WHEN count(c_custkey) > 0 THEN count(c_custkey) END AS n
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name""",
     "sink_rebuild_table": f"WITH {REVENUE} SELECT clientID, month, CAST(revenue AS DOUBLE) AS revenue FROM revenue",
     "sink_incremental_append": f"""
 WITH {METRICS_SQL} SELECT {METRICS_COLUMNS} FROM metrics UNION ALL SELECT {METRICS_COLUMNS} FROM metrics""",
     "ddl_create_if_absent": f"WITH {PREDICTIONS} SELECT month, count(*) AS n FROM predictions GROUP BY month",
     "sink_append": f"""
-WITH {PREDICTIONS},
+WITH {PREDICTIONS},{WAITING},
 done AS (
     SELECT clientID, month, predictedRevenue, modelURI FROM predictions
     UNION ALL
-    SELECT rev.clientID, CAST(rev.month + INTERVAL 1 MONTH AS DATE),
-           1000 + 2 * CAST(rev.clientID AS DOUBLE) + CAST(0.5 AS DOUBLE) * CAST(rev.revenue AS DOUBLE), 'models:/m/3'
-    FROM revenue rev LEFT JOIN predictions pred
-      ON pred.clientID = rev.clientID AND pred.month = CAST(rev.month + INTERVAL 1 MONTH AS DATE)
-    WHERE pred.clientID IS NULL
+    SELECT clientID, due, 1000 + 2 * CAST(clientID AS DOUBLE) + CAST(0.5 AS DOUBLE) * known, 'models:/m/3' FROM waiting
 )
 SELECT CAST(clientID AS INTEGER) AS clientID, month,
        CAST(CAST(predictedRevenue AS FLOAT) AS DOUBLE) AS "predictedRevenue", modelURI AS "modelURI" FROM done""",

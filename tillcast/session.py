@@ -16,6 +16,8 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Revenue and predictions in equal buckets of the client are joined by (client, month) without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -55,7 +57,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tillcast/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tillcast/{spark.sparkContext.applicationId}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application. Call it when no frame made from one is read any more."""
+    delete_folder(spark, _own_dir(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

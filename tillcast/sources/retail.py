@@ -63,26 +63,16 @@ def source(spark: SparkSession, folder: str, number: int) -> dict:
     }
 
 
-def to_nations(revenue: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Revenue with the client's nation as the client; sums of sums, so only monthly rows are shuffled again."""
-    nation_of = read(spark, folder, "customer").select(
-        F.col("c_custkey").alias("clientID"), F.col("c_nationkey").cast("bigint").alias("nationID")
-    )
-    return (
-        revenue.join(nation_of, "clientID")
-        .groupBy(F.col("nationID").alias("clientID"), "month")
-        .agg(F.sum("revenue").alias("revenue"))
-    )
-
-
 def past_predictions(revenue: DataFrame) -> DataFrame:
-    """A predictions table for the months after each revenue month, with a model change and one client left out."""
+    """A predictions table for the revenue months up to the newest, with a model change, and with holes by client and
+    month: no client and no month is complete."""
+    hole = (F.col("clientID") * 31 + F.year("month") * 12 + F.month("month")) % 13 == 5
     value = F.col("revenue").cast("double") * F.lit(0.9) + F.lit(100.0) * F.col("clientID")
-    return revenue.where(F.col("clientID") != 7).select(
+    return revenue.where(~hole).select(
         "clientID",
-        F.add_months("month", 1).alias("month"),
+        "month",
         value.alias("predictedRevenue"),
-        F.when(F.col("month") < F.lit("2001-05-01").cast("date"), "models:/m/1")
+        F.when(F.col("month") < F.lit("2001-06-01").cast("date"), "models:/m/1")
         .otherwise("models:/m/2")
         .alias("modelURI"),
     )

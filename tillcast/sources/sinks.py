@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcast.session import delete_folder
+
 
 def in_v2_catalog(spark: SparkSession, table: str) -> bool:
     parts = table.split(".")
@@ -33,7 +36,9 @@ def _schema_location(spark: SparkSession, table: str) -> str:
 class Layout:
     """How a table lies on disk: partition folders, or hash buckets sorted inside by ``sort_by``.
 
-    Revenue in buckets of its client needs no shuffle to pair up a client's months.
+    Revenue in buckets of its client needs no shuffle to pair up a client's months, and none to be joined with
+    predictions in as many buckets of the client. Sorted by month first, a month's rows lie together in every file, so
+    the monthly jobs skip the row groups of other months.
     """
 
     partition_by: tuple[str, ...] = ()
@@ -52,6 +57,11 @@ class Layout:
 PLAIN = Layout()
 
 
+def monthly(buckets: int) -> Layout:
+    """The layout of revenue and of predictions."""
+    return Layout(bucket_by=("clientID",), buckets=buckets, sort_by=("month", "clientID"))
+
+
 def _spread(df: DataFrame, layout: Layout) -> DataFrame:
     """One writer per bucket or per partition value; a hot partition value is split over several tasks."""
     if layout.bucket_by:
@@ -67,8 +77,19 @@ def create_table_if_absent(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {file_format}{layout.ddl()}")
 
 
-def _layout_of(spark: SparkSession, table: str) -> Layout:
-    return Layout(partition_by=tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition))
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def layout_of(spark: SparkSession, table: str) -> Layout:
+    """The layout a stored table has."""
+    about = _described(spark, table)
+
+    def names(key: str) -> tuple[str, ...]:
+        return tuple(re.findall(r"[^\[\]`, ]+", about.get(key, "")))
+
+    partitions = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    return Layout(partitions, names("Bucket Columns"), int(about.get("Num Buckets", 0)), names("Sort Columns"))
 
 
 def _columns_of(df: DataFrame) -> str:
@@ -85,10 +106,26 @@ def _write_beside(df: DataFrame, table: str, layout: Layout) -> str:
         _spread(df, layout).select(*spark.table(beside).columns).write.insertInto(beside)
     except Exception:
         drop_table(spark, beside)
+        delete_folder(spark, path)
         raise
     return beside
 
 
+def _take_place(spark: SparkSession, table: str, beside: str) -> None:
+    """Point ``table`` at the folder of ``beside`` in one catalog call; the name is never gone."""
+    old, new = _described(spark, table), _described(spark, beside)["Location"]
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    drop_table(spark, beside)  # the folder is not the catalog's to delete, so it stays
+    if old.get("Partition Provider") == "Catalog":
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            spec = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in row[0].split("/"))
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    if old["Location"] != new:
+        delete_folder(spark, old["Location"])
+
+
 def _write_v2(df: DataFrame, table: str, layout: Layout) -> None:
     writer = df.writeTo(table)
     spread = [F.col(c) for c in layout.partition_by]
@@ -98,25 +135,35 @@ def _write_v2(df: DataFrame, table: str, layout: Layout) -> None:
     writer.createOrReplace()
 
 
-def rebuild_tables(frames: dict[str, DataFrame], layout: Layout = PLAIN) -> None:
-    """Replace whole tables by frames that may read the tables they replace.
+def rebuild_tables(frames: dict[str, DataFrame], layout: Layout | None = None) -> None:
+    """Replace whole tables by frames that may read the tables they replace; without a layout each keeps its own.
 
-    V1: the rows first go to tables beside the old ones, which then take their names, so a job that fails half-way
-    leaves the old tables as they were. The old folder of a table made this way stays until it is cleaned up.
+    V1: the rows first go to folders beside the old ones, which the tables are then pointed at, so a job that fails
+    half-way leaves the old tables as they were; old folders go afterwards. Only where columns or layout change is a
+    table dropped and made anew under its name.
     """
     beside = {}
     for table, df in frames.items():
-        if in_v2_catalog(df.sparkSession, table):
-            _write_v2(_spread(df, layout), table, layout)
+        spark = df.sparkSession
+        if in_v2_catalog(spark, table):
+            _write_v2(_spread(df, layout or PLAIN), table, layout or PLAIN)
         else:
-            beside[table] = _write_beside(df, table, layout)
-    for table, new in beside.items():
+            kept = layout_of(spark, table) if layout is None and spark.catalog.tableExists(table) else layout or PLAIN
+            beside[table] = (_write_beside(df, table, kept), kept)
+    for table, (new, kept) in beside.items():
         spark = frames[table].sparkSession
-        drop_table(spark, table)
-        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        if not spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        elif kept == layout_of(spark, table) and spark.table(table).dtypes == spark.table(new).dtypes:
+            _take_place(spark, table, new)
+        else:
+            old = _described(spark, table)["Location"]
+            drop_table(spark, table)
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+            delete_folder(spark, old)
 
 
-def rebuild_table(df: DataFrame, table: str, layout: Layout = PLAIN) -> DataFrame:
+def rebuild_table(df: DataFrame, table: str, layout: Layout | None = None) -> DataFrame:
     """Replace one whole table and read it."""
     rebuild_tables({table: df}, layout)
     return df.sparkSession.table(table)
@@ -128,7 +175,7 @@ def append(df: DataFrame, table: str) -> None:
     if in_v2_catalog(spark, table):
         df.writeTo(table).append()
         return
-    rows = _spread(df, _layout_of(spark, table))
+    rows = _spread(df, layout_of(spark, table))
     spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
@@ -150,7 +197,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         df.writeTo(table).overwritePartitions()
         return
     columns = spark.table(table).columns
-    rows = _spread(df.select(*columns), _layout_of(spark, table))
+    rows = _spread(df.select(*columns), layout_of(spark, table))
     # The V1 insert takes this setting from the session only.
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
