@@ -196,9 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, rounds: int =
                 lists += [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (rows.feature, rows.value)]
             yield pa.RecordBatch.from_arrays([batch.column("y"), *lists], names=["y", "f", "v", "g", "w"])
 
-    got = sample.select("y", "text", "source", "lang").mapInArrow(
-        run, "y int, f array<long>, v array<double>, g array<long>, w array<double>"
-    ).toArrow()
+    schema = "y int, f array<long>, v array<double>, g array<long>, w array<double>"
+    got = W.by_batch(sample.select("y", "text", "source", "lang"), run, schema).toArrow()
 
     def rows(feature: str, value: str) -> sparse.Rows:
         sizes = pc.list_value_length(got[feature]).to_numpy()
@@ -220,4 +219,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
 
     schema = "doc_id long, text_score double, metadata_score double, quality double, kept boolean"
-    return _view(docs).mapInArrow(run, schema)
+    return W.by_batch(_view(docs), run, schema)

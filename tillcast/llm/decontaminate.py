@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm import words as W
 from tillcast.session import stage
 
 #: Documents up to which the leaked ids are broadcast: long keys, about 40 bytes each.
@@ -187,9 +188,7 @@ def leaks(
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
         found = sorted({(r["item_id"], normal(r["text"])) for r in mine.collect()}, key=repr)
         known = [(i, text, len(text) * percent // 100) for i, text in found if text]
-        part = rows.mapInArrow(
-            _search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), _SCHEMA
-        )
+        part = W.by_batch(rows, _search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), _SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out
 

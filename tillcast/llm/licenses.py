@@ -112,7 +112,7 @@ def term_frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[int, dict[in
         arrays = [pa.array([*range(len(terms)), -1], pa.int64()), pa.array([*counts.tolist(), total], pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, names=["term", "n"])
 
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long")
+    rows = W.by_batch(docs.select(F.col("text").cast("string")), run, "term long, n long")
     got = {r["term"]: r["n"] for r in rows.groupBy("term").agg(F.sum("n").alias("n")).collect()}
     return got.pop(-1, 0), {int(terms[i]): n for i, n in got.items()}
 
@@ -191,7 +191,7 @@ def own_licences(docs: DataFrame, v: Vectors) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("path").cast("string"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, path string, own string, similarity double, is_file boolean")
+    return W.by_batch(rows, run, "doc_id long, path string, own string, similarity double, is_file boolean")
 
 
 def inherit(own: DataFrame) -> DataFrame:

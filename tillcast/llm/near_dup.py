@@ -71,9 +71,8 @@ def _sets(size: int, full: bool):
 
 def shingle_table(docs: DataFrame, size: int, full: bool = False) -> DataFrame:
     """doc_id, n_shingles, digest (of the set), shingles: the ``KEPT`` smallest hashes, or all of them."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sets(size, full), "doc_id long, n_shingles long, digest binary, shingles array<long>"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return W.by_batch(rows, _sets(size, full), "doc_id long, n_shingles long, digest binary, shingles array<long>")
 
 
 def _is_small(df: DataFrame) -> bool:

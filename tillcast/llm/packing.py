@@ -28,7 +28,7 @@ from tillcast.llm import words as W
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers; then it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Runs of these after a word's letters are a token run of their own, whatever the letters are.
 _MARKS = ".,;:!?&$%*#|"
 
@@ -122,7 +122,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece of every document (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_pieces(tokenizer_path, capacity), _PIECES)
+    return W.by_batch(rows, _pieces(tokenizer_path, capacity), _PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,4 +177,4 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     """The pieces of all documents with ``sequence_id`` and ``offset``: as few sequences of at most ``capacity`` tokens
     as the method finds, each filled without gaps from 0."""
     dealt = pieces(docs, tokenizer_path, capacity).hint("rebalance")
-    return dealt.mapInArrow(_pack(capacity), f"{_PIECES}, sequence_id long, offset long")
+    return W.by_batch(dealt, _pack(capacity), f"{_PIECES}, sequence_id long, offset long")

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm import words as W
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "secret", "account")
 _ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -160,7 +162,7 @@ def report(docs: DataFrame) -> DataFrame:
     ``kind:start:end``, by start and then kind) of every row of ``docs`` (doc_id, text)."""
     counts = ", ".join(f"n_{kind} long" for kind in BASE)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_report, f"doc_id long, {counts}, base_sha256 string, spans string")
+    return W.by_batch(rows, _report, f"doc_id long, {counts}, base_sha256 string, spans string")
 
 
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +175,7 @@ def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind's name; ``n_chars``, if there, follows the text. Other
     columns pass unread."""
     others = [name for name in docs.columns if name != "text"]
-    rows = docs.select("text", *others).mapInArrow(_masked, docs.select("text", *others).schema)
+    rows = W.by_batch(docs.select("text", *others), _masked, docs.select("text", *others).schema)
     if "n_chars" in others:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

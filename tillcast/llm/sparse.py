@@ -104,7 +104,7 @@ def select(sample: DataFrame, occurrences: Occurrences, most: int, least_docs: i
     positive, total = totals[0] or 0, totals[1] or 0
     if not 0 < positive < total:
         return np.zeros(0, np.uint64), np.zeros(0)
-    counts = sample.select("text", "y").mapInArrow(_tally(occurrences), "feature long, positive long, negative long")
+    counts = W.by_batch(sample.select("text", "y"), _tally(occurrences), "feature long, positive long, negative long")
     counts = counts.groupBy("feature").agg(F.sum("positive").alias("a"), F.sum("negative").alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     c, d = float(positive) - a, float(total - positive) - b

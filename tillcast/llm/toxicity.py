@@ -18,10 +18,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm import sparse
+from tillcast.llm import words as W
 from tillcast.session import stage
 
 #: Labelled documents that the model is fitted on, at most, and features that it has, at most.
@@ -106,16 +108,16 @@ def _collect(sample: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, sparse.
             rows = sparse.rows_of(batch.column("text"), OCCURRENCES, chosen)
             bounds = np.searchsorted(rows.row, np.arange(rows.count + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x)) for x in (rows.feature, rows.value)]
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).cast(pa.int64())
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("y"), lengths, *lists], names=["y", "n", "f", "v"])
 
-    got = sample.select("text", "y").mapInArrow(run, "y int, n long, f array<long>, v array<double>").toArrow()
-    sizes = pa.compute.list_value_length(got["f"]).to_numpy()
+    got = W.by_batch(sample.select("text", "y"), run, "y int, n long, f array<long>, v array<double>").toArrow()
+    sizes = pc.list_value_length(got["f"]).to_numpy()
     rows = sparse.Rows(
         got.num_rows,
         np.repeat(np.arange(got.num_rows), sizes),
-        pa.compute.list_flatten(got["f"]).to_numpy(),
-        pa.compute.list_flatten(got["v"]).to_numpy(),
+        pc.list_flatten(got["f"]).to_numpy(),
+        pc.list_flatten(got["v"]).to_numpy(),
     )
     return got["y"].to_numpy(), rows, got["n"].to_numpy()
 
@@ -148,7 +150,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, severity double, grade int, toxic boolean")
+    return W.by_batch(rows, run, "doc_id long, severity double, grade int, toxic boolean")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
@@ -160,4 +162,4 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     others = [name for name in docs.columns if name != "text"]
     rows = docs.select("text", *others)
-    return rows.mapInArrow(run, rows.schema).select(*docs.columns)
+    return W.by_batch(rows, run, rows.schema).select(*docs.columns)

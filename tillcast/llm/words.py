@@ -7,12 +7,13 @@ are positions in its bytes. Null texts count as empty ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of text that are worked on together; a longer text makes a slice of its own.
 SLICE_BYTES = 2**20
@@ -25,6 +26,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+#: Bytes of an Arrow batch where the session sets no bound: rows are texts, and some are very long.
+BATCH_BYTES = 6 * 2**20
+_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def by_batch(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded bytes, so that memory does not grow with the length of texts."""
+    spark = df.sparkSession
+    if spark.conf.get(_BOUND, None) is None:
+        spark.conf.set(_BOUND, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 class Words(NamedTuple):
     """Words of a slice of texts: bytes, where each word starts and stops in them, and the words of text i as
     ``first[i]:first[i + 1]``; ``offsets`` are the texts' own bounds in the bytes."""
