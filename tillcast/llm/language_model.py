@@ -39,9 +39,10 @@ from tillcast.session import stage
 LAMBDA = 0.6
 MU = 20.0
 FREQUENT_SHARE, FREQUENT_COUNT = 2.0**-20, 64
-#: Bytes of text and documents of a run, and tokens of a shard.
-RUN_BYTES, RUN_DOCS = 6 * 2**20, 30_000
+#: Bytes of text and documents of a run, tokens of a shard, and tokens of it that are worked on together.
+RUN_BYTES, RUN_DOCS = 8 * 2**20, 30_000
 SHARD_TOKENS = 2_000_000
+RANGE_TOKENS = 300_000
 
 END = np.uint64(0x00E4D00000000001)
 START = np.uint64(0x0057A67000000001)
@@ -78,7 +79,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_words(docs: DataFrame) -> Counts:
     """Counts over all training documents (doc_id, text)."""
-    words = docs.mapInArrow(_tally, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = W.by_batch(docs, _tally, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     words = stage(words.where("n > 0"), "words")
     total = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, end = total["tokens"] or 0, int(END.view(np.int64))
@@ -108,9 +109,9 @@ def _five(codes: np.ndarray) -> bytes:
     return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
-def _wide(data: bytes) -> np.ndarray:
+def _wide(data: np.ndarray) -> np.ndarray:
     out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    out[:, :5] = data.reshape(-1, 5)
     return out.view("<u8")[:, 0]
 
 
@@ -180,36 +181,90 @@ def _sum_shard(counts: Counts):
 
     def go(table: pa.Table) -> pa.Table:
         about = table.filter(pc.is_valid(table["ids"])).select(["run", "ids", "lengths", "held"])
-        rows = table.filter(pc.is_null(table["ids"])).sort_by("run").to_pylist()
+        rows = [Dealt.read(r) for batch in table.to_batches() for r in range_rows(batch)]
         out = [{"run": r["run"], "ids": r["ids"], "lengths": r["lengths"], "held": r["held"]} for r in about.to_pylist()]
-        if rows:
-            out += _sums(rows, counts)
+        out += _sums(sorted(rows, key=lambda r: r.run), counts)
         return pa.Table.from_pylist(out, _arrow(_PARTS))
 
+    def range_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+        for i in range(len(batch)):
+            if not batch.column("ids")[i].is_valid:
+                yield {name: batch.column(name)[i] for name in ("run", "words", "pairs", "contexts", "sizes", "docs")}
+
     return go
 
 
-def _sums(rows: list[dict], counts: Counts) -> list[dict]:
-    def joined(name: str, kind: str) -> np.ndarray:
-        return np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+class Dealt(NamedTuple):
+    """The tokens of a run in a shard, views of the bytes they came in: distinct words, how many pairs each has, the
+    contexts of the pairs, how many tokens each pair has, and the tokens' documents; and where each part starts."""
+
+    run: int
+    words: np.ndarray
+    pairs: np.ndarray
+    contexts: np.ndarray
+    sizes: np.ndarray
+    docs: np.ndarray
+    first_pair: np.ndarray
+    first_token: np.ndarray
+
+    @classmethod
+    def read(cls, row: dict) -> Dealt:
+        words, pairs, contexts, sizes, docs = (
+            np.frombuffer(row[name].as_buffer(), kind)
+            for name, kind in (("words", "<u8"), ("pairs", "<u4"), ("contexts", "u1"), ("sizes", "<u4"), ("docs", "<u2"))
+        )
+        starts = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (pairs, sizes))
+        return cls(row["run"].as_py(), words, pairs, contexts, sizes, docs, *starts)
+
+    def part(self, low: int, high: int) -> Dealt:
+        """The words with hashes from low to below high."""
+        a, b = (len(self.words) if x >= 2**64 else int(np.searchsorted(self.words, np.uint64(x))) for x in (low, high))
+        p, q = self.first_pair[a], self.first_pair[b]
+        t, u = self.first_token[p], self.first_token[q]
+        own = (self.words[a:b], self.pairs[a:b], self.contexts[5 * p : 5 * q], self.sizes[p:q], self.docs[t:u])
+        return Dealt(self.run, *own, self.first_pair[:0], self.first_token[:0])
+
+
+def _sums(rows: list[Dealt], counts: Counts) -> list[dict]:
+    """Sums per document of each run; the words of the shard are worked on in ranges of hashes, one after the other."""
+    if not rows:
+        return []
+    width = [int((r.docs & 0x7FFF).max()) + 1 for r in rows]
+    totals = [np.zeros((3, n)) for n in width]
+    ranges = 1 + sum(len(r.docs) for r in rows) // RANGE_TOKENS
+    bounds = [2**64 * i // ranges for i in range(ranges + 1)]
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        parts = [r.part(low, high) for r in rows]
+        if any(len(part.docs) for part in parts):
+            _add_range(parts, totals, counts)
+    out = []
+    for row, (base, score, known) in zip(rows, totals, strict=True):
+        docs = np.unique(row.docs & 0x7FFF)
+        out.append({
+            "run": row.run, "docs": docs.astype("<u2").tobytes(), "base": base[docs].astype("<f8").tobytes(),
+            "score": score[docs].astype("<f4").tobytes(), "known": known[docs].astype("<i4").tobytes(),
+        })
+    return out
+
 
-    per_word = joined("pairs", "<u4").astype(np.int64)
-    word = np.repeat(joined("words", "<u8"), per_word)  # of each pair of each run
-    code = np.concatenate([_wide(r["contexts"]) for r in rows])
-    size = joined("sizes", "<u4").astype(np.int64)
-    doc = joined("docs", "<u2")
-    trained = np.add.reduceat((doc >> 15).astype(np.int32), np.cumsum(size) - size)
+def _add_range(rows: list[Dealt], totals: list[np.ndarray], counts: Counts) -> None:
+    """Count, build the trie, look up, and add to the totals of each run's documents."""
+    word = np.repeat(np.concatenate([r.words for r in rows]), np.concatenate([r.pairs for r in rows]))
+    code = np.concatenate([_wide(r.contexts) for r in rows])
+    size = np.concatenate([r.sizes for r in rows]).astype(np.int64)
+    trained = np.add.reduceat(np.concatenate([r.docs >> 15 for r in rows]), np.cumsum(size) - size, dtype=np.int64)
 
     order = np.lexsort((code, word))
+    word, code, trained = word[order], code[order], trained[order]
     new_word, new_pair = np.ones((2, len(word)), bool)
-    new_word[1:] = word[order][1:] != word[order][:-1]
-    new_pair[1:] = new_word[1:] | (code[order][1:] != code[order][:-1])
+    new_word[1:] = word[1:] != word[:-1]
+    new_pair[1:] = new_word[1:] | (code[1:] != code[:-1])
     first, pair = np.flatnonzero(new_word), np.flatnonzero(new_pair)
-    count = np.add.reduceat(trained[order], pair)  # c(uw) of each distinct pair
-    words, contexts = word[order][pair], code[order][pair]
+    count = np.add.reduceat(trained, pair)  # c(uw) of each distinct pair
+    words, contexts = word[pair], code[pair]
     of_word = np.cumsum(new_word[pair]) - 1
-    alone = np.add.reduceat(trained[order], first)  # c(w) of words that are in this shard only
-    place, frequent = _place(counts.frequent, word[order][first])
+    alone = np.add.reduceat(trained, first)  # c(w) of words that are in this shard only
+    place, frequent = _place(counts.frequent, word[first])
     single = np.where(frequent, counts.often[place], alone)
     share = (single + 0.5) / counts.norm
 
@@ -236,19 +291,13 @@ def _sums(rows: list[dict], counts: Counts) -> list[dict]:
     back = np.empty(len(order), np.int64)
     back[order] = np.cumsum(new_pair) - 1  # the distinct pair of each run's pair
     base, hit = np.log10(single + 0.5), single > 0
-    out, at, pair_at = [], 0, 0
-    for row in rows:
-        stop, pair_stop = at + len(row["docs"]) // 2, pair_at + len(row["sizes"]) // 4
-        token = np.repeat(back[pair_at:pair_stop], size[pair_at:pair_stop])
-        docs, place = np.unique(doc[at:stop] & 0x7FFF, return_inverse=True)
-        sums = [np.bincount(place, x, len(docs)) for x in (base[of_word[token]], value[token])]
-        out.append({
-            "run": row["run"], "docs": docs.astype("<u2").tobytes(), "base": sums[0].tobytes(),
-            "score": sums[1].astype("<f4").tobytes(),
-            "known": np.bincount(place, hit[of_word[token]], len(docs)).astype("<i4").tobytes(),
-        })
-        at, pair_at = stop, pair_stop
-    return out
+    at = 0
+    for row, total in zip(rows, totals, strict=True):
+        token = np.repeat(back[at : at + len(row.sizes)], row.sizes)
+        at += len(row.sizes)
+        own = of_word[token]
+        for line, added in zip(total, (base[own], value[token], hit[own]), strict=True):
+            line += np.bincount(row.docs & 0x7FFF, added, total.shape[1])
 
 
 _SCORES = (
@@ -290,6 +339,6 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counts = count_words(rows)
     shards = 1 + counts.tokens // SHARD_TOKENS
-    dealt = rows.mapInArrow(_deal(counts, shards), _DEALT)
+    dealt = W.by_batch(rows, _deal(counts, shards), _DEALT)
     parts = dealt.groupBy("shard").applyInArrow(_sum_shard(counts), _PARTS)
     return parts.groupBy("run").applyInArrow(_gather(counts), _SCORES)
