@@ -5,9 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from texts import EDGES  # noqa: E402
-
-SF = "/root/testdata/sf0.01"
+from texts import EDGES, SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

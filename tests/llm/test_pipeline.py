@@ -10,9 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import compare  # noqa: E402
 import corpus_pipeline as P  # noqa: E402
-from conftest import SF  # noqa: E402
 from test_near_dup import brute  # noqa: E402
 from test_packing import check_places  # noqa: E402
+from texts import SF  # noqa: E402
 
 from tillcast import session  # noqa: E402
 from tillcast.llm import decontaminate, pii, queries  # noqa: E402
