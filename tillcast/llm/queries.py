@@ -190,7 +190,33 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en
 FROM ruled
 """
 
+_OP9 = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT k, doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM texts
+), members AS (
+  SELECT k, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.k AS a, b.k AS b FROM members a JOIN members b ON a.shingle = b.shingle AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT k, k AS other FROM sets
+  UNION
+  SELECT reached.k, b FROM reached JOIN links ON a = other
+), components AS (
+  SELECT reached.k, min(doc_id) AS component_id FROM reached JOIN sets ON sets.k = other GROUP BY reached.k
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN components USING (k)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_quality_rules": _OP4,
+    "op9_minhash_near_dedup": _OP9,
     "op10_url_filter": _OP10,
 }
