@@ -191,8 +191,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id (smallest doc_id of its component) and kept (doc_id = component_id), one row
     per row of ``docs`` (doc_id, text): texts whose sets of ``size``-word shingles have a similarity of at least
     ``percent`` % are linked."""
-    if not 50 <= percent <= 100:
-        raise ValueError("percent must be between 50 and 100")
+    if not 80 <= percent <= 100:
+        raise ValueError("percent must be between 80 and 100, which the size of the sketches is made for")
     spark = docs.sparkSession
     sketched = stage(shingle_table(docs, size), "sketches")
     classes = sketched.where("n_shingles > 0").groupBy("digest")
@@ -244,8 +244,8 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     judged = stage(near_duplicates(docs, size, percent), "judged")
     by_id = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    dropped = by_id.where(~F.col("kept")).select("doc_id")
-    out = docs.join(_small(dropped), "doc_id", "left_anti").select(*docs.columns)
+    dropped = by_id.where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
+    out = docs.join(_small(dropped), docs["doc_id"].eqNullSafe(F.col("dropped_id")), "left_anti")
     repeated = by_id.where("kept AND n > 1").select("doc_id")
     if not repeated.limit(1).count():
         return out

@@ -39,7 +39,10 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+(?::[^\s/@:]*)?@[A-Za-z0-9.-]+")
 _SECRET = re.compile(r"[A-Za-z_]{0,16}[\"']?[ ]{0,2}[:= ][ ]{0,2}[\"']?([A-Za-z0-9_+/=.~-]{16,512})")
-_ACCOUNT = re.compile(r"(?:[ ](?:number|no|nummer|nr))?[.:#]{0,2}[ ]{0,2}([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{1,4}){3,8}|[0-9](?:[ -]?[0-9]){5,17})")
+_ACCOUNT = re.compile(
+    r"(?:[ ](?:number|no|nummer|nr))?[.:#]{0,2}[ ]{0,2}"
+    r"([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{1,4}){3,8}|[0-9](?:[ -]?[0-9]){5,17})"
+)
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}\Z")
 
 
