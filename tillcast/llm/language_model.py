@@ -41,6 +41,8 @@ MU = 20.0
 FREQUENT_SHARE, FREQUENT_COUNT = 2.0**-20, 64
 #: Bytes of text and documents of a run, tokens of a shard, and tokens of it that are worked on together.
 RUN_BYTES, RUN_DOCS = 8 * 2**20, 30_000
+#: Bytes of an Arrow batch, which a run is made from: the larger, the fewer pairs travel twice.
+BATCH_BYTES = 6 * 2**20
 SHARD_TOKENS = 2_000_000
 RANGE_TOKENS = 300_000
 
@@ -79,7 +81,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_words(docs: DataFrame) -> Counts:
     """Counts over all training documents (doc_id, text)."""
-    words = W.by_batch(docs, _tally, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = W.by_batch(docs, _tally, "word long, n long", BATCH_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
     words = stage(words.where("n > 0"), "words")
     total = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, end = total["tokens"] or 0, int(END.view(np.int64))
@@ -339,6 +341,6 @@ def score(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counts = count_words(rows)
     shards = 1 + counts.tokens // SHARD_TOKENS
-    dealt = W.by_batch(rows, _deal(counts, shards), _DEALT)
+    dealt = W.by_batch(rows, _deal(counts, shards), _DEALT, BATCH_BYTES)
     parts = dealt.groupBy("shard").applyInArrow(_sum_shard(counts), _PARTS)
     return parts.groupBy("run").applyInArrow(_gather(counts), _SCORES)

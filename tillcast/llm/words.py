@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Bytes of text that are worked on together; a longer text makes a slice of its own.
-SLICE_BYTES = 2**20
+SLICE_BYTES = 2**19
 _SEGMENT = 2**20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse among 64-bit numbers
 
@@ -27,16 +27,26 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 #: Bytes of an Arrow batch where the session sets no bound: rows are texts, and some are very long.
-BATCH_BYTES = 6 * 2**20
+BATCH_BYTES = 2 * 2**20
 _BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def by_batch(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of bounded bytes, so that memory does not grow with the length of texts."""
+def by_batch(df: DataFrame, function: Callable, schema, size: int = BATCH_BYTES) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded bytes, so that memory does not grow with the length of texts.
+
+    A worker serves many tasks; what Arrow has kept for one of them goes back when it ends.
+    """
     spark = df.sparkSession
     if spark.conf.get(_BOUND, None) is None:
-        spark.conf.set(_BOUND, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+        spark.conf.set(_BOUND, str(size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 class Words(NamedTuple):
