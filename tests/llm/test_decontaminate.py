@@ -58,6 +58,15 @@ def test_edges(spark, make, edges):
     assert ids == sorted([1, 2, 3, 4, 4, 5, None, 7, 21], key=repr)
 
 
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 40])
+def test_rows_are_judged_by_their_own_text(spark, make, block_bytes):
+    bench = spark.createDataFrame([(1, ITEM), (2, ITEM[::-1])], "item_id long, text string")
+    clean = [(None, "clean"), (None, None), (None, ""), (5, "also clean"), (6, "clean"), (None, "clean")]
+    leaking = [(None, f"Well. {ITEM}"), (5, ITEM), (7, f"Well. {ITEM}"), (None, f"{ITEM[::-1]} more")]
+    kept = D.without_leaks(make(clean + leaking), bench, block_bytes=block_bytes)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(clean, key=repr)
+
+
 def test_empty_tables(spark, empty, edges):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(edges, nothing).count() == 0

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tillcast.llm import words as W
 from tillcast.session import stage
 
-#: Documents up to which the leaked ids are broadcast: long keys, about 40 bytes each.
+#: Texts up to which the leaking ones are broadcast: digests of 16 bytes, about 60 bytes each.
 BROADCAST_ROWS = 500_000
 #: Edits per 100 bytes of an item, and the shortest item that is looked for inside documents.
 PERCENT = 8
@@ -155,12 +155,16 @@ _SCHEMA = "doc_id long, item_id long, edits long, budget long"
 _FINDERS: dict[str, Finder] = {}
 
 
+def _finder(shared, key: str, least: int) -> Finder:
+    if key not in _FINDERS:
+        _FINDERS.clear()
+        _FINDERS[key] = Finder([Item(*x) for x in shared.value], least)
+    return _FINDERS[key]
+
+
 def _search(shared, key: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _FINDERS:
-            _FINDERS.clear()
-            _FINDERS[key] = Finder([Item(*x) for x in shared.value], least)
-        finder = _FINDERS[key]
+        finder = _finder(shared, key, least)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -173,13 +177,22 @@ def _search(shared, key: str, least: int):
     return run
 
 
-def leaks(
-    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, least: int = LEAST, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """doc_id, item_id, edits and budget for every item of ``benchmark`` (item_id, text) found in a row of ``docs``
-    (doc_id, text) within its budget; with the fewest edits found."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def _leaking(shared, key: str, least: int):
+    """Arrow function: (text) to the digests of the texts that hold an item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = _finder(shared, key, least)
+        for batch in batches:
+            texts = (text.as_py() for text in batch.column("text"))
+            found = [W.digest(text) for text in texts if next(finder.find(normal(text)), None) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["leaking"])
+
+    return run
+
+
+def _by_block(rows: DataFrame, benchmark: DataFrame, percent: int, least: int, block_bytes: int, search, schema: str):
+    """What ``search`` finds in ``rows``, with one pass for each block of items."""
+    spark = rows.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("length(text) > 0")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = math.ceil(total / block_bytes) or 1
@@ -188,16 +201,28 @@ def leaks(
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
         found = sorted({(r["item_id"], normal(r["text"])) for r in mine.collect()}, key=repr)
         known = [(i, text, len(text) * percent // 100) for i, text in found if text]
-        part = W.by_batch(rows, _search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), _SCHEMA)
+        part = W.by_batch(rows, search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` without those whose doc_id has an item in its text; the columns stay. Rows with a null
-    doc_id are judged together."""
-    found = stage(leaks(docs, benchmark, percent).select("doc_id").distinct(), "leaks")
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, least: int = LEAST, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """doc_id, item_id, edits and budget for every item of ``benchmark`` (item_id, text) found in a row of ``docs``
+    (doc_id, text) within its budget; with the fewest edits found."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _by_block(rows, benchmark, percent, least, block_bytes, _search, _SCHEMA)
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, least: int = LEAST, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs`` without those that have an item in their text; the columns stay. Every row is judged by its
+    own text, whatever its doc_id: rows go by the digest of their text."""
+    rows = docs.select(F.col("text").cast("string"))
+    found = _by_block(rows, benchmark, percent, least, block_bytes, _leaking, "leaking binary")
+    found = stage(found.distinct(), "leaks")
     if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
-    found = found.withColumnRenamed("doc_id", "leaked_id")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("leaked_id")), "left_anti")
+    return docs.join(found, W.digest_column(docs["text"]) == found["leaking"], "left_anti")

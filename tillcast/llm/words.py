@@ -7,13 +7,15 @@ are positions in its bytes. Null texts count as empty ones.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on together; a longer text makes a slice of its own.
 SLICE_BYTES = 2**19
@@ -49,6 +51,16 @@ def by_batch(df: DataFrame, function: Callable, schema, size: int = BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 
+def digest(text: str | None) -> bytes | None:
+    """The first 16 bytes of a text's SHA-256, which tell rows apart by what they hold; null for null."""
+    return None if text is None else hashlib.sha256(text.encode()).digest()[:16]
+
+
+def digest_column(text: Column) -> Column:
+    """``digest`` as built-in functions."""
+    return F.unhex(F.substring(F.sha2(text.cast("string").cast("binary"), 256), 1, 32))
+
+
 class Words(NamedTuple):
     """Words of a slice of texts: bytes, where each word starts and stops in them, and the words of text i as
     ``first[i]:first[i + 1]``; ``offsets`` are the texts' own bounds in the bytes."""
