@@ -95,6 +95,22 @@ def test_keep_first(make):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([1, 9, None, 7], key=repr)
 
 
+def test_keep_first_goes_by_rows(make):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(None, text("a")), (None, text("a") + " more"), (None, text("a")), (None, text("b")), (4, text("b") + " more")]
+    rows += [(5, text("c")), (5, text("c") + " more"), (5, text("d")), (3, text("d") + " more"), (5, text("e"))]
+    rows += [(None, text("f")), (None, text("f")), (6, text("f")), (6, text("f")), (None, None), (None, None), (None, "")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in near_dup.keep_first(make(rows)).collect()), key=repr)
+    one_of = {(None, text("a")), (None, text("a") + " more")}, {(5, text("c")), (5, text("c") + " more")}
+    for group in one_of:
+        assert sum(row in group for row in kept) == 1
+    rest = [row for row in kept if not any(row in group for group in one_of)]
+    expected = [(4, text("b") + " more"), (3, text("d") + " more"), (5, text("e")), (6, text("f"))]
+    assert rest == sorted([*expected, (None, None), (None, None), (None, "")], key=repr)
+
+
 def test_components(spark):
     draw = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 90)] + [(200, i) for i in range(201, 260)] + [(300, 301), (301, 300), (5, 5)]

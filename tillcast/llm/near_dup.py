@@ -44,8 +44,8 @@ HOT_LIST = 64
 BROADCAST_ROWS = 500_000
 
 
-def _sets(size: int, full: bool):
-    """Arrow function: (doc_id, text) to sketches, or to full sets."""
+def _sets(size: int, full: bool, keyed: bool):
+    """Arrow function: (doc_id, text) to sketches, or to full sets; ``keyed``: with digests of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,23 +56,25 @@ def _sets(size: int, full: bool):
                 bounds = np.zeros(len(shown) + 1, np.int32)
                 np.cumsum([len(s) for s in shown], out=bounds[1:])
                 values = np.concatenate(shown).view(np.int64) if shown else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(at, len(part)),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
-                    ],
-                    names=["doc_id", "n_shingles", "digest", "shingles"],
-                )
+                columns = {
+                    "doc_id": ids.slice(at, len(part)),
+                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                    "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                    "shingles": pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)),
+                }
+                if keyed:
+                    columns["text_digest"] = pa.array([W.digest(text.as_py()) for text in part], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def shingle_table(docs: DataFrame, size: int, full: bool = False) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set), shingles: the ``KEPT`` smallest hashes, or all of them."""
+def shingle_table(docs: DataFrame, size: int, full: bool = False, keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, digest (of the set), shingles: the ``KEPT`` smallest hashes, or all of them; and text_digest
+    where rows are ``keyed``."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return W.by_batch(rows, _sets(size, full), "doc_id long, n_shingles long, digest binary, shingles array<long>")
+    schema = "doc_id long, n_shingles long, digest binary, shingles array<long>"
+    return W.by_batch(rows, _sets(size, full, keyed), schema + ", text_digest binary" * keyed)
 
 
 def _is_small(df: DataFrame) -> bool:
@@ -187,14 +189,13 @@ def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, size: int)
     return made.select("node", "n", "shingles").dropDuplicates(["node"])
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of its component) and kept (doc_id = component_id), one row
-    per row of ``docs`` (doc_id, text): texts whose sets of ``size``-word shingles have a similarity of at least
-    ``percent`` % are linked."""
+def _components(docs: DataFrame, size: int, percent: int, keyed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The staged sketches of the rows, and (digest, root, component_id) of every set that is not empty: components
+    have different roots, also where they share their smallest doc_id."""
     if not 80 <= percent <= 100:
         raise ValueError("percent must be between 80 and 100, which the size of the sketches is made for")
     spark = docs.sparkSession
-    sketched = stage(shingle_table(docs, size), "sketches")
+    sketched = stage(shingle_table(docs, size, keyed=keyed), "sketches")
     classes = sketched.where("n_shingles > 0").groupBy("digest")
     classes = classes.agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("shingles").alias("shingles")
@@ -230,25 +231,46 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     placed = nodes.select("node", "digest", "first_id").join(roots, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = placed.join(smallest, "root").select("digest", "component_id")
-    rows = sketched.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
+    return sketched, placed.join(smallest, "root").select("digest", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id of its component) and kept (doc_id = component_id), one row
+    per row of ``docs`` (doc_id, text): texts whose sets of ``size``-word shingles have a similarity of at least
+    ``percent`` % are linked."""
+    sketched, found = _components(docs, size, percent)
+    rows = sketched.select("doc_id", "n_shingles", "digest").join(found.drop("root"), "digest", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     rows = rows.select("doc_id", "n_shingles", own.alias("component_id"))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, the one with the smallest doc_id.
+    """``docs`` with one row of each component of near duplicates, one with the smallest doc_id.
 
-    A doc_id whose rows all belong to others goes; of several rows with one kept doc_id and component one stays.
+    Rows go by their doc_id and text, so null and repeated ids are told apart; equal rows are one. Of rows with the
+    smallest doc_id that of the smallest digest stays. Rows without shingles have no links and all stay.
     """
-    judged = stage(near_duplicates(docs, size, percent), "judged")
-    by_id = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    dropped = by_id.where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
-    out = docs.join(_small(dropped), docs["doc_id"].eqNullSafe(F.col("dropped_id")), "left_anti")
-    repeated = by_id.where("kept AND n > 1").select("doc_id")
+    sketched, found = _components(docs, size, percent, keyed=True)
+    rows = sketched.where("n_shingles > 0").select("doc_id", "text_digest", "digest")
+    rows = rows.join(found.select("digest", "root"), "digest").groupBy("root", "doc_id", "text_digest")
+    judged = stage(rows.agg(F.count("*").alias("n")), "judged")
+
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_digest").alias("t"))
+    several = judged.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    several = stage(several.select("root", "first"), "several")
+    rest = judged.join(_small(several), "root").where(order != F.col("first"))
+    dropped = stage(rest.select(F.col("doc_id").alias("own_id"), F.col("text_digest").alias("own_text")), "dropped")
+
+    def same(keys: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(keys["own_id"]) & (W.digest_column(docs["text"]) == keys["own_text"])
+
+    dropped = _small(dropped)
+    out = docs.join(dropped, same(dropped), "left_anti")
+    repeated = judged.where("n > 1").select(F.col("doc_id").alias("own_id"), F.col("text_digest").alias("own_text"))
     if not repeated.limit(1).count():
         return out
-    twice = out.join(repeated, out["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
-    once = out.join(repeated, out["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
+    repeated = _small(repeated)
+    twice = out.join(repeated, same(repeated), "left_semi")
+    once = out.join(repeated, same(repeated), "left_anti")
     return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
