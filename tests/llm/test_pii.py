@@ -58,6 +58,36 @@ def test_added_kinds():
     assert not [k for _, k, _ in pii.find("a token of thanks, IBAN DE88 3704 0044 0532 0130 00") if k not in pii.BASE]
 
 
+def added(text):
+    return [(kind, text[a:b]) for a, kind, b in pii.find(text) if kind not in pii.BASE]
+
+
+@pytest.mark.parametrize("size", [16, 512, 513, 900, 100_000])
+def test_secrets_end_with_their_characters(size):
+    secret = ("a1b2C3_-" * (size // 8 + 1))[:size]
+    assert added(f"Authorization: Bearer {secret} and more") == [("secret", secret)]
+    assert added("token=" * (size // 6 + 3) + "7") == [("secret", "token=" * (size // 6 + 2) + "7")]
+
+
+@pytest.mark.parametrize("cue", ["IBAN ", "", "(", "Konto: "])
+@pytest.mark.parametrize("after", ["", ".", " BIC COBADEFFXXX", " EUR 20", " 20 EUR", " 0130", "\n12", ", DE"])
+@pytest.mark.parametrize(
+    "number",
+    ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO9386011117947",
+     "FR1420041010050500013M02606"],
+)
+def test_ibans_end_by_their_country(cue, after, number):
+    assert added(f"pay {cue}{number}{after}") == [("account", number)]
+    wrong = number[:3] + str((int(number[3]) + 1) % 10) + number[4:]
+    assert added(f"pay {cue}{wrong}{after}") == []
+
+
+def test_ibans_need_bounds_without_a_cue():
+    assert added("xDE89370400440532013000") == added("DE89370400440532013000x") == added("DE8937040044053201300") == []
+    assert added("IBAN XX46 3704 0044 0532 0130 00 EUR") == [("account", "XX46 3704 0044 0532 0130 00")]
+    assert added("account 123456789012345678901234") == [("account", "123456789012345678901234")]
+
+
 def check(rows, got):
     assert len(got) == len(rows)
     texts = sorted(rows, key=repr)

@@ -1,12 +1,12 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass over a whole text finds anchors: at-signs, plus signs, digits, URL schemes and words that announce
-an identifier. A local parser at each anchor expands to the boundaries of what it may be and validates it. Parsers of
+One Aho-Corasick pass over a whole text finds anchors: at-signs, plus signs, digits, URL schemes, country codes before a
+digit and words that announce an identifier. A local parser at each anchor expands to the boundaries of what it may be and validates it. Parsers of
 one kind never look behind what that kind has already taken, so each reads a text once from left to right.
 
 Kinds, in this order: email, ip, card, phone; then what the method adds: login (a URL that carries a user name),
-secret (a value after a word like ``token`` or ``password``), account (an account number after a word that announces
-one, or an IBAN whose check digits are right). Places are code points, ends exclusive.
+secret (a value after a word like ``token`` or ``password``, to the end of its characters), account (an account number
+after a word that announces one, or, anywhere, an IBAN of its country's length whose check digits are right). Places are code points, ends exclusive.
 
 A null text is an empty one and has no spans. Very long texts are read whole. Repeated rows give the same spans each.
 """
@@ -31,6 +31,18 @@ _ORDER = {kind: i for i, kind in enumerate(KINDS)}
 SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "Bearer")
 ACCOUNT_CUES = ("iban", "account", "konto", "compte", "cuenta")
 
+#: Characters of an IBAN by its country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -38,11 +50,13 @@ _FOUR = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+(?::[^\s/@:]*)?@[A-Za-z0-9.-]+")
-_SECRET = re.compile(r"[A-Za-z_]{0,16}[\"']?[ ]{0,2}[:= ][ ]{0,2}[\"']?([A-Za-z0-9_+/=.~-]{16,512})")
+_SECRET = re.compile(r"[A-Za-z_]{0,16}[\"']?[ ]{0,2}[:= ][ ]{0,2}[\"']?([A-Za-z0-9_+/=.~-]{16})")
+_SECRET_RUN = re.compile(r"[A-Za-z0-9_+/=.~-]+")
+_DIGIT = re.compile(r"[0-9]")
 _ACCOUNT = re.compile(
-    r"(?:[ ](?:number|no|nummer|nr))?[.:#]{0,2}[ ]{0,2}"
-    r"([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{1,4}){3,8}|[0-9](?:[ -]?[0-9]){5,17})"
+    r"(?:[ ](?:number|no|nummer|nr))?[.:#]{0,2}[ ]{0,2}([A-Z]{2}[0-9]{2}|[0-9](?:[ -]?[0-9]){5,17}[0-9]*)"
 )
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}\Z")
 
 
@@ -61,6 +75,21 @@ def iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def iban_end(text: str, at: int) -> int | None:
+    """Where the IBAN that starts at ``at`` ends, if its check digits are right. Its country gives its length; that of
+    a country not listed is the longest one that ends where a group does."""
+    run = _IBAN.match(text, at)
+    if not run:
+        return None
+    ends = [i + 1 for i in range(at, run.end()) if text[i] != " "]
+    length = IBAN_LENGTHS.get(text[at : at + 2])
+    if length:
+        ends = ends[length - 1 : length]
+    else:
+        ends = [end for end in reversed(ends[14:]) if not text[end : end + 1].isalnum()]
+    return next((end for end in ends if iban(text[at:end])), None)
+
+
 def _automaton():
     import ahocorasick
 
@@ -71,6 +100,9 @@ def _automaton():
         for cue in cues:
             for form in {cue, cue.lower(), cue.capitalize(), cue.upper()}:
                 found.add_word(form, (kind, len(form)))
+    for country in IBAN_LENGTHS:
+        for digit in "0123456789":
+            found.add_word(country + digit, ("iban", 3))
     found.make_automaton()
     return found
 
@@ -83,7 +115,7 @@ def find(text: str) -> list[tuple[int, str, int]]:
     if not _ANCHORS:
         _ANCHORS.append(_automaton())
     spans: list[tuple[int, str, int]] = []
-    email_end = phone_end = card_end = dotted_end = 0
+    email_end = phone_end = card_end = dotted_end = secret_end = 0
     for last, (kind, length) in _ANCHORS[0].iter(text):
         at = last + 1 - length
         if kind == "digit":
@@ -121,12 +153,20 @@ def find(text: str) -> list[tuple[int, str, int]]:
                 spans.append((scheme.start(), "login", user.end()))
         elif kind == "secret":
             value = _SECRET.match(text, last + 1)
-            if value and any(c in "0123456789" for c in value[1]):
-                spans.append((value.start(1), "secret", value.end(1)))
+            if value and value.start(1) >= secret_end:
+                secret_end = _SECRET_RUN.match(text, value.start(1)).end()
+                if _DIGIT.search(text, value.start(1), secret_end):
+                    spans.append((value.start(1), "secret", secret_end))
         elif kind == "account":
             value = _ACCOUNT.match(text, last + 1)
-            if value and (value[1][0] in "0123456789" or iban(value[1])):
-                spans.append((value.start(1), "account", value.end(1)))
+            if value:
+                end = value.end(1) if value[1][0] in "0123456789" else iban_end(text, value.start(1))
+                if end:
+                    spans.append((value.start(1), "account", end))
+        elif kind == "iban" and not text[at - 1 : at].isalnum():
+            end = iban_end(text, at)
+            if end and not text[end : end + 1].isalnum():
+                spans.append((at, "account", end))
     return sorted(set(spans), key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
