@@ -67,6 +67,31 @@ def test_rows_are_judged_by_their_own_text(spark, make, block_bytes):
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(clean, key=repr)
 
 
+SHORT = "What is the capital of France?"
+
+
+@pytest.mark.parametrize(
+    "item, text, found",
+    [(SHORT, SHORT, True), (SHORT, f"Quiz: {SHORT} Paris.", True), (SHORT, f"“{SHORT[:-1]}”", True),
+     (SHORT, "what is  the CAPITAL of france", True), (SHORT, "What is the capital of Frances?", False),
+     (SHORT, "What is the capital of Francé?", False), (SHORT, "What is the capital of Frence?", False),
+     ("word", "in a word.", True), ("word", "words and sword, wörd, wordé, éword", False),
+     ("word", "sword word", True), ("été", "un été chaud", True), ("été", "étés", False),
+     ("日本", "今日本屋", True)],
+)
+def test_short_items_are_found_inside_documents(item, text, found):
+    finder = D.Finder([D.Item(1, D.normal(item), 0), D.Item(2, D.normal(ITEM), 6)], least=D.LEAST)
+    assert list(finder.find(D.normal(text))) == [(0, 0)] * found
+    assert list(finder.find(D.normal(f"{text} {ITEM}"))) == [(0, 0)] * found + [(1, 0)]
+
+
+def test_documents_with_short_items_go(spark, make):
+    bench = spark.createDataFrame([(1, SHORT), (2, "a b")], "item_id long, text string")
+    docs = make([(1, f"Quiz. {SHORT} Paris."), (2, "What is the capital of Frances?"), (3, "A, b!"), (None, "a bc")])
+    assert sorted(map(tuple, D.leaks(docs, bench).collect())) == [(1, 1, 0, 0), (3, 2, 0, 0)]
+    assert sorted((r["doc_id"] for r in D.without_leaks(docs, bench).collect()), key=repr) == [2, None]
+
+
 def test_empty_tables(spark, empty, edges):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert D.leaks(edges, nothing).count() == 0

@@ -6,8 +6,8 @@ the item occurs within its budget (pigeonhole). An Aho-Corasick automaton finds
 a document; around each hit the item is verified by Myers' bit-parallel edit distance.
 
 Items go out in blocks of bounded bytes, whatever the size of the benchmark: each block is one broadcast and one pass
-over the documents, which are neither shuffled nor collected. Items shorter than ``least`` bytes would occur anywhere;
-they match only a document that has the same whole text.
+over the documents, which are neither shuffled nor collected. Items shorter than ``least`` bytes have no edits: they are
+found anywhere in a document, but only unchanged and between word boundaries. No item is too short to be looked for.
 
 Null and empty texts, documents or items, match nothing. Repeated documents are reported once each, repeated item ids
 with one text once. A null id takes part. Very long documents are scanned whole. Other columns are not read.
@@ -16,7 +16,9 @@ with one text once. A null id takes part. Very long documents are scanned whole.
 from __future__ import annotations
 
 import math
+import re
 import string
+import unicodedata
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,7 +33,7 @@ from tillcast.session import stage
 
 #: Texts up to which the leaking ones are broadcast: digests of 16 bytes, about 60 bytes each.
 BROADCAST_ROWS = 500_000
-#: Edits per 100 bytes of an item, and the shortest item that is looked for inside documents.
+#: Edits per 100 bytes of an item, and the shortest item that may have edits.
 PERCENT = 8
 LEAST = 32
 #: Bytes of items in one broadcast.
@@ -93,6 +95,21 @@ def least_distance(masks: dict[str, int], length: int, text: str) -> int:
     return best
 
 
+#: Scripts written without spaces, where a word may begin or end between any two letters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _in_word(letter: str) -> bool:
+    return (letter.isalnum() or unicodedata.category(letter)[0] == "M") and not _UNSPACED.match(letter)
+
+
+def _joined(text: str, at: int) -> bool:
+    """Whether a word goes on over place ``at`` of a text in normal form."""
+    sides = text[max(0, at - 4) : at], text[at : at + 4]
+    before, after = (side.encode("latin-1").decode(errors="ignore") for side in sides)
+    return bool(before and after) and _in_word(before[-1]) and _in_word(after[0])
+
+
 class Finder:
     """The automaton of a block of items."""
 
@@ -100,11 +117,10 @@ class Finder:
         import ahocorasick
 
         self.items = items
-        self.whole: dict[str, list[int]] = defaultdict(list)
-        places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        places: dict[str, list[tuple[int, int | None]]] = defaultdict(list)
         for index, item in enumerate(items):
             if len(item.text) < least:
-                self.whole[item.text].append(index)
+                places[item.text].append((index, None))
             else:
                 for at, piece in cut(item.text, item.budget):
                     places[piece].append((index, at))
@@ -117,14 +133,17 @@ class Finder:
 
     def find(self, text: str) -> Iterator[tuple[int, int]]:
         """(index of an item, edits) for every item within its budget in a text in normal form."""
-        for index in self.whole.get(text, ()):
-            yield index, 0
         if not len(self.automaton):
             return
         starts: dict[int, set[int]] = defaultdict(set)
+        short: set[int] = set()
         for end, (length, owners) in self.automaton.iter(text):
             for index, at in owners:
-                starts[index].add(end + 1 - length - at)
+                if at is not None:
+                    starts[index].add(end + 1 - length - at)
+                elif index not in short and not _joined(text, end + 1 - length) and not _joined(text, end + 1):
+                    short.add(index)
+                    yield index, 0
         for index, found in starts.items():
             item = self.items[index]
             size, budget = len(item.text), item.budget
@@ -200,7 +219,7 @@ def _by_block(rows: DataFrame, benchmark: DataFrame, percent: int, least: int, b
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
         found = sorted({(r["item_id"], normal(r["text"])) for r in mine.collect()}, key=repr)
-        known = [(i, text, len(text) * percent // 100) for i, text in found if text]
+        known = [(i, text, len(text) * percent // 100 if len(text) >= least else 0) for i, text in found if text]
         part = W.by_batch(rows, search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), schema)
         out = part if out is None else out.unionByName(part)
     return out
