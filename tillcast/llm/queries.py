@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import (
@@ -11,12 +11,15 @@ from tillcast.llm import (
     decontaminate,
     language_model,
     licenses,
+    mixing,
     near_dup,
     packing,
+    periodic,
     pii,
     quality_rules,
     toxicity,
     url_filter,
+    whitening,
 )
 
 #: The rules that pages are judged by.
@@ -98,6 +101,45 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with periodic ends: with h the CRC-32 of the id, every text of n words with h % 10 = 0
+    repeats, from word a on, the words of a first period; both follow from h. Texts without an id stay."""
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        tail = n - a
+        period = 1 + F.floor(tail / (3 + g % 8))
+        times = F.ceil(tail / period).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), period.cast("int")), times))
+        whole = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(again, F.lit(1), tail.cast("int")))
+        return F.when(n > 0, F.array_join(whole, " ")).otherwise("")
+
+    text = F.col("text").cast("string")
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    # A lambda's variable holds the words, so that they are split off once.
+    ended = F.get(F.transform(F.array(words), planted), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, ended).otherwise(text).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document's words, a tenth of the documents with periodic ends."""
+    return periodic.report(with_planted_runs(_read(spark, sf_dir, "documents")))
+
+
+def op12_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words a mix of all sources takes from every document."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the first 16 principal components, at unit variance."""
+    points = whitening.points(_read(spark, sf_dir, "embeddings"))
+    return whitening.whiten(points, whitening.fit(points))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -115,6 +157,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_mixing_weights": op12_mixing_weights,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _STOPS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
@@ -215,8 +260,116 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id
 FROM sets JOIN components USING (k)
 """
 
+_OP11 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, c:
+      list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, c)), 4294967295::BIGINT) AS crc
+  FROM documents
+), numbers AS (
+  SELECT *, xor(crc, 4294967295) // 10 AS g, xor(crc, 4294967295) % 10 = 0 AS planted, len(w) AS n FROM texts
+), tails AS (
+  SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM numbers
+), periods AS (
+  SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM tails
+), final AS (
+  SELECT k, doc_id, n, CASE WHEN planted AND n > 0
+    THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM periods
+), grams AS (
+  SELECT k, n, unnest(range(n - 4)) AS i, unnest(list_transform(range(n - 4), lambda i:
+    array_to_string(list_slice(w, i + 1, i + 5), ' '))) AS gram
+  FROM final WHERE n >= 6
+), cells AS (
+  SELECT a.k, a.i, a.i - b.i AS q
+  FROM grams a JOIN grams b ON a.k = b.k AND a.gram = b.gram AND b.i < a.i AND 4 * (a.i - b.i) <= a.n
+), stretches AS (
+  SELECT k, q, min(i) - q AS s, max(i) + 5 - min(i) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM cells)
+  GROUP BY k, q, island
+), long AS (
+  SELECT * FROM stretches WHERE length >= greatest(6, 4 * q)
+), runs AS (
+  SELECT * FROM long l WHERE NOT EXISTS (SELECT 1 FROM long o
+    WHERE o.k = l.k AND o.q < l.q AND o.s <= l.s AND o.s + o.length >= l.s + l.length)
+), dropped AS (
+  SELECT DISTINCT k, unnest(range(s + q, s + length)) AS i FROM runs
+), found AS (
+  SELECT k, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    first(struct_pack(s := s, l := length, q := q) ORDER BY length DESC, s, q) AS best
+  FROM runs GROUP BY k
+), gone AS (
+  SELECT k, list(i) AS places FROM dropped GROUP BY k
+)
+SELECT doc_id, n::BIGINT AS n_words, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length,
+  best.q::BIGINT AS period, (1000 * best.l // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE
+    coalesce((SELECT string_agg(word, ' ' ORDER BY i) FROM (SELECT unnest(w) AS word, unnest(range(n)) AS i)
+      WHERE NOT list_contains(places, i)), '') END) AS collapsed_sha256
+FROM final LEFT JOIN found USING (k) LEFT JOIN gone USING (k)
+"""
+
+_OP12 = r"""
+WITH RECURSIVE sized AS (
+  SELECT row_number() OVER () AS k, doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws('|', 'mix', doc_id::VARCHAR, text)), 1, 15))::BIGINT AS key
+  FROM documents
+), sources AS (
+  SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source)
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS place, sum(weight) OVER () AS weights,
+    sum(source_size) OVER () AS total
+  FROM sources
+), capped AS (  -- as if the sources up to this one stood at three times their size
+  SELECT place AS upto, total - coalesce(3 * sum(source_size) OVER w, 0) AS spare,
+    weights - coalesce(sum(weight) OVER w, 0) AS share, 3 * source_size / weight AS ratio
+  FROM ranked WINDOW w AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), cut AS (
+  SELECT min(upto) AS upto, arg_min(spare, upto) AS spare, arg_min(share, upto) AS share FROM capped WHERE ratio > spare / share
+), targets AS (
+  SELECT source, source_size, CASE WHEN cut.upto IS NULL OR place < cut.upto THEN (3 * source_size)::DOUBLE
+    ELSE (weight * cut.spare)::DOUBLE / cut.share::DOUBLE END AS target
+  FROM ranked, cut
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size)) ELSE 0 END AS passes FROM targets
+), in_order AS (
+  SELECT s.*, source_size, target, passes::BIGINT AS passes, floor(target - passes * source_size)::BIGINT AS budget,
+    sum(size) OVER (PARTITION BY s.source ORDER BY key, s.k) AS upto
+  FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source
+), ends AS (  -- the first row that does not fit
+  SELECT source, min(key) AS hit FROM in_order WHERE budget > 0 AND upto > budget GROUP BY source
+), prefixes AS (
+  SELECT e.source, hit, max(shift) FILTER (WHERE m <= 64 OR shift = 0) AS shift
+  FROM (SELECT e.source, hit, shift, count(*) AS m
+    FROM ends e, (SELECT unnest(range(61)) AS shift), sized s
+    WHERE s.source IS NOT DISTINCT FROM e.source AND s.key >> shift = e.hit >> shift GROUP BY ALL) e
+  GROUP BY e.source, hit
+), few AS (
+  SELECT i.k, i.source, i.size, i.budget - coalesce(sum(i2.size), 0) AS rest,
+    row_number() OVER (PARTITION BY i.source ORDER BY i.size DESC, i.key, i.k) AS place
+  FROM in_order i JOIN prefixes p ON i.source IS NOT DISTINCT FROM p.source AND i.key >> p.shift = p.hit >> p.shift
+  LEFT JOIN in_order i2 ON i2.source IS NOT DISTINCT FROM p.source AND i2.key >> p.shift < p.hit >> p.shift
+  GROUP BY i.k, i.source, i.size, i.budget, i.key
+), filled AS (
+  SELECT source, place, k, size <= rest AS fits, rest - CASE WHEN size <= rest THEN size ELSE 0 END AS rest
+  FROM few WHERE place = 1
+  UNION ALL
+  SELECT f.source, f.place, f.k, f.size <= r.rest, r.rest - CASE WHEN f.size <= r.rest THEN f.size ELSE 0 END
+  FROM filled r JOIN few f ON f.source IS NOT DISTINCT FROM r.source AND f.place = r.place + 1
+), taken AS (
+  SELECT i.*, passes + (coalesce(f.fits, p.hit IS NOT NULL AND i.key >> p.shift < p.hit >> p.shift))::BIGINT AS copies
+  FROM in_order i LEFT JOIN prefixes p ON i.source IS NOT DISTINCT FROM p.source LEFT JOIN filled f ON f.k = i.k
+)
+SELECT doc_id, size, source_size, target, copies, (copies * size)::BIGINT AS taken FROM taken
+"""
+
 ORACLE: dict[str, str] = {
     "op4_quality_rules": _OP4,
     "op9_minhash_near_dedup": _OP9,
     "op10_url_filter": _OP10,
+    "op11_periodic_runs": _OP11,
+    "op12_mixing_weights": _OP12,
 }

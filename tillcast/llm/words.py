@@ -83,6 +83,11 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES, most: int = 2**31) -> Itera
         at = stop
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes divide words."""
+    return _SPACE[data]
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, and each text's bounds in them."""
     texts = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())])
