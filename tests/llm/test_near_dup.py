@@ -80,6 +80,41 @@ def test_families_against_brute_force(make, monkeypatch, size, short):
     assert found(make(rows), size) == brute(rows, size)
 
 
+def copies(count, words_each, edits, seed, with_base):
+    """Copies of one text, each with some of its words replaced."""
+    draw = random.Random(seed)
+    text = [f"w{draw.randrange(5000)}" for _ in range(words_each)]
+    rows = []
+    for _ in range(count):
+        own = list(text)
+        for _ in range(draw.choice(edits)):
+            own[draw.randrange(len(own))] = f"v{draw.randrange(3000)}"
+        rows.append(" ".join(own))
+    rows.insert(count * 2 // 3, " ".join(text) if with_base else "something else")
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("edits", [(2, 3, 4, 5), (0, 1, 2, 4, 8, 12)])
+def test_pairs_do_not_grow_with_the_square_of_a_family(make, monkeypatch, edits):
+    """Copies edited in different places are near their text and not each other; the text is somewhere among them."""
+    compared = []
+    real = near_dup._confirmed
+
+    def confirmed(pairs, sets, percent):
+        compared.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dup, "_confirmed", confirmed)
+    rows = copies(1000, 150, edits, 5, True)
+    assert found(make(rows), 5) == brute(rows, 5)
+    assert sum(compared) < 20 * len(rows)
+
+
+def test_copies_of_an_absent_text(make):
+    rows = copies(200, 150, (2, 3, 4, 5), 5, False)
+    assert found(make(rows), 5) == brute(rows, 5)
+
+
 def test_whole_table(table):
     docs = table("documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
