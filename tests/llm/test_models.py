@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from texts import EDGES, lowered
 
 from tillcast.llm import cotrain, licenses, sparse, toxicity
@@ -143,3 +144,15 @@ def test_inheritance(spark):
         None: (None, "none", None),
     }
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """One labelled id on thousands of rows is one row of the sample, whatever the order of rows."""
+    text = F.concat_ws(" ", F.lit("some words"), F.col("id").cast("string"))
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), text.alias("text"))
+    docs = docs.unionByName(spark.range(100, 140).select(F.col("id").alias("doc_id"), text.alias("text")))
+    labels = docs.select("doc_id").distinct().select("doc_id", F.lit(1).alias("toxic"), F.lit(0).alias("quality"))
+    rows = toxicity.labelled_sample(docs, labels, "toxic", 41).collect()
+    assert len(rows) == 41 and [r["text"] for r in rows if r["doc_id"] == 7] == ["some words 0"]
+    assert toxicity.labelled_sample(docs, labels, "toxic", 10).count() == 10
+    assert cotrain._sample(docs.repartition(7), labels, 41).where("y >= 0").count() == 41

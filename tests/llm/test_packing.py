@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from texts import EDGES
 
 from tillcast.llm import packing
@@ -57,6 +59,14 @@ def test_whole_table_is_packed_closely(table, plain):
     assert check_places(got, 4096) <= least * 1.02 + 1
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("aAzÉßİıſK\u0301\u0307\u0345ΣςǅŉΐΑ日9 .,;%!-\n", max_size=12), min_size=1, max_size=8))
+def test_ids_are_the_tokenizers(plain, words):
+    text = " ".join([*words, "ALİ, VELİ. geldi İ, x\u0307."])
+    ids = packing.WordTokenizer(packing.tokenizer_path()).ids([text])
+    assert np.frombuffer(b"".join(ids), "<u4").tolist() == plain(text)[:-1]
+
+
 def test_empty_table(empty):
     assert packing.pack(empty, packing.tokenizer_path()).collect() == []
 

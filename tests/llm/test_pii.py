@@ -62,6 +62,23 @@ def added(text):
     return [(kind, text[a:b]) for a, kind, b in pii.find(text) if kind not in pii.BASE]
 
 
+@pytest.mark.parametrize(
+    "text, secret",
+    [
+        ("password=hunter2 and", "hunter2"), ("token: abcdefghij12345.", "abcdefghij12345."), ("secret = 7", "7"),
+        ("password hunter2", None), ("the secret: silence", None), ("Token 1 of 2", None),
+    ],
+)
+def test_short_secrets(text, secret):
+    assert added(text) == ([("secret", secret)] if secret else [])
+
+
+def test_schemes_of_any_length():
+    scheme = "averylongscheme+of-many.parts"
+    assert added(f"see {scheme}://bob:pw@example.org now") == [("login", f"{scheme}://bob:pw@example.org")]
+    assert added("1+://bob@example.org") == [] and added("2ftp://bob@x.org") == [("login", "ftp://bob@x.org")]
+
+
 @pytest.mark.parametrize("size", [16, 512, 513, 900, 100_000])
 def test_secrets_end_with_their_characters(size):
     secret = ("a1b2C3_-" * (size // 8 + 1))[:size]

@@ -75,4 +75,4 @@ def test_every_operator_is_registered():
     assert [n for n in names if n != "pipeline"] == sorted(
         (n for n in names if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0])
     )
-    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14))

@@ -177,7 +177,9 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     free = docs.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct()
     free = free.join(known, "doc_id", "left_anti").orderBy(*order).limit(bound)
     chosen = known.orderBy(*order).limit(bound).unionByName(free.withColumn("y", F.lit(-1)))
-    return stage(_view(docs).join(F.broadcast(chosen), "doc_id"), "sample")
+    # An id on several rows has one, so that rows are bounded too.
+    rows = _view(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+    return stage(rows.agg(F.min(F.struct("text", "source", "lang")).alias("r")).select("doc_id", "y", "r.*"), "sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, rounds: int = ROUNDS) -> Model:

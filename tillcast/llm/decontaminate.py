@@ -6,8 +6,8 @@ the item occurs within its budget (pigeonhole). An Aho-Corasick automaton finds
 a document; around each hit the item is verified by Myers' bit-parallel edit distance.
 
 Items go out in blocks of bounded bytes, whatever the size of the benchmark: each block is one broadcast and one pass
-over the documents, which are neither shuffled nor collected. Items shorter than ``least`` bytes have no edits: they are
-found anywhere in a document, but only unchanged and between word boundaries. No item is too short to be looked for.
+over the documents, which are neither shuffled nor collected. An item too short for an edit (under 13 bytes at 8 %) is
+found anywhere in a document, unchanged and between word boundaries. No item is too short to be looked for.
 
 Null and empty texts, documents or items, match nothing. Repeated documents are reported once each, repeated item ids
 with one text once. A null id takes part. Very long documents are scanned whole. Other columns are not read.
@@ -33,9 +33,8 @@ from tillcast.session import stage
 
 #: Texts up to which the leaking ones are broadcast: digests of 16 bytes, about 60 bytes each.
 BROADCAST_ROWS = 500_000
-#: Edits per 100 bytes of an item, and the shortest item that may have edits.
+#: Edits per 100 bytes of an item, rounded down.
 PERCENT = 8
-LEAST = 32
 #: Bytes of items in one broadcast.
 BLOCK_BYTES = 4 * 2**20
 
@@ -113,13 +112,13 @@ def _joined(text: str, at: int) -> bool:
 class Finder:
     """The automaton of a block of items."""
 
-    def __init__(self, items: list[Item], least: int):
+    def __init__(self, items: list[Item]):
         import ahocorasick
 
         self.items = items
         places: dict[str, list[tuple[int, int | None]]] = defaultdict(list)
         for index, item in enumerate(items):
-            if len(item.text) < least:
+            if not item.budget:
                 places[item.text].append((index, None))
             else:
                 for at, piece in cut(item.text, item.budget):
@@ -174,16 +173,16 @@ _SCHEMA = "doc_id long, item_id long, edits long, budget long"
 _FINDERS: dict[str, Finder] = {}
 
 
-def _finder(shared, key: str, least: int) -> Finder:
+def _finder(shared, key: str) -> Finder:
     if key not in _FINDERS:
         _FINDERS.clear()
-        _FINDERS[key] = Finder([Item(*x) for x in shared.value], least)
+        _FINDERS[key] = Finder([Item(*x) for x in shared.value])
     return _FINDERS[key]
 
 
-def _search(shared, key: str, least: int):
+def _search(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = _finder(shared, key, least)
+        finder = _finder(shared, key)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -196,11 +195,11 @@ def _search(shared, key: str, least: int):
     return run
 
 
-def _leaking(shared, key: str, least: int):
+def _leaking(shared, key: str):
     """Arrow function: (text) to the digests of the texts that hold an item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = _finder(shared, key, least)
+        finder = _finder(shared, key)
         for batch in batches:
             texts = (text.as_py() for text in batch.column("text"))
             found = [W.digest(text) for text in texts if next(finder.find(normal(text)), None) is not None]
@@ -209,7 +208,7 @@ def _leaking(shared, key: str, least: int):
     return run
 
 
-def _by_block(rows: DataFrame, benchmark: DataFrame, percent: int, least: int, block_bytes: int, search, schema: str):
+def _by_block(rows: DataFrame, benchmark: DataFrame, percent: int, block_bytes: int, search, schema: str):
     """What ``search`` finds in ``rows``, with one pass for each block of items."""
     spark = rows.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("length(text) > 0")
@@ -219,28 +218,28 @@ def _by_block(rows: DataFrame, benchmark: DataFrame, percent: int, least: int, b
     for block in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct()
         found = sorted({(r["item_id"], normal(r["text"])) for r in mine.collect()}, key=repr)
-        known = [(i, text, len(text) * percent // 100 if len(text) >= least else 0) for i, text in found if text]
-        part = W.by_batch(rows, search(spark.sparkContext.broadcast(known), uuid.uuid4().hex, least), schema)
+        known = [(i, text, len(text) * percent // 100) for i, text in found if text]
+        part = W.by_batch(rows, search(spark.sparkContext.broadcast(known), uuid.uuid4().hex), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, least: int = LEAST, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """doc_id, item_id, edits and budget for every item of ``benchmark`` (item_id, text) found in a row of ``docs``
     (doc_id, text) within its budget; with the fewest edits found."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return _by_block(rows, benchmark, percent, least, block_bytes, _search, _SCHEMA)
+    return _by_block(rows, benchmark, percent, block_bytes, _search, _SCHEMA)
 
 
 def without_leaks(
-    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, least: int = LEAST, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The rows of ``docs`` without those that have an item in their text; the columns stay. Every row is judged by its
     own text, whatever its doc_id: rows go by the digest of their text."""
     rows = docs.select(F.col("text").cast("string"))
-    found = _by_block(rows, benchmark, percent, least, block_bytes, _leaking, "leaking binary")
+    found = _by_block(rows, benchmark, percent, block_bytes, _leaking, "leaking binary")
     found = stage(found.distinct(), "leaks")
     if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         found = F.broadcast(found)

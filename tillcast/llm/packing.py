@@ -66,7 +66,8 @@ class WordTokenizer(dict):
 
     def __missing__(self, word: str) -> bytes:
         letters = word.rstrip(_MARKS)
-        if len(letters) < len(word) and letters.isalpha():
+        # Lowered too they must be letters: a mark left by lowering would join the marks after it.
+        if len(letters) < len(word) and letters.isalpha() and letters.lower().isalpha():
             found = self[letters] + self[word[len(letters) :]]
         elif word.isascii() and word.isalpha():
             found = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word.lower())])

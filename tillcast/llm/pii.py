@@ -1,12 +1,15 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a whole text finds anchors: at-signs, plus signs, digits, URL schemes, country codes before a
-digit and words that announce an identifier. A local parser at each anchor expands to the boundaries of what it may be and validates it. Parsers of
-one kind never look behind what that kind has already taken, so each reads a text once from left to right.
+digit and words that announce an identifier. A local parser at each anchor expands to the boundaries of what it may be
+and validates it. Parsers of one kind never look behind what that kind has already taken, so each reads a text once from
+left to right.
 
 Kinds, in this order: email, ip, card, phone; then what the method adds: login (a URL that carries a user name),
-secret (a value after a word like ``token`` or ``password``, to the end of its characters), account (an account number
-after a word that announces one, or, anywhere, an IBAN of its country's length whose check digits are right). Places are code points, ends exclusive.
+secret (a value with a digit after a word like ``token`` or ``password``, to the end of its characters: of any length
+after a colon or an equals sign, of 16 characters and more after a space alone), account (an account number after a word
+that announces one, or, anywhere, an IBAN of its country's length whose check digits are right). Places are code points,
+ends exclusive.
 
 A null text is an empty one and has no spans. Very long texts are read whole. Repeated rows give the same spans each.
 """
@@ -50,14 +53,16 @@ _FOUR = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=-]+(?::[^\s/@:]*)?@[A-Za-z0-9.-]+")
-_SECRET = re.compile(r"[A-Za-z_]{0,16}[\"']?[ ]{0,2}[:= ][ ]{0,2}[\"']?([A-Za-z0-9_+/=.~-]{16})")
+_SECRET = re.compile(r"[A-Za-z_]{0,16}[\"']?([ ]{0,2}[:= ][ ]{0,2})[\"']?([A-Za-z0-9_+/=.~-])")
 _SECRET_RUN = re.compile(r"[A-Za-z0-9_+/=.~-]+")
+#: Characters from which a value with a digit is a secret after a space alone; after a colon or an equals sign any is.
+_SECRET_ALONE = 16
 _DIGIT = re.compile(r"[0-9]")
 _ACCOUNT = re.compile(
     r"(?:[ ](?:number|no|nummer|nr))?[.:#]{0,2}[ ]{0,2}([A-Z]{2}[0-9]{2}|[0-9](?:[ -]?[0-9]){5,17}[0-9]*)"
 )
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}")
-_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}\Z")
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 
 
 def luhn(digits: str) -> bool:
@@ -115,7 +120,7 @@ def find(text: str) -> list[tuple[int, str, int]]:
     if not _ANCHORS:
         _ANCHORS.append(_automaton())
     spans: list[tuple[int, str, int]] = []
-    email_end = phone_end = card_end = dotted_end = secret_end = 0
+    email_end = phone_end = card_end = dotted_end = secret_end = login_end = 0
     for last, (kind, length) in _ANCHORS[0].iter(text):
         at = last + 1 - length
         if kind == "digit":
@@ -148,15 +153,22 @@ def find(text: str) -> list[tuple[int, str, int]]:
                 if 10 <= sum(c.isdigit() for c in number.group()) <= 15:
                     spans.append((at, "phone", phone_end))
         elif kind == "login":
-            scheme, user = _SCHEME.search(text, max(0, at - 16), at), _LOGIN.match(text, last + 1)
-            if scheme and user:
-                spans.append((scheme.start(), "login", user.end()))
+            start = at
+            while start > login_end and text[start - 1] in _SCHEME:
+                start -= 1
+            while start < at and not (text[start].isascii() and text[start].isalpha()):
+                start += 1
+            login_end, user = last + 1, _LOGIN.match(text, last + 1)
+            if start < at and user:
+                spans.append((start, "login", user.end()))
         elif kind == "secret":
             value = _SECRET.match(text, last + 1)
-            if value and value.start(1) >= secret_end:
-                secret_end = _SECRET_RUN.match(text, value.start(1)).end()
-                if _DIGIT.search(text, value.start(1), secret_end):
-                    spans.append((value.start(1), "secret", secret_end))
+            if value and value.start(2) >= secret_end:
+                start, named = value.start(2), value[1].strip()
+                secret_end = _SECRET_RUN.match(text, start).end()
+                long_enough = named or secret_end - start >= _SECRET_ALONE
+                if long_enough and _DIGIT.search(text, start, secret_end):
+                    spans.append((start, "secret", secret_end))
         elif kind == "account":
             value = _ACCOUNT.match(text, last + 1)
             if value:

@@ -51,12 +51,14 @@ class Model(NamedTuple):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``bound`` labelled ids, by the hash of the id; written once, read often."""
+    """(doc_id, text, y) of at most ``bound`` labelled ids, by the hash of the id; written once, read often. An id on
+    several rows has one, the first text by code points, so that rows are bounded too."""
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     chosen = chosen.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stage(rows.join(F.broadcast(chosen), "doc_id"), "sample")
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return stage(sample.select("doc_id", "text", "y"), "sample")
 
 
 def grades(y: np.ndarray, rows: sparse.Rows, ratios: np.ndarray, length: np.ndarray) -> np.ndarray:
