@@ -190,3 +190,55 @@ def test_positive_fit_is_the_best_of_all_choices():
                 ):
                     best = candidate
             assert regression._solve_positive(gram, cross) == pytest.approx(best, abs=1e-9)
+
+
+def test_thousands_of_close_models_are_exact(spark):
+    """More than any fixed number of models, each off by parts of a millionth, against exact fractions."""
+    from fractions import Fraction
+
+    rows = [(c, 1e5 + 7 * c, 3.0 + 2 * c + 0.5 * (1e5 + 7 * c)) for c in range(1, 101)]
+    pairs_ = literal_rows(spark, rows, PAIR).repartition(5)
+    given = [(3.0 + 1e-4 * i, [2.0, 0.5 + 1e-9 * (i % 13)]) for i in range(3000)]
+    models = literal_rows(spark, given, "intercept double, coefficients array<double>")
+    found = regression.collect_moments(pairs_)
+    got = {(r.intercept, r.coefficients[1]): r for r in regression.linear_errors(models, found, pairs_).collect()}
+    assert len(got) == 3000
+    for intercept, (b1, b2) in given[1::71]:
+        exact = [Fraction(y) - Fraction(intercept) - Fraction(b1) * c - Fraction(b2) * Fraction(x) for c, x, y in rows]
+        row = got[(intercept, b2)]
+        assert row.mse == pytest.approx(float(sum(e * e for e in exact) / len(rows)), rel=1e-6) and row.n == 100
+
+
+def test_triangles_merge_alike(spark):
+    rows = [(c % 17, float(c * c % 101), float(c)) for c in range(400)]
+    one = regression.triangle_of(literal_rows(spark, rows, PAIR).repartition(1))
+    many = regression.triangle_of(literal_rows(spark, rows, PAIR).repartition(37))
+    a = np.column_stack([np.ones(400), *np.array(rows).T])
+    for r in (one, many):
+        assert np.allclose(r.T @ r, a.T @ a, rtol=1e-12)
+    few = regression.triangle_of(literal_rows(spark, rows[:2], PAIR))
+    assert np.allclose(few.T @ few, a[:2].T @ a[:2]) and few.shape == (4, 4)
+
+
+def test_opaque_models(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "BLOCK_OF_MODELS", 4)
+    rows = [(c % 5, float(c), float(3 * c + c % 5)) for c in range(60)]
+    pairs_ = literal_rows(spark, rows, PAIR).repartition(6)
+    models = literal_rows(spark, [(f"m{i}", float(i), i % 2) for i in range(10)] + [(None, 1.0, 0)], "model_uri string, a double, kind int")
+
+    def load(uri, a, kind):
+        return (lambda x: np.full(len(x), a)) if kind else (lambda x: a * x["revenueLastMonth"] + x["clientID"])
+
+    found = scoring.evaluate_opaque(models, pairs_, load, ["model_uri", "a", "kind"])
+    assert found.columns[:3] == models.columns
+    got = {r.model_uri: r for r in found.collect()}
+    assert len(got) == 11
+    label = np.array([r[2] for r in rows])
+    for r in got.values():
+        told = np.array([r.a if r.kind else r.a * x + c for c, x, _ in rows])
+        mse = ((label - told) ** 2).mean()
+        assert (r.n, r.mse, r.r2) == (60, pytest.approx(mse), pytest.approx(1 - mse / label.var(), abs=1e-9))
+    empty = scoring.evaluate_opaque(models.limit(0), pairs_, load, ["model_uri", "a", "kind"])
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        scoring.evaluate_opaque(models, pairs_.limit(0), load)

@@ -136,3 +136,58 @@ def test_stage_keeps_rows_and_types(spark, rows):
 
 def test_epoch_of_naive_datetime_is_utc():
     assert epoch_ms_value(dt.datetime(1970, 1, 2)) == 86_400_000
+
+
+ODD_NAMES = ["models:/m/1", "it's", "a=b", "50%", "x y", None, "plain", "ü\\n"]
+
+
+def odd_rows(spark):
+    return tables.literal_rows(spark, [(i, dt.date(2025, 1, 1), float(i), u) for i, u in enumerate(ODD_NAMES * 2)], PREDICTIONS)
+
+
+def test_partitioned_rebuild_with_odd_values(spark, schema, rows):
+    name = f"{schema}.t"
+    data = odd_rows(spark)
+    for layout in (sinks.Layout(("modelURI",)), None, None):
+        sinks.rebuild_table(data, name, layout)
+        assert rows(spark.table(name)) == rows(data)
+    sinks.rebuild_table(spark.table(name).where("clientID < 10"), name)
+    assert rows(spark.table(name)) == rows(data.where("clientID < 10"))
+    assert sinks.layout_of(spark, name) == sinks.Layout(("modelURI",))
+    sinks.append(data.where("clientID >= 10"), name)
+    assert rows(spark.table(name)) == rows(data)
+    assert rows(spark.table(name).where("modelURI = 'models:/m/1'")) == rows(data.where("modelURI = 'models:/m/1'"))
+    assert tables.list_tables(spark, schema) == ["t"]
+
+
+def test_managed_partitioned_table_is_rebuilt(spark, schema, rows):
+    name = f"{schema}.t"
+    sinks.create_table_if_absent(spark, name, PREDICTIONS, sinks.Layout(("modelURI",)))
+    sinks.append(odd_rows(spark), name)
+    for _ in range(2):
+        sinks.rebuild_table(spark.table(name), name)
+        assert rows(spark.table(name)) == rows(odd_rows(spark))
+
+
+@pytest.mark.parametrize("stop_at", [1, 2, 3])
+def test_a_stop_while_names_change_leaves_all_rows(spark, schema, rows, monkeypatch, stop_at):
+    """After a stop the table has all its old rows, or all new ones."""
+    name = f"{schema}.t"
+    old, new = odd_rows(spark), odd_rows(spark).where("clientID < 3")
+    sinks.rebuild_table(old, name, sinks.Layout(("modelURI",)))
+    calls = []
+    real = type(spark).sql
+
+    def sql(self, text, *args, **kwargs):
+        if text.startswith(("ALTER TABLE", "DROP TABLE")):
+            calls.append(text)
+            if len(calls) == stop_at:
+                raise RuntimeError("stopped")
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="stopped"):
+        sinks.rebuild_table(new, name)
+    monkeypatch.undo()
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name)) == rows(old if stop_at < 3 else new)

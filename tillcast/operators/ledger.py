@@ -114,11 +114,52 @@ def _wide(long_rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     )
 
 
-def runs_wide(ledger: Ledger, runs: DataFrame, metrics: Sequence[str], tags: Sequence[str]) -> DataFrame:
-    """Runs with ``metrics_<key>`` and ``tags_<key>`` columns; NULL where a run lacks the key."""
-    for long_rows, keys, prefix in ((ledger.latest_metrics, metrics, "metrics_"), (ledger.tags, tags, "tags_")):
+KINDS = {"metrics": "latest_metrics", "params": "params", "tags": "tags"}
+#: Columns that discovered keys may become at most; maps take any number of keys.
+MOST_COLUMNS = 2000
+
+
+def runs_wide(
+    ledger: Ledger,
+    runs: DataFrame,
+    metrics: Sequence[str] = (),
+    tags: Sequence[str] = (),
+    params: Sequence[str] = (),
+) -> DataFrame:
+    """Runs with ``metrics_<key>``, ``params_<key>`` and ``tags_<key>`` columns; NULL where a run lacks the key."""
+    for kind, keys in (("metrics", metrics), ("params", params), ("tags", tags)):
         if keys:
-            runs = runs.join(_wide(long_rows, keys, prefix), "run_uuid", "left")
+            runs = runs.join(_wide(getattr(ledger, KINDS[kind]), keys, f"{kind}_"), "run_uuid", "left")
+    return runs
+
+
+def run_keys(ledger: Ledger, runs: DataFrame) -> DataFrame:
+    """(kind, key) of every metric, param and tag that the runs have, distinct before the shuffle."""
+    found = None
+    for kind, table in KINDS.items():
+        rows = getattr(ledger, table).join(runs.select("run_uuid"), "run_uuid", "left_semi")
+        keys = rows.select(F.lit(kind).alias("kind"), "key").distinct()
+        found = keys if found is None else found.unionByName(keys)
+    return found
+
+
+def runs_with_all_keys(ledger: Ledger, runs: DataFrame, most: int = MOST_COLUMNS) -> DataFrame:
+    """Runs with a column for every key that any of them has, by kind and name; more than ``most`` keys are an error, as
+    no frame takes any number of columns (``runs_with_maps`` does with keys)."""
+    found = run_keys(ledger, runs).orderBy("kind", "key").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the runs have more than {most} keys; take them as maps")
+    return runs_wide(ledger, runs, **{kind: [r.key for r in found if r.kind == kind] for kind in KINDS})
+
+
+def runs_with_maps(ledger: Ledger, runs: DataFrame) -> DataFrame:
+    """Runs with their metrics, params and tags, one map column each, whatever keys there are; empty where a run has
+    none. One value a key, the greatest, as in columns."""
+    for kind, table in KINDS.items():
+        values = getattr(ledger, table).groupBy("run_uuid", "key").agg(F.max("value").alias("value"))
+        maps = values.groupBy("run_uuid").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(kind))
+        of_type = maps.schema[kind].dataType
+        runs = runs.join(maps, "run_uuid", "left").withColumn(kind, F.coalesce(kind, F.create_map().cast(of_type)))
     return runs
 
 

@@ -6,10 +6,11 @@ model on those rows. So fitting two settings and scoring thousands of models cos
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,6 +160,43 @@ def models_frame(spark: SparkSession, models: Sequence[LinearModel]) -> DataFram
 SMALL = 1e-9
 
 
+def _merge(factors: Iterator[np.ndarray], width: int) -> np.ndarray:
+    """The triangle of all rows of the given blocks: R of QR, with as many rows as columns, zeros if there are fewer."""
+    triangle = np.zeros((width, width))
+    for block in factors:
+        found = np.linalg.qr(np.vstack([triangle, block]), mode="r")
+        triangle = np.zeros((width, width))
+        triangle[: len(found)] = found
+    return triangle
+
+
+#: Triangles that come to the driver at most; those of more partitions are merged in Spark first.
+MOST_TRIANGLES = 64
+
+
+def triangle_of(rows: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> np.ndarray:
+    """The triangular factor of the matrix (1, features, label) of all rows, by tall-skinny QR.
+
+    Every partition folds its rows into a triangle of its own, and triangles are merged like rows. As R = Q'A keeps
+    lengths, the residuals of a linear model over all rows are as long as R (-intercept, -coefficients, 1): nothing is
+    squared before it is subtracted, so models that fit to many digits have exact errors too.
+    """
+    columns = [F.lit(1.0).alias("one"), *(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate([*features, label]))]
+    width = len(columns)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches if b.num_rows)
+        yield pa.RecordBatch.from_pydict({"r": [_merge(blocks, width).ravel().tolist()]})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = (np.reshape(r, (width, width)) for b in batches for r in b.column("r").to_pylist())
+        yield pa.RecordBatch.from_pydict({"r": [_merge(blocks, width).ravel().tolist()]})
+
+    folded = rows.select(*columns).mapInArrow(fold, "r array<double>")
+    merged = folded.repartition(MOST_TRIANGLES).mapInArrow(merge, "r array<double>")
+    return _merge((np.reshape(row.r, (width, width)) for row in merged.collect()), width)
+
+
 def linear_errors(
     models: DataFrame,
     found: Moments,
@@ -170,8 +208,9 @@ def linear_errors(
 
     With residual r = y - a - b.x: mse = mean(r)^2 + var(r), and var(r) = var(y) - 2 b.cov(x, y) + b'.cov(x).b.
     The moments are plain numbers here, so this is a projection of the models: rows + models of work, not rows x models.
-    Models whose residual variance is below ``SMALL`` of the label's are computed from ``rows`` themselves, all in one
-    aggregate; without rows they are an error. So is a model with other than one coefficient a feature.
+    The errors of models whose residual variance is below ``SMALL`` of the label's come from the triangular factor of
+    the rows, made once and for any number of them; without rows they are an error. So is a model with other than one
+    coefficient a feature.
     """
     found.check()
     *feature_means, label_mean = found.means
@@ -193,31 +232,16 @@ def linear_errors(
     measured = models.withColumn("n", F.lit(found.n).cast("bigint")).withColumns(
         {"mse": bias * bias + F.greatest(spread, F.lit(0.0)), "_small": spread < SMALL * variance}
     )
-    small = measured.where("_small").select("intercept", "coefficients").distinct().limit(MOST_SMALL + 1).collect()
-    if small:
-        if rows is None or len(small) > MOST_SMALL:
-            raise ValueError(f"{len(small)} models fit too closely for moments; give rows, or fewer such models")
-        exact = _errors_from_rows(rows, small, features, label)
-        value = F.col("mse")
-        for model, error in zip(small, exact, strict=True):
-            same = (F.col("intercept") == model.intercept) & (
-                F.col("coefficients") == F.array(*[F.lit(float(c)) for c in model.coefficients])
-            )
-            value = F.when(same, F.lit(error)).otherwise(value)
-        measured = measured.withColumn("mse", value)
+    if measured.where("_small").limit(1).count():
+        if rows is None:
+            raise ValueError("models fit too closely for moments; give rows")
+        weights = [-F.col("intercept"), *(-c for c in b), F.lit(1.0)]
+        length = F.lit(0.0)
+        for line in triangle_of(rows, features, label).tolist():
+            part = F.lit(0.0)
+            for value, weight in zip(line, weights, strict=True):
+                if value:
+                    part = part + F.lit(value) * weight
+            length = length + part * part
+        measured = measured.withColumn("mse", F.when(F.col("_small"), length / found.n).otherwise(F.col("mse")))
     return measured.drop("_small").withColumn("r2", r2_from_parts(F.col("n"), F.col("mse"), variance))
-
-
-#: Different models whose error is computed from the rows in one aggregate, at most.
-MOST_SMALL = 200
-
-
-def _errors_from_rows(rows: DataFrame, models: Sequence[Row], features: Sequence[str], label: str) -> list[float]:
-    """Mean squared error of each model, one column of a single aggregate each."""
-    errors = []
-    for model in models:
-        value = F.col(label).cast("double") - F.lit(model.intercept)
-        for coefficient, feature in zip(model.coefficients, features, strict=True):
-            value = value - F.lit(coefficient) * F.col(feature).cast("double")
-        errors.append(F.avg(value * value))
-    return [float(error) for error in rows.agg(*[e.alias(f"e{i}") for i, e in enumerate(errors)]).first()]

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillcast.contracts import FEATURES
+from tillcast.contracts import FEATURES, LABEL
 from tillcast.functions import errors
 from tillcast.functions.dates import month_from_parts, shift_months
-from tillcast.operators.regression import LinearModel
+from tillcast.operators.regression import LinearModel, collect_moments
 
 
 def backlog(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -62,6 +66,76 @@ def evaluate_scored(rows: DataFrame, actual: str = "revenue", predicted: str = "
     return rows.agg(F.count(y).alias("n"), errors.mse(y, p).alias("mse"), errors.r2(y, p).alias("r2"))
 
 
+#: Models of a worker that stay loaded; then it starts anew.
+_LOADED: dict[tuple, Callable] = {}
+MOST_LOADED = 1000
+#: Models that one pass over the rows evaluates.
+BLOCK_OF_MODELS = 500
+
+
+def _partial_errors(models: Sequence[tuple], load: Callable, told: str, names: Sequence[str]):
+    """Arrow function: rows to (place, total), each model's sum of squared errors over a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if len(_LOADED) > MOST_LOADED:
+            _LOADED.clear()
+        totals = np.zeros(len(models))
+        for batch in batches:
+            frame = batch.to_pandas()
+            actual, inputs = frame.pop("actual").to_numpy(), frame[list(names)]
+            for place, model in enumerate(models):
+                if (told, *model) not in _LOADED:
+                    _LOADED[told, *model] = load(*model)
+                missed = actual - np.asarray(_LOADED[told, *model](inputs), dtype=float)
+                totals[place] += missed @ missed
+        yield pa.RecordBatch.from_pydict({"place": np.arange(len(models), dtype=np.int64), "total": totals})
+
+    return run
+
+
+def evaluate_opaque(
+    models: DataFrame,
+    rows: DataFrame,
+    load: Callable,
+    by: Sequence[str] = ("model_uri",),
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+) -> DataFrame:
+    """Adds ``n``, ``mse`` and ``r2`` to models that are only known as Python functions, any number of them.
+
+    ``load`` makes a function of a frame of features from a model's columns ``by``; a worker calls it once a model. A
+    pass over the rows evaluates a block of models: each partition gives one sum of squared errors a model, which Spark
+    adds up, so neither rows nor predictions are shuffled. Only the models' own columns ``by`` come to the driver, a
+    block at a time. Rows without a feature or label, or no rows at all, are an error.
+    """
+    spread = collect_moments(rows, features, label)
+    spread.check()
+    inputs = [F.col(c).cast("double").alias(c) for c in features]
+    inputs = rows.select(*inputs, F.col(label).cast("double").alias("actual"))
+    told, block, parts = uuid.uuid4().hex, [], None
+    columns = models.select(*by).distinct()
+
+    def evaluated(block: Sequence[tuple]) -> DataFrame:
+        partial = inputs.mapInArrow(_partial_errors(block, load, told, features), "place bigint, total double")
+        totals = partial.groupBy("place").agg(F.sum("total").alias("total")).collect()  # one row a model of the block
+        found = [(*block[row.place], row.total / spread.n) for row in totals]
+        return rows.sparkSession.createDataFrame(found, StructType([*columns.schema, StructField("mse", DoubleType())]))
+
+    for row in columns.toLocalIterator():
+        block.append(tuple(tuple(v) if isinstance(v, list) else v for v in row))
+        if len(block) == BLOCK_OF_MODELS:
+            parts, block = evaluated(block) if parts is None else parts.unionByName(evaluated(block)), []
+    if block or parts is None:
+        parts = evaluated(block) if parts is None else parts.unionByName(evaluated(block))
+    named = parts.select(*(F.col(c).alias(f"_{c}") for c in by), "mse")
+    same = F.lit(True)
+    for c in by:
+        same = same & models[c].eqNullSafe(named[f"_{c}"])
+    n, variance = F.lit(spread.n).cast("bigint"), F.lit(spread.covariances[-1][-1])
+    found = models.join(named, same).drop(*(f"_{c}" for c in by)).withColumn("n", n)
+    return found.withColumn("r2", errors.r2_from_parts(F.col("n"), F.col("mse"), variance))
+
+
 def rescore_all(revenue: DataFrame, model: LinearModel) -> DataFrame:
     """Every revenue row scored on client, year and month number; the month is put together again from its parts."""
     parts = revenue.select("clientID", F.year("month").alias("year"), F.month("month").alias("month"))

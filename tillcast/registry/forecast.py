@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tillcast.operators import pairs, regression, scoring, split
@@ -76,6 +77,35 @@ def evaluate_all_models(spark, folder):
     )
 
 
+def _as_function(model_uri, intercept, coefficients):
+    """A logged model as a function that tells nothing about itself."""
+    return lambda x: intercept + x.to_numpy() @ np.array(coefficients)
+
+
+def evaluate_opaque_models(spark, folder):
+    """Every logged model, evaluated as a Python function in one pass over the pairs."""
+    models = retail_ledger.ledger(spark, folder).logged_models
+    rows = stage(_evaluation_pairs(spark, folder), "pairs")
+    evaluated = scoring.evaluate_opaque(models, rows, _as_function, ["model_uri", "intercept", "coefficients"])
+    return evaluated.select(
+        "experiment_id", "model_uri", "n", digits("mse").alias("mse"), F.round("r2", 6).alias("r2")
+    )
+
+
+def evaluate_close_models(spark, folder):
+    """A model for each part that is off by a few millionths of a label that is exactly linear in the features."""
+    exact = F.lit(3.0) + 2.0 * F.col("clientID") + 0.5 * F.col("revenueLastMonth")
+    rows = stage(_evaluation_pairs(spark, folder).withColumn("revenue", exact), "pairs")
+    key = F.col("p_partkey") % 100_003
+    models = spark.read.parquet(f"{folder}/part.parquet").select(
+        F.concat(F.lit("models:/m-"), F.col("p_partkey").cast("string")).alias("model_uri"),
+        (3.0 + 0.001 * key).alias("intercept"),
+        F.array(2.0 + 0.000001 * (key % 89), 0.5 + 0.0000001 * (1 + key % 7)).alias("coefficients"),
+    )
+    evaluated = training.evaluate_models(models, rows)
+    return evaluated.select("model_uri", "n", F.round(F.col("mse") * 1e4).cast("bigint").alias("mse_per_10000"))
+
+
 def evaluate_latest_model(spark, folder):
     ledger = retail_ledger.ledger(spark, folder)
     report = training.evaluate_latest(ledger, "1-URGENT", _evaluation_pairs(spark, folder))
@@ -124,6 +154,8 @@ QUERIES = {
     "train_candidates": _fit(*regression.CANDIDATES),
     "train_report": train_report,
     "evaluate_all_models": evaluate_all_models,
+    "evaluate_opaque_models": evaluate_opaque_models,
+    "evaluate_close_models": evaluate_close_models,
     "evaluate_latest_model": evaluate_latest_model,
     "backlog_pairs": backlog_pairs,
     "score_backlog": score_backlog,
@@ -230,6 +262,21 @@ SELECT fit_intercept, positive, n, {_ERRORS} FROM scored GROUP BY fit_intercept,
     "evaluate_all_models": f"""
 WITH {EVALUATED}
 SELECT p_partkey % 5 + 1 AS experiment_id, 'models:/m-' || p_partkey AS model_uri, n, mse, r2 FROM evaluated""",
+    "evaluate_opaque_models": f"""
+WITH {EVALUATED}
+SELECT p_partkey % 5 + 1 AS experiment_id, 'models:/m-' || p_partkey AS model_uri, n, mse, r2 FROM evaluated""",
+    "evaluate_close_models": f"""
+WITH {_EVAL},
+missed AS (
+    SELECT p_partkey, 3 + 2 * CAST(e.clientID AS DOUBLE) + CAST(0.5 AS DOUBLE) * CAST(e.revenueLastMonth AS DOUBLE)
+           - ((3 + CAST(0.001 AS DOUBLE) * (p_partkey % 100003))
+           + (2 + CAST(0.000001 AS DOUBLE) * (p_partkey % 100003 % 89)) * e.clientID
+           + (CAST(0.5 AS DOUBLE) + CAST(0.0000001 AS DOUBLE) * (1 + p_partkey % 100003 % 7))
+             * CAST(e.revenueLastMonth AS DOUBLE)) AS miss
+    FROM eval_pairs e CROSS JOIN part
+),
+means AS (SELECT p_partkey, count(*) AS n, avg(miss * miss) AS mse FROM missed GROUP BY p_partkey)
+SELECT 'models:/m-' || p_partkey AS model_uri, n, CAST(round(mse * 1e4) AS BIGINT) AS mse_per_10000 FROM means""",
     "evaluate_latest_model": f"""
 WITH {EVALUATED}
 SELECT 'models:/m-' || p_partkey AS model_uri, CAST(p_partkey AS VARCHAR) AS source_run_id, n, mse, r2

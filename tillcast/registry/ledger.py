@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import ledger as search
 from tillcast.operators import ledger_delete as delete
+from tillcast.operators import ledger_search as texts
 from tillcast.operators import ledger_write as write
 from tillcast.operators.pairs import evaluation_pairs
 from tillcast.plans import training, update
@@ -107,6 +108,56 @@ def ledger_search_runs(spark, folder):
     )
 
 
+def ledger_find_runs(spark, folder):
+    """Active and hidden runs of three experiments by a filter text over attributes, metrics, params and tags."""
+    return texts.find_runs(
+        ledger(spark, folder),
+        [1, 2, 3],
+        "attributes.start_time >= 800000000000 AND metrics.r2 < 0.5 AND metrics.`mse` > 1000.5"
+        " AND params.status IN ('O', 'F') AND tags.evaluated_model_uri LIKE 'models:/m-%2'",
+        ["metrics.r2 DESC", "metrics.mse"],
+        500,
+        view="all",
+    )
+
+
+def ledger_find_models(spark, folder):
+    return texts.find_models(
+        ledger(spark, folder), [1, 3], "intercept > 905 AND source_run_id LIKE '%2'", ["intercept DESC"], 100
+    ).select("model_id", "experiment_id", "intercept", "creation_timestamp")
+
+
+def ledger_find_versions(spark, folder):
+    tables = ledger(spark, folder)
+    found = texts.find_versions(tables, "name LIKE 'Brand#1%' AND version <= 3", ["version DESC", "name"], 40)
+    return found.select("name", "version", "current_stage", "run_id")
+
+
+def ledger_find_registered(spark, folder):
+    return texts.find_registered(ledger(spark, folder), "name NOT LIKE 'Brand%' OR name = 'Brand#23'")
+
+
+def ledger_runs_all_keys(spark, folder):
+    """Active runs with a column for each key that they have; no key is named."""
+    tables = ledger(spark, folder)
+    return search.runs_with_all_keys(tables, search.by_view(tables.runs))
+
+
+def ledger_runs_maps(spark, folder):
+    """Every entry of the maps of the active runs, and a row for each run of how many it has."""
+    tables = ledger(spark, folder)
+    maps = search.runs_with_maps(tables, search.by_view(tables.runs))
+    sizes = F.size("metrics") + F.size("params") + F.size("tags")
+    out = maps.select("run_uuid", F.lit("all").alias("kind"), F.lit("").alias("key"), sizes.cast("double").alias("number"))
+    out = out.withColumn("text", F.lit(None).cast("string"))
+    for kind in ("metrics", "params", "tags"):
+        entries = maps.select("run_uuid", F.lit(kind).alias("kind"), F.explode(kind).alias("key", "value"))
+        number = F.col("value") if kind == "metrics" else F.lit(None).cast("double")
+        words = F.lit(None).cast("string") if kind == "metrics" else F.col("value")
+        out = out.unionByName(entries.select("run_uuid", "kind", "key", number.alias("number"), words.alias("text")))
+    return out
+
+
 def ledger_best_run(spark, folder):
     tables = ledger(spark, folder)
     return search.best_runs(tables, search.by_view(tables.runs), METRICS)
@@ -229,7 +280,7 @@ def ledger_restore_experiment(spark, folder):
 def ledger_search_models(spark, folder):
     """The newest hundred models of two experiments with a part of the intercepts."""
     return search.search_models(
-        ledger(spark, folder), [1, 3], F.col("intercept") > 1000, [F.desc("creation_timestamp"), F.col("model_id")], 100
+        ledger(spark, folder), [1, 3], F.col("intercept") > 910, [F.desc("creation_timestamp"), F.col("model_id")], 100
     ).select("model_id", "experiment_id", "intercept", "creation_timestamp")
 
 
@@ -240,8 +291,10 @@ def ledger_artifact_paths(spark, folder):
 
 
 def ledger_restore(spark, folder):
+    """Of the hidden runs those of two experiments shown again; the others stay hidden."""
     tables = ledger(spark, folder)
-    return delete.restore_runs(tables, _deleted_runs(tables)).runs.select("run_uuid", "lifecycle_stage")
+    some = _deleted_runs(tables).where(F.col("experiment_id") <= 2)
+    return delete.restore_runs(tables, some).runs.select("run_uuid", "lifecycle_stage")
 
 
 # ---- writes ------------------------------------------------------------------------------------------------------
@@ -414,6 +467,50 @@ LEFT JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
 LEFT JOIN tags te ON te.run_uuid = r.run_uuid AND te.key = 'evaluated_model_uri'
 WHERE r.lifecycle_stage = 'active' AND q.value < 0.5
 ORDER BY m.value ASC NULLS LAST, r.run_uuid LIMIT 100""",
+    "ledger_find_runs": f"""
+WITH {LONG}
+SELECT r.*, m.value AS metrics_mse, q.value AS metrics_r2, p.value AS params_status, te.value AS tags_evaluated_model_uri
+FROM runs r JOIN metrics m ON m.run_uuid = r.run_uuid AND m.key = 'mse'
+JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
+JOIN params p ON p.run_uuid = r.run_uuid AND p.key = 'status'
+JOIN tags te ON te.run_uuid = r.run_uuid AND te.key = 'evaluated_model_uri'
+WHERE r.experiment_id IN (1, 2, 3) AND r.start_time >= 800000000000 AND q.value < 0.5 AND m.value > 1000.5
+  AND p.value IN ('O', 'F') AND te.value LIKE 'models:/m-%2'
+ORDER BY q.value DESC, m.value, r.start_time DESC, r.run_uuid LIMIT 500""",
+    "ledger_find_models": """
+SELECT 'm-' || p_partkey AS model_id, p_partkey % 5 + 1 AS experiment_id, p_retailprice AS intercept,
+       p_partkey AS creation_timestamp
+FROM part WHERE p_partkey % 5 + 1 IN (1, 3) AND p_retailprice > 905 AND p_partkey % 10 = 2
+ORDER BY p_retailprice DESC, p_partkey DESC LIMIT 100""",
+    "ledger_find_versions": f"""
+WITH {MODELS}
+SELECT name, version, current_stage, run_id FROM model_versions
+WHERE starts_with(name, 'Brand#1') AND version <= 3 ORDER BY version DESC, name LIMIT 40""",
+    "ledger_find_registered": f"""
+WITH {MODELS}
+SELECT name, lifecycle_stage FROM registered_models WHERE NOT starts_with(name, 'Brand') OR name = 'Brand#23'""",
+    "ledger_runs_all_keys": f"""
+WITH {LONG}
+SELECT r.*, m.value AS metrics_mse, q.value AS metrics_r2, p.value AS params_status,
+       tc.value AS tags_created_model_uri, te.value AS tags_evaluated_model_uri
+FROM runs r
+LEFT JOIN metrics m ON m.run_uuid = r.run_uuid AND m.key = 'mse'
+LEFT JOIN metrics q ON q.run_uuid = r.run_uuid AND q.key = 'r2'
+LEFT JOIN params p ON p.run_uuid = r.run_uuid AND p.key = 'status'
+LEFT JOIN tags tc ON tc.run_uuid = r.run_uuid AND tc.key = 'created_model_uri'
+LEFT JOIN tags te ON te.run_uuid = r.run_uuid AND te.key = 'evaluated_model_uri'
+WHERE r.lifecycle_stage = 'active'""",
+    "ledger_runs_maps": f"""
+WITH {LONG},
+entries AS (
+    SELECT run_uuid, 'metrics' AS kind, key, value AS number, NULL::VARCHAR AS text FROM metrics
+    UNION ALL SELECT run_uuid, 'params', key, NULL, value FROM params
+    UNION ALL SELECT run_uuid, 'tags', key, NULL, value FROM tags
+)
+SELECT e.* FROM entries e JOIN runs r USING (run_uuid) WHERE r.lifecycle_stage = 'active'
+UNION ALL
+SELECT r.run_uuid, 'all', '', count(e.kind)::DOUBLE, NULL FROM runs r LEFT JOIN entries e USING (run_uuid)
+WHERE r.lifecycle_stage = 'active' GROUP BY r.run_uuid""",
     "ledger_best_run": f"""
 WITH {LONG}, placed AS (
     SELECT r.run_uuid, r.experiment_id, m.value AS mse, q.value AS r2,
@@ -521,13 +618,15 @@ GROUP BY e.experiment_id, e.name, e.lifecycle_stage""",
     "ledger_search_models": """
 SELECT 'm-' || p_partkey AS model_id, p_partkey % 5 + 1 AS experiment_id, p_retailprice AS intercept,
        p_partkey AS creation_timestamp
-FROM part WHERE p_partkey % 5 + 1 IN (1, 3) AND p_retailprice > 1000
+FROM part WHERE p_partkey % 5 + 1 IN (1, 3) AND p_retailprice > 910
 ORDER BY p_partkey DESC, model_id LIMIT 100""",
     "ledger_artifact_paths": f"""
 WITH {ALL}
 SELECT artifact_location AS path FROM logged_models WHERE experiment_id = 1
 UNION ALL SELECT artifact_uri FROM runs WHERE experiment_id = 1 AND lifecycle_stage = 'active'""",
-    "ledger_restore": f"WITH {RUNS} SELECT run_uuid, 'active' AS lifecycle_stage FROM runs",
+    "ledger_restore": f"""
+WITH {RUNS}
+SELECT run_uuid, CASE WHEN experiment_id <= 2 THEN 'active' ELSE lifecycle_stage END AS lifecycle_stage FROM runs""",
     "ledger_register": f"WITH {MODELS},{NEW} SELECT * FROM model_versions UNION ALL SELECT * FROM new_versions",
     "ledger_promote": f"""
 WITH {MODELS},{NEW}

@@ -132,8 +132,8 @@ SELECT clientID, month, CAST(revenue AS DOUBLE) AS revenue FROM revenue
 WHERE month >= (SELECT CAST(max(month) - INTERVAL 2 MONTH AS DATE) FROM revenue)""",
     "revenue_vs_prediction": f"""
 WITH {PREDICTIONS}
-SELECT rev.clientID, rev.month, CAST(rev.revenue AS DOUBLE) AS revenue, pred.predictedRevenue AS "predictedRevenue"
-FROM revenue rev LEFT JOIN predictions pred ON pred.clientID = rev.clientID AND pred.month = rev.month""",
+SELECT clientID, month, CAST(revenue AS DOUBLE) AS revenue, told."predictedRevenue" AS "predictedRevenue"
+FROM revenue LEFT JOIN predictions AS told USING (month, clientID)""",
     "rmse_windows": f"""
 WITH {_LATEST}
 SELECT unnest([1, 2, 3]) AS months, unnest([round(one, 4), round(two, 4), round(three, 4)]) AS "RMSE" FROM figures""",

@@ -123,6 +123,18 @@ def sink_overwrite_partitions(spark, folder):
     return _stored_predictions(spark.table(table))
 
 
+def sink_rebuild_partitioned(spark, folder):
+    """The table partitioned by model rebuilt from itself, twice; model names hold colons and slashes."""
+    revenue, predictions = _client_tables(spark, folder)
+    table = f"{_schema(spark)}.predictions"
+    sinks.create_table_if_absent(spark, table, PREDICTION_COLUMNS, sinks.Layout(("modelURI",)))
+    sinks.append(predictions, table)
+    for _ in range(2):
+        half = spark.table(table).withColumn("predictedRevenue", F.col("predictedRevenue") / 2)
+        sinks.rebuild_table(half, table)
+    return _stored_predictions(spark.table(table))
+
+
 def sink_legacy_overwrite(spark, folder):
     """The table dropped, made again and filled with a prediction for every revenue row."""
     table = f"{_schema(spark)}.predictions"
@@ -146,6 +158,7 @@ QUERIES = {
     "ddl_create_if_absent": ddl_create_if_absent,
     "sink_append": sink_append,
     "sink_overwrite_partitions": sink_overwrite_partitions,
+    "sink_rebuild_partitioned": sink_rebuild_partitioned,
     "sink_legacy_overwrite": sink_legacy_overwrite,
 }
 
@@ -193,6 +206,9 @@ WITH {PREDICTIONS}
 SELECT clientID, month,
        CASE WHEN modelURI = 'models:/m/2' THEN predictedRevenue * 2 ELSE predictedRevenue END AS "predictedRevenue",
        modelURI AS "modelURI" FROM predictions""",
+    "sink_rebuild_partitioned": f"""
+WITH {PREDICTIONS}
+SELECT clientID, month, predictedRevenue / 4 AS "predictedRevenue", modelURI AS "modelURI" FROM predictions""",
     "sink_legacy_overwrite": f"""
 WITH {REVENUE}
 SELECT clientID, month, CAST(CAST(10 + 0.5 * clientID + 2 * year(month) + 0.25 * month(month) AS FLOAT) AS DOUBLE)

@@ -114,18 +114,36 @@ def _write_beside(df: DataFrame, table: str, layout: Layout) -> str:
 def _take_place(spark: SparkSession, table: str, beside: str) -> None:
     """Point ``table`` at the folder of ``beside`` in one catalog call; the name is never gone."""
     old, new = _described(spark, table), _described(spark, beside)["Location"]
+    if old.get("Partition Provider") == "Catalog":
+        _take_name(spark, table, beside)
+        return
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     drop_table(spark, beside)  # the folder is not the catalog's to delete, so it stays
-    if old.get("Partition Provider") == "Catalog":
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-            spec = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in row[0].split("/"))
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
     if old["Location"] != new:
         delete_folder(spark, old["Location"])
 
 
+def _take_name(spark: SparkSession, table: str, beside: str) -> None:
+    """Give ``beside`` the name of ``table``, in two catalog calls whatever its partitions; the old rows go afterwards.
+
+    The catalog keeps a location for every partition, so a partitioned table cannot be pointed elsewhere in one call.
+    Readers see all old or all new rows, or, between the two calls, no table; if the second call fails, the first is
+    taken back.
+    """
+    aside = f"{table}_{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise
+    spark.catalog.refreshTable(table)
+    folder = _described(spark, aside)["Location"]
+    drop_table(spark, aside)
+    delete_folder(spark, folder)
+
+
 def _write_v2(df: DataFrame, table: str, layout: Layout) -> None:
     writer = df.writeTo(table)
     spread = [F.col(c) for c in layout.partition_by]
@@ -139,8 +157,8 @@ def rebuild_tables(frames: dict[str, DataFrame], layout: Layout | None = None) -
     """Replace whole tables by frames that may read the tables they replace; without a layout each keeps its own.
 
     V1: the rows first go to folders beside the old ones, which the tables are then pointed at, so a job that fails
-    half-way leaves the old tables as they were; old folders go afterwards. Only where columns or layout change is a
-    table dropped and made anew under its name.
+    half-way leaves the old tables as they were; old folders go afterwards. Where a table is partitioned, or columns or
+    layout change, the new table takes the name instead.
     """
     beside = {}
     for table, df in frames.items():
@@ -157,10 +175,7 @@ def rebuild_tables(frames: dict[str, DataFrame], layout: Layout | None = None) -
         elif kept == layout_of(spark, table) and spark.table(table).dtypes == spark.table(new).dtypes:
             _take_place(spark, table, new)
         else:
-            old = _described(spark, table)["Location"]
-            drop_table(spark, table)
-            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
-            delete_folder(spark, old)
+            _take_name(spark, table, new)
 
 
 def rebuild_table(df: DataFrame, table: str, layout: Layout | None = None) -> DataFrame:
