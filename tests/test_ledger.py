@@ -8,7 +8,7 @@ from tillcast.operators import ledger_delete as delete
 from tillcast.operators import ledger_write as write
 from tillcast.operators.ledger import COLUMNS, Ledger
 from tillcast.plans import prediction, update
-from tillcast.sources import retail_ledger
+from tillcast.sources import retail_ledger, sinks
 from tillcast.sources.tables import literal_rows
 
 NAN = float("nan")
@@ -249,3 +249,65 @@ def test_versions_are_numbered_across_blocks(spark, monkeypatch):
     for brand in "ab":
         mine = [k for k in keys if ("b" if k % 3 else "a") == brand]
         assert [found[brand, k] for k in mine] == list(range(1, len(mine) + 1))
+
+
+def all_rows(ledger):
+    tables = {name: df for name, df in ledger.tables().items() if name != "changes"}
+    return {name: sorted(repr(tuple(r)) for r in df.select(*sorted(df.columns)).collect()) for name, df in tables.items()}
+
+
+def test_delete_then_restore_is_the_same_ledger(ledger):
+    """Stages and aliases come back with a run, also after a second delete, and the log is empty again."""
+    shown = delete.restore_runs(ledger, ledger.runs)
+    hidden = delete.soft_delete_runs(delete.soft_delete_runs(shown, shown.runs.where("run_uuid = 'r1'")), shown.runs)
+    assert search.visible_versions(hidden.model_versions).count() < search.visible_versions(shown.model_versions).count()
+    again = delete.restore_runs(hidden, hidden.runs)
+    assert all_rows(again) == all_rows(shown)
+    assert again.changes.count() == 0
+
+
+def test_restoring_one_run_leaves_other_names_hidden(ledger):
+    hidden = delete.soft_delete_runs(ledger, ledger.runs)
+    one = delete.restore_runs(hidden, hidden.runs.where("run_uuid = 'r1'"))
+    shown = {r.name for r in search.registered_names(ledger, ledger.runs.where("run_uuid = 'r1'")).collect()}
+    visible = search.visible_versions(one.model_versions)
+    assert {r.name for r in visible.collect()} == shown
+    before = {(r.name, r.version): r.current_stage for r in ledger.model_versions.collect()}
+    assert all(before[r.name, r.version] == r.current_stage for r in visible.collect())
+
+
+def test_one_version_hidden_and_shown_again(ledger):
+    hidden = delete.delete_registered_version(ledger, "sales", 1)
+    assert all_rows(hidden) != all_rows(ledger)
+    assert all_rows(delete.restore_version(hidden, "sales", 1)) == all_rows(ledger)
+    # A name restored leaves a version hidden that was hidden on its own before.
+    run = ledger.model_versions.where("name = 'sales' AND version = 2").select(F.col("run_id").alias("run_uuid"))
+    both = delete.restore_runs(delete.soft_delete_runs(hidden, run), run)
+    assert names(search.visible_versions(both.model_versions), "name", "version") == names(
+        search.visible_versions(hidden.model_versions), "name", "version"
+    )
+
+
+def test_undo_after_a_new_alias(spark, ledger):
+    """An alias given to another version meanwhile stays with it."""
+    first = ledger.aliases.first()
+    hidden = delete.delete_registered_version(ledger, first.name, first.version)
+    moved = literal_rows(spark, [(first.name, first.alias, 99)], COLUMNS["aliases"])
+    hidden = hidden.with_tables(aliases=hidden.aliases.unionByName(moved))
+    shown = delete.restore_version(hidden, first.name, first.version)
+    same = shown.aliases.where((F.col("name") == first.name) & (F.col("alias") == first.alias))
+    assert [r.version for r in same.collect()] == [99]
+
+
+def test_stored_ledger_keeps_its_changes(spark, schema, ledger):
+    from tillcast.plans import ledger_store
+
+    ledger_store.create_ledger(spark, schema)
+    for table, rows in ledger.tables().items():
+        sinks.append(rows, f"{schema}.{table}")
+    opened = ledger_store.open_ledger(spark, schema)
+    ledger_store.replace_tables(opened, delete.soft_delete_runs(opened, opened.runs.where("run_uuid = 'r1'")), schema)
+    opened = ledger_store.open_ledger(spark, schema)
+    assert opened.changes.count() > 0
+    ledger_store.replace_tables(opened, delete.restore_runs(opened, opened.runs.where("run_uuid = 'r1'")), schema)
+    assert all_rows(ledger_store.open_ledger(spark, schema)) == all_rows(ledger)

@@ -33,6 +33,9 @@ COLUMNS = {
     "registered_models": "name string, lifecycle_stage string",
     "aliases": "name string, alias string, version int",
 }
+#: Tables that a ledger may lack: what soft deletes changed. Of kind ``run`` (which run hid which name), ``name`` and
+#: ``version`` (the stage or the alias that a version had when its name, or it alone, was hidden).
+OPTIONAL = {"changes": "kind string, run_uuid string, name string, version int, stage string, alias string"}
 RUN_TABLES = ("metrics", "params", "tags", "latest_metrics", "runs")
 
 
@@ -48,12 +51,13 @@ class Ledger:
     model_versions: DataFrame
     registered_models: DataFrame
     aliases: DataFrame
+    changes: DataFrame | None = None
 
     def with_tables(self, **tables: DataFrame) -> Ledger:
         return replace(self, **tables)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
 
 
 def by_view(df: DataFrame, view: str = ACTIVE) -> DataFrame:

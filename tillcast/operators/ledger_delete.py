@@ -14,11 +14,13 @@ from tillcast.operators.ledger import (
     ACTIVE,
     DELETED,
     DELETED_STAGE,
+    OPTIONAL,
     RUN_TABLES,
     Ledger,
     by_view,
     experiment_id,
     registered_names,
+    visible_versions,
 )
 from tillcast.session import stage
 
@@ -43,30 +45,69 @@ def _without(df: DataFrame, ids: DataFrame, **keys: str) -> DataFrame:
 
 
 def soft_delete_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
-    """Hide runs and the registered models, all versions, whose name was found for them."""
+    """Hide runs and the registered models, all versions, whose name was found for them; ``restore_runs`` undoes it."""
     run_ids = run_ids.select("run_uuid").distinct()
-    names = registered_names(ledger, run_ids)
+    names = stage(registered_names(ledger, run_ids), "names")
     hidden = ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(DELETED)))
-    return soft_delete_names(hidden, names)
+    after = soft_delete_names(hidden, names)
+    return after.with_tables(changes=_changes(after, "run", names))
 
 
 def soft_delete_names(ledger: Ledger, names: DataFrame) -> Ledger:
-    # Stored: used twice, and a join with a stored table splits a name that holds very many versions.
+    # Stored: used several times, and a join with a stored table splits a name that holds very many versions.
     names = stage(names.select("name").distinct(), "names")
     return ledger.with_tables(
         aliases=_without(ledger.aliases, names, name="name"),
         registered_models=_mark(ledger.registered_models, names, "name", "lifecycle_stage", F.lit(DELETED)),
         model_versions=_mark(ledger.model_versions, names, "name", "current_stage", F.lit(DELETED_STAGE)),
+        changes=_changes(ledger, "name", _state(ledger, names, ["name"])),
     )
 
 
-def hard_delete_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
-    """Remove runs from the five run tables."""
+def _state(ledger: Ledger, hidden: DataFrame, keys: list[str]) -> DataFrame:
+    """(name, version, stage, alias): the stages of the visible versions that go, and their aliases."""
+    stages = visible_versions(ledger.model_versions).join(hidden, keys, "left_semi")
+    stages = stages.select("name", "version", F.col("current_stage").alias("stage"))
+    gone = ledger.aliases.join(hidden, keys, "left_semi").select("name", "version", "alias")
+    return stages.unionByName(gone, allowMissingColumns=True)
+
+
+def _changes(ledger: Ledger, kind: str, rows: DataFrame) -> DataFrame:
+    """The ledger's changes with further rows, whose other columns are NULL."""
+    columns = [field.split() for field in OPTIONAL["changes"].split(", ")]
+    rows = rows.withColumn("kind", F.lit(kind))
+    new = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in columns])
+    new = stage(new, "changes")  # read by every table that an undo gives back
+    return new if ledger.changes is None else ledger.changes.unionByName(new)
+
+
+def _undo(ledger: Ledger, kind: str, hidden: DataFrame, keys: list[str]) -> Ledger:
+    """Give back the stages and aliases that changes of a kind tell of ``hidden`` (distinct keys), and forget these
+    changes. An alias that points elsewhere by now stays there."""
+    told = stage(ledger.changes.where(F.col("kind") == kind).join(hidden, keys, "left_semi"), "changes")
+    stages = told.where("stage IS NOT NULL").groupBy("name", "version").agg(F.max("stage").alias("_stage"))
+    versions = ledger.model_versions.join(stages, ["name", "version"], "left")
+    back = F.when(F.col("current_stage") == DELETED_STAGE, F.col("_stage"))
+    versions = versions.withColumn("current_stage", F.coalesce(back, "current_stage"))
+    lost = told.where("alias IS NOT NULL").groupBy("name", "alias").agg(F.max("version").alias("version"))
+    lost = lost.join(ledger.aliases.select("name", "alias").distinct(), ["name", "alias"], "left_anti")
+    kinds = [kind, "run"] if kind == "name" else [kind]
+    over = ledger.changes.where(F.col("kind").isin(kinds)).join(hidden, keys, "left_anti")
     return ledger.with_tables(
-        **{table: _without(getattr(ledger, table), run_ids, run_uuid="run_uuid") for table in RUN_TABLES}
+        model_versions=versions.select(*ledger.model_versions.columns),
+        aliases=ledger.aliases.unionByName(lost.select(*ledger.aliases.columns)),
+        changes=ledger.changes.where(~F.col("kind").isin(kinds)).unionByName(over.select(*ledger.changes.columns)),
     )
 
 
+def hard_delete_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
+    """Remove runs from the five run tables."""
+    gone = {table: _without(getattr(ledger, table), run_ids, run_uuid="run_uuid") for table in RUN_TABLES}
+    if ledger.changes is not None:
+        gone["changes"] = _without(ledger.changes, run_ids, run_uuid="run_uuid")
+    return ledger.with_tables(**gone)
+
+
 def hard_delete_models(ledger: Ledger, models: DataFrame) -> Ledger:
     """Remove logged models, the versions made from them, and names left without versions."""
     kept = _without(ledger.logged_models, models, model_id="model_id")
@@ -111,8 +152,24 @@ def delete_experiment(ledger: Ledger, experiment: str, hard_delete: bool = False
 
 
 def restore_runs(ledger: Ledger, run_ids: DataFrame) -> Ledger:
+    """Show runs again, and the names that were hidden with them: versions get the stages that they had, and aliases
+    come back."""
     run_ids = run_ids.select("run_uuid").distinct()
-    return ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(ACTIVE)))
+    shown = ledger.with_tables(runs=_mark(ledger.runs, run_ids, "run_uuid", "lifecycle_stage", F.lit(ACTIVE)))
+    if ledger.changes is None:
+        return shown
+    names = ledger.changes.where("kind = 'run'").join(run_ids, "run_uuid", "left_semi").select("name").distinct()
+    names = stage(names, "names")
+    models = _mark(ledger.registered_models, names, "name", "lifecycle_stage", F.lit(ACTIVE))
+    return _undo(shown.with_tables(registered_models=models), "name", names, ["name"])
+
+
+def restore_version(ledger: Ledger, name: str, version: int) -> Ledger:
+    """Show one version again that was hidden alone, with the stage and the aliases that it had."""
+    if ledger.changes is None:
+        return ledger
+    one = ledger.model_versions.where((F.col("name") == name) & (F.col("version") == version))
+    return _undo(ledger, "version", one.select("name", "version").distinct(), ["name", "version"])
 
 
 def restore_experiment(ledger: Ledger, experiment: str) -> Ledger:
@@ -175,6 +232,9 @@ def delete_registered_version(ledger: Ledger, name: str, version: int, hard_dele
     if hard_delete:
         return drop_orphans(ledger.with_tables(model_versions=ledger.model_versions.where(~hit)))
     hidden = F.when(hit, F.lit(DELETED_STAGE)).otherwise(F.col("current_stage"))
+    one = ledger.model_versions.where(hit).select("name", "version").distinct()
     return ledger.with_tables(
-        model_versions=ledger.model_versions.withColumn("current_stage", hidden), aliases=ledger.aliases.where(~hit)
+        model_versions=ledger.model_versions.withColumn("current_stage", hidden),
+        aliases=ledger.aliases.where(~hit),
+        changes=_changes(ledger, "version", _state(ledger, one, ["name", "version"])),
     )

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.operators.ledger import COLUMNS, Ledger
+from tillcast.operators.ledger import COLUMNS, OPTIONAL, Ledger
 from tillcast.sources import sinks
 
 
 def create_ledger(spark: SparkSession, schema: str) -> None:
-    for table, columns in COLUMNS.items():
+    for table, columns in {**COLUMNS, **OPTIONAL}.items():
         sinks.create_table_if_absent(spark, f"{schema}.{table}", columns)
 
 
 def open_ledger(spark: SparkSession, schema: str) -> Ledger:
-    return Ledger(**{table: spark.table(f"{schema}.{table}") for table in COLUMNS})
+    there = [table for table in OPTIONAL if spark.catalog.tableExists(f"{schema}.{table}")]
+    return Ledger(**{table: spark.table(f"{schema}.{table}") for table in [*COLUMNS, *there]})
 
 
 #: What tells one row of a table from another; rows of metrics, params and tags by run and key.
@@ -47,5 +48,5 @@ def replace_tables(before: Ledger, after: Ledger, schema: str) -> None:
     The changed tables are read from each other, so all new versions are computed before the first table is replaced.
     """
     old = before.tables()
-    changed = {table: df for table, df in after.tables().items() if df is not old[table]}
+    changed = {table: df for table, df in after.tables().items() if df is not old.get(table)}
     sinks.rebuild_tables({f"{schema}.{table}": df for table, df in changed.items()})
