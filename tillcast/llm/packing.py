@@ -28,7 +28,7 @@ from tillcast.llm import words as W
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers; then it starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 #: Runs of these after a word's letters are a token run of their own, whatever the letters are.
 _MARKS = ".,;:!?&$%*#|"
 
