@@ -156,3 +156,54 @@ def test_samples_are_bounded_by_rows(spark):
     assert len(rows) == 41 and [r["text"] for r in rows if r["doc_id"] == 7] == ["some words 0"]
     assert toxicity.labelled_sample(docs, labels, "toxic", 10).count() == 10
     assert cotrain._sample(docs.repartition(7), labels, 41).where("y >= 0").count() == 41
+
+
+def test_every_unlabelled_document_takes_part(spark, table):
+    """What is handed on is the surest of all documents without a label, whatever the bound of a fit."""
+    docs, labels = table("documents"), table("labels")
+    sample = cotrain._sample(docs, labels, 300)
+    chosen, _ = sparse.select(sample, cotrain.OCCURRENCES, 500)
+    pool = cotrain._pool(docs.unionByName(docs), labels, chosen)
+    rows = docs.toPandas()
+    known = set(labels.where("quality IS NOT NULL").toPandas().doc_id)
+    free = rows[~rows.doc_id.isin(known)].drop_duplicates(["doc_id", "text", "source", "lang"])
+    assert pool.count() == len(free) > 300
+
+    known = cotrain._features(sample, chosen, "h", "y").toArrow().sort_by("h")
+    *_, done = cotrain.co_train(known, pool, len(chosen), 300, 2)
+    assert len(done) == 2
+    got = cotrain.Features.read(pool.toArrow())
+    rate, before = known["y"].to_numpy().mean(), np.full((2, len(free)), -1)
+    for turn, exchange in enumerate(done):
+        after = got.given(done[: turn + 1])
+        assert (after[before >= 0] == before[before >= 0]).all()
+        for view, (found, weights) in enumerate(zip(got.views, exchange.weights)):
+            dense = np.zeros((len(free), len(weights) - 1))
+            np.add.at(dense, (found.row, found.feature), found.value)
+            odds = dense @ weights[:-1] + weights[-1]
+            for value in (0, 1):
+                own = odds if value else -odds
+                could = (before[1 - view] < 0) & (1 / (1 + np.exp(-own)) >= cotrain.SURE)
+                most = math.ceil(cotrain.SHARE * (rate if value else 1 - rate) * len(free))
+                new = (before[1 - view] < 0) & (after[1 - view] == value)
+                assert not (new & ~could).any()
+                wanted = min(most, could.sum())
+                bin_size = max(np.bincount(np.floor(cotrain.BINS * np.clip(own[could], 0, cotrain.UNITS)).astype(int)),
+                               default=0)
+                assert abs(new.sum() - wanted) <= 3 * math.sqrt(bin_size)
+                if (could & ~new).any() and new.any():
+                    assert min(own[new].min(), 40) >= min(own[could & ~new].max(), 40) - 1 / cotrain.BINS
+        before = after
+    assert (before >= 0).any()
+
+    # Documents of a fit are bounded, and the same in any order of rows.
+    drawn = [cotrain._drawn(p, done, [1.0, 1.0], 50) for p in (pool, pool.repartition(7))]
+    for (one, y), (two, z) in zip(*drawn):
+        assert one.count == two.count <= 50 and (y == z).all() and (one.feature == two.feature).all()
+
+
+def test_bound_of_what_is_handed_on():
+    assert cotrain.bound_of({}, 5) == (-1, 0.0, 0)
+    assert cotrain.bound_of({200: 2, 300: 1}, 5) == (-1, 0.0, 3)
+    assert cotrain.bound_of({200: 8, 300: 1, 250: 2}, 5) == (200, 0.25, 5)
+    assert cotrain.bound_of({2560: 1000}, 5) == (2560, 0.005, 5)
