@@ -8,7 +8,7 @@ from tillcast.functions.text import any_pair_matches
 from tillcast.operators import monitoring, scoring
 from tillcast.operators.regression import LinearModel
 from tillcast.plans import prediction
-from tillcast.plans.monitoring import add_metrics
+from tillcast.plans.monitoring import add_metrics, add_metrics_by_parts
 from tillcast.sources.sinks import Layout
 from tillcast.sources.tables import literal_rows
 
@@ -118,8 +118,49 @@ def test_metrics_equal_the_four_queries(spark, day, uris, ahead):
     predictions = literal_rows(spark, [*data, *data[:3]], PREDICTIONS)
     found = monitoring.monitor_metrics(revenue, predictions).collect()
     expected = four_step_metrics(spark, revenue, predictions).collect()
-    for ours, theirs in zip(found, expected, strict=True):
-        assert ours.asDict() == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in theirs.asDict().items()}
+    parts = monitoring.error_parts(revenue, predictions)
+    by_parts = monitoring.metrics_from_parts(revenue, predictions, parts).collect()
+    for ours, other, theirs in zip(found, by_parts, expected, strict=True):
+        wanted = {k: pytest.approx(v) if isinstance(v, float) else v for k, v in theirs.asDict().items()}
+        assert ours.asDict() == wanted and other.asDict() == wanted
+
+
+def test_stored_error_sums(spark, schema, rows, day):
+    """A new month, late predictions and changed values each replace the sums of their month alone."""
+    revenue = literal_rows(spark, [(c, day(m), 90 * c + m) for c in range(1, 7) for m in range(1, 7)], REVENUE)
+    data = [(c, day(m), 100.0 * c + m * m, f"models:/m/{1 + m // 4}") for c in range(1, 6) for m in range(2, 7)]
+    predictions = literal_rows(spark, data, PREDICTIONS)
+    parts, metrics = f"{schema}.parts", f"{schema}.metrics"
+
+    def files():
+        found = spark.table(parts).select("month", F.input_file_name().alias("file")).distinct().collect()
+        return {month: {r.file for r in found if r.month == month} for month in {r.month for r in found}}
+
+    def run(revenue, predictions, **options):
+        before = files() if spark.catalog.tableExists(parts) else {}
+        add_metrics_by_parts(revenue, predictions, parts, metrics, **options)
+        newest = spark.table(metrics).orderBy(F.desc("month")).first()
+        for expected in monitoring.monitor_metrics(revenue, predictions).collect():
+            wanted = {k: pytest.approx(v) if isinstance(v, float) else v for k, v in expected.asDict().items()}
+            assert newest.asDict() == wanted
+        spark.sql(f"TRUNCATE TABLE {metrics}")
+        after = files()
+        return sorted(month.month for month in after if after[month] != before.get(month))
+
+    to_four = revenue.where(F.col("month") <= F.lit(day(4)))
+    early = predictions.where(F.col("month") <= F.lit(day(5)))
+    assert run(to_four, early) == [2, 3, 4]
+    assert run(to_four, early) == []
+    to_five = revenue.where(F.col("month") <= F.lit(day(5)))
+    assert run(to_five, early) == [5]
+    assert run(to_five, early.where("clientID != 3 OR month != date'2025-04-01'")) == [4]
+    assert run(revenue, predictions) == [4, 6]
+    changed = revenue.withColumn("revenue", F.when(F.col("month") == F.lit(day(5)), 7).otherwise(F.col("revenue")))
+    assert run(changed.select(revenue.columns), predictions, redo=[day(5)]) == [5]
+    assert run(revenue.where(F.col("clientID") != 1), predictions.where("month < date'2025-06-01'"), redo=[day(1)]) == [
+        1, 4, 5, 6,
+    ]
+    assert [r.compared for r in spark.table(parts).where("month = date'2025-06-01'").collect()] == [0]
 
 
 def test_null_uri_keeps_its_prediction(spark, rows, day):

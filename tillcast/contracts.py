@@ -10,6 +10,11 @@ PREDICTIONS = "clientID int, month date, predictedRevenue float, modelURI string
 LEGACY_PREDICTIONS = "clientID int, month date, predictedRevenue float"
 METRICS = "month date, RMSE_1 double, RMSE_2 double, RMSE_3 double, maxErrorLastMonth double, modelURI string"
 
+# Sums that monitoring keeps for each month and model, and how many rows both tables had for the month then.
+METRIC_PARTS = (
+    "modelURI string, compared bigint, squares double, largest double, revenueRows bigint, predictionRows bigint, month date"
+)
+
 # Model name -> schema and alias it is written to.
 TABLES = {
     "source1_clients": "dwh_source1.clients",

@@ -15,6 +15,11 @@ def rmse(error: Column) -> Column:
     return F.sqrt(F.avg(F.pow(error, 2)))
 
 
+def rmse_from_parts(squares: Column, rows: Column) -> Column:
+    """The same from sums of squared errors and counts of errors, NULL without errors."""
+    return F.sqrt(F.sum(squares) / F.nullif(F.sum(rows), F.lit(0)))
+
+
 def max_abs_error(error: Column) -> Column:
     return F.max(F.abs(error))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions import errors
@@ -92,6 +95,88 @@ def monitor_metrics(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
     return _window_metrics(revenue, predictions).where(F.col("RMSE_1").isNotNull())
 
 
+def _sizes(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
+    """month, and how many rows each table has for it; only the month is read."""
+    rows = revenue.select("month", F.lit(1).alias("r"), F.lit(0).alias("p"))
+    rows = rows.unionByName(predictions.select("month", F.lit(0).alias("r"), F.lit(1).alias("p")))
+    return rows.groupBy("month").agg(F.sum("r").alias("revenueRows"), F.sum("p").alias("predictionRows"))
+
+
+def error_parts(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
+    """A row for each month and model: count, sum of squares and maximum of the errors, and the month's row counts in both
+    tables. A month in which nothing can be compared has one row without a model that counts none."""
+    compared = revenue.join(predictions.select(*KEYS, "predictedRevenue", "modelURI"), KEYS)
+    sums = compared.withColumn("error", _error()).groupBy("month", "modelURI")
+    sums = sums.agg(
+        F.count("error").alias("compared"),
+        F.sum(F.pow("error", F.lit(2))).alias("squares"),
+        errors.max_abs_error(F.col("error")).alias("largest"),
+    )
+    return (
+        _sizes(revenue, predictions)
+        .join(sums, "month", "left")
+        .select(
+            "modelURI", F.coalesce("compared", F.lit(0)).alias("compared"), "squares", "largest", "revenueRows",
+            "predictionRows", "month",
+        )
+    )
+
+
+def _window(newest: Column) -> Column:
+    return F.col("month").between(shift_months(newest, -2), newest)
+
+
+def new_parts(
+    revenue: DataFrame, predictions: DataFrame, parts: DataFrame, redo: Sequence[dt.date] = ()
+) -> DataFrame | None:
+    """Parts of those of the three newest months that ``parts`` lacks or has from other row counts, and of the months in
+    ``redo`` (whose values were changed in place); None where there are none.
+
+    Only row counts are read of months whose parts hold; at most three months and ``redo`` are looked at on the driver.
+    """
+    newest = F.lit(revenue.agg(F.max("month")).first()[0]).cast("date")
+    now = _sizes(revenue.where(_window(newest)), predictions.where(_window(newest)))
+    held = parts.where(_window(newest)).select("month", "revenueRows", "predictionRows").distinct()
+    months = {r.month for r in now.exceptAll(held.select(now.columns)).collect()} | set(redo)
+    if not months:
+        return None
+    asked = F.col("month").isin(sorted(months))
+    return error_parts(revenue.where(asked), predictions.where(asked))
+
+
+def merged_parts(parts: DataFrame, new: DataFrame | None) -> DataFrame:
+    """``parts`` with the months of ``new`` replaced."""
+    if new is None:
+        return parts
+    return parts.join(new.select("month").distinct(), "month", "left_anti").select(new.columns).unionByName(new)
+
+
+def metrics_from_parts(revenue: DataFrame, predictions: DataFrame, parts: DataFrame) -> DataFrame:
+    """``monitor_metrics`` from the parts of the three newest months; of the two tables only the newest months are looked
+    up, and the URI on the newest predictions."""
+    newest = F.lit(revenue.agg(F.max("month")).first()[0]).cast("date")
+    newest_predicted = F.lit(predictions.agg(F.max("month")).first()[0]).cast("date")
+    found = predictions.where(F.col("month") == newest_predicted).agg(F.min("modelURI")).first()[0]
+    latest = F.lit(found).cast("string")
+    in_newest = F.col("month") == newest
+    in_two = F.col("month") >= shift_months(newest, -1)
+    other_model = F.coalesce(latest != F.col("modelURI"), F.lit(False))
+    by_latest = (F.col("month") > shift_months(newest_predicted, -3)) & ~other_model
+
+    def rmse(wanted: Column) -> Column:
+        return errors.rmse_from_parts(F.when(wanted, F.col("squares")), F.when(wanted, F.col("compared")))
+
+    row = parts.where(_window(newest)).agg(
+        newest.alias("month"),
+        rmse(in_newest).alias("RMSE_1"),
+        rmse(in_two & by_latest).alias("RMSE_2"),
+        rmse(by_latest).alias("RMSE_3"),
+        F.max(F.when(in_newest, F.col("largest"))).alias("maxErrorLastMonth"),
+        latest.alias("modelURI"),
+    )
+    return row.where(F.col("RMSE_1").isNotNull())
+
+
 def rmse_by_window(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
     """RMSE over the newest 1, 2 and 3 months, NULL where nothing could be compared."""
     names = ["RMSE_1", "RMSE_2", "RMSE_3"]

@@ -53,6 +53,22 @@ def monitor_metrics(spark, folder):
     return _rounded(monitoring.monitor_metrics(*_tables(spark, folder)), *METRICS)
 
 
+def monitor_error_parts(spark, folder):
+    return _rounded(monitoring.error_parts(*_tables(spark, folder)), "largest").withColumn("squares", common.digits("squares"))
+
+
+def monitor_metrics_from_parts(spark, folder):
+    """The sums as they were before the newest month came and half the clients' predictions of the month before it, then
+    brought up to date."""
+    revenue, predictions = _tables(spark, folder)
+    newest = F.lit(revenue.agg(F.max("month")).first()[0])
+    late = (F.col("month") >= F.add_months(newest, -1)) & (F.col("clientID") % 2 == 0)
+    before = monitoring.error_parts(revenue.where(F.col("month") < newest), predictions.where(~late))
+    before = stage(before, "parts")
+    held = monitoring.merged_parts(before, monitoring.new_parts(revenue, predictions, before))
+    return _rounded(monitoring.metrics_from_parts(revenue, predictions, held), *METRICS)
+
+
 def _decisions(spark, folder):
     """The decision under a threshold below the error and one above it."""
     metrics = monitoring.monitor_metrics(*_tables(spark, folder))
@@ -76,6 +92,8 @@ QUERIES = {
     "rmse_windows": rmse_windows,
     "max_error_last_month": max_error_last_month,
     "monitor_metrics": monitor_metrics,
+    "monitor_error_parts": monitor_error_parts,
+    "monitor_metrics_from_parts": monitor_metrics_from_parts,
     "gate_should_retrain": gate_should_retrain,
     "gate_any_match": gate_any_match,
 }
@@ -140,6 +158,22 @@ SELECT unnest([1, 2, 3]) AS months, unnest([round(one, 4), round(two, 4), round(
     "max_error_last_month": f"""
 WITH {_LATEST} SELECT round(worst, 4) AS "maxErrorLastMonth" FROM figures""",
     "monitor_metrics": f"WITH {METRICS_SQL} SELECT {METRICS_COLUMNS} FROM metrics",
+    "monitor_error_parts": f"""
+WITH {PREDICTIONS},
+paid AS (SELECT month, count(*) AS "revenueRows" FROM revenue GROUP BY month),
+told AS (SELECT month, count(*) AS "predictionRows" FROM predictions GROUP BY month),
+missed AS (
+    SELECT month, "modelURI", CAST(revenue AS DOUBLE) - "predictedRevenue" AS miss
+    FROM predictions JOIN revenue USING (clientID, month)
+),
+sums AS (
+    SELECT month, "modelURI", count(*) AS compared, sum(miss * miss) AS total, max(abs(miss)) AS worst
+    FROM missed GROUP BY month, "modelURI"
+)
+SELECT month, "modelURI", coalesce(compared, 0) AS compared, {common.digits_sql("total")} AS squares,
+       round(worst, 4) AS largest, "revenueRows", coalesce("predictionRows", 0) AS "predictionRows"
+FROM paid LEFT JOIN told USING (month) LEFT JOIN sums USING (month)""",
+    "monitor_metrics_from_parts": f"WITH {METRICS_SQL} SELECT {METRICS_COLUMNS} FROM metrics",
     "gate_should_retrain": f"{_GATE} SELECT message, threshold FROM gate",
     "gate_any_match": f"{_GATE} SELECT message, threshold, go AS should_continue FROM gate",
 }
