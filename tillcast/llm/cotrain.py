@@ -38,6 +38,8 @@ from tillcast.session import stage
 SAMPLE = 8_000
 FEATURES = 4096
 ROUNDS = 3
+#: Steps of a first fit; later ones start from its weights and take a quarter.
+STEPS = 400
 #: Probability from which a view hands on a pseudo-label, and the share of the unlabelled it hands on a round at most.
 SURE = 0.95
 SHARE = 0.1
@@ -268,13 +270,14 @@ def _drawn(pool: DataFrame, done: list[Exchange], rates: list[float], bound: int
     return out
 
 
-def _fit(parts: list[tuple[sparse.Rows, np.ndarray]], features: int) -> np.ndarray:
-    """A logistic regression on all parts."""
+def _fit(parts: list[tuple[sparse.Rows, np.ndarray]], features: int, start: np.ndarray | None) -> np.ndarray:
+    """A logistic regression on all parts, from the weights of the round before."""
     starts = np.cumsum([0, *(rows.count for rows, _ in parts)])
     joined = [np.concatenate([rows.row + at for (rows, _), at in zip(parts, starts, strict=False)])]
     joined += [np.concatenate([getattr(rows, name) for rows, _ in parts]) for name in ("feature", "value")]
     label = np.concatenate([y for _, y in parts]).astype(float)
-    return sparse.logistic(sparse.Rows(int(starts[-1]), *joined), label, features)
+    steps = STEPS if start is None else STEPS // 4
+    return sparse.logistic(sparse.Rows(int(starts[-1]), *joined), label, features, start=start, steps=steps)
 
 
 def co_train(
@@ -290,8 +293,9 @@ def co_train(
     own = [[(rows, label[~apart])] for rows in used.views]
     done: list[Exchange] = []
     number = [0, 0]  # labelled for each view so far
+    weights: tuple = (None, None)
     while True:
-        weights = tuple(_fit(parts, size) for parts, size in zip(own, sizes, strict=True))
+        weights = tuple(_fit(*view) for view in zip(own, sizes, weights, strict=True))
         if len(done) == rounds or not total:
             break
         least = {}

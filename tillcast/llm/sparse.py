@@ -133,11 +133,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def logistic(rows: Rows, label: np.ndarray, features: int, penalty: float = 1e-3) -> np.ndarray:
-    """Weights and, last, the intercept of a logistic regression."""
+def logistic(
+    rows: Rows, label: np.ndarray, features: int, penalty: float = 1e-3, start: np.ndarray | None = None, steps: int = 400
+) -> np.ndarray:
+    """Weights and, last, the intercept of a logistic regression; from weights of a like one, fewer steps are enough."""
 
     def gradient(w: np.ndarray) -> np.ndarray:
         error = (sigmoid(rows.times(w[:-1]) + w[-1]) - label) / max(1, len(label))
         return np.append(rows.back(error, features) + penalty * w[:-1], error.sum())
 
-    return descend(gradient, np.zeros(features + 1))
+    return descend(gradient, np.zeros(features + 1) if start is None else start, steps)
