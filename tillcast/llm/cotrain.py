@@ -221,8 +221,9 @@ def _pool(docs: DataFrame, labels: DataFrame, chosen: np.ndarray) -> DataFrame:
     # Hashes of 64 bits tell rows apart; the last column tells null texts from empty ones and the like.
     nulls = F.concat_ws("", *[F.col(c).isNull().cast("string") for c in ("doc_id", *TEXT)])
     rows = _view(docs).withColumn("h", F.xxhash64("doc_id", *TEXT, nulls))
-    free = _features(rows, chosen, "doc_id", "h").join(known, "doc_id", "left_anti").drop("doc_id")
-    return stage(free.dropDuplicates(["h"]), "pool")
+    # Only ids and hashes meet the labels; features are shuffled once, by h, for both the grouping and the join.
+    free = rows.select("doc_id", "h").join(known, "doc_id", "left_anti").select("h").distinct()
+    return stage(_features(rows, chosen, "h").dropDuplicates(["h"]).join(free, "h", "left_semi"), "pool")
 
 
 def _counts(pool: DataFrame, done: list[Exchange], weights: tuple[np.ndarray, np.ndarray]) -> dict:
