@@ -21,7 +21,6 @@ def brute(rows):
             starts += 1
     total = sum(uni.values())
     norm = total + 0.5 * (len(uni) + 1)
-    least = max(M.FREQUENT_COUNT, total * M.FREQUENT_SHARE)
     out = []
     for i, held, tokens in own:
         base = score = 0.0
@@ -29,12 +28,7 @@ def brute(rows):
             p = (uni[w] + 0.5) / norm
             c = starts if u == "\1" else uni[u]
             base += math.log10(p)
-            if u == "\1" and not c:
-                score += math.log10(p)
-            elif u == "\1" or c >= least:
-                score += math.log10((1 - M.LAMBDA) * bi[u, w] / c + M.LAMBDA * p)
-            else:
-                score += math.log10((bi[u, w] + M.MU * p) / (c + M.MU))
+            score += math.log10((bi[u, w] + M.MU * p) / (c + M.MU))
         out.append((i, held, len(tokens), sum(uni[w] > 0 for w in tokens), total, base, score))
     return sorted(out, key=repr)
 
@@ -65,6 +59,16 @@ def test_whole_table(table, monkeypatch, tokens):
     check(docs, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
 
 
+@pytest.mark.parametrize("count, share", [(64, 0.5), (10**9, 0.0), (2, 0.0)])
+def test_scores_do_not_depend_on_which_words_are_frequent(make, monkeypatch, count, share):
+    """As on a corpus so large that a context seen hundreds of times is rare, and on one where every word is frequent."""
+    monkeypatch.setattr(M, "FREQUENT_COUNT", count)
+    monkeypatch.setattr(M, "FREQUENT_SHARE", share)
+    draw = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{n}" for n in draw.zipf(1.5, 60) % 300)) for i in range(200)]
+    check(make(rows), rows)
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(table):
     held = M.score(table("documents")).where("held_out").toPandas()
     assert held.score.sum() > held.base_score.sum()
