@@ -144,3 +144,172 @@ def test_rows_are_appended_once_and_runs_last(spark, monkeypatch):
         assert {t: n for t, n in counts.items() if n} == {
             "runs": 2, "metrics": 4, "latest_metrics": 4, "params": 4, "tags": 2, "logged_models": 2
         }
+
+
+def _files(spark, table):
+    """What lies in a table's folder: name and time of change."""
+    import os
+
+    found = {}
+    for path in spark.table(table).inputFiles():
+        path = path.removeprefix("file://").removeprefix("file:")
+        found[path] = os.stat(path).st_mtime_ns
+    return found
+
+
+@pytest.fixture
+def many_runs(spark):
+    """A stored ledger of 60 runs in eight slices, every third one with a registered version and an alias."""
+    name = "ledger_" + uuid.uuid4().hex[:8]
+    sinks.create_schema(spark, name, session.new_folder(spark, name))
+    ledger_store.create_ledger(spark, name, slices=8)
+    ids = [f"run{i}" for i in range(60)]
+    rows = {
+        "experiments": [(1, "revenue", "active")],
+        "runs": [(i, 1, START, "active", f"runs:/{i}") for i in ids],
+        "metrics": [(i, "mse", 1.0) for i in ids],
+        "latest_metrics": [(i, "mse", 1.0) for i in ids],
+        "params": [(i, "positive", "true") for i in ids],
+        "tags": [(i, "team", "x") for i in ids],
+        "model_versions": [(f"m{i}", 1, f"models:/{i}", i, "Production", "READY") for i in ids[::3]],
+        "registered_models": [(f"m{i}", "active") for i in ids[::3]],
+        "aliases": [(f"m{i}", "best", 1) for i in ids[::3]],
+    }
+    ledger_store.append_rows({t: literal_rows(spark, r, COLUMNS[t]) for t, r in rows.items()}, name)
+    return name
+
+
+def _slices(spark, store, ids):
+    wanted = spark.createDataFrame([(i,) for i in ids], "run_uuid string")
+    from pyspark.sql import functions as F
+
+    return wanted, {r[0] for r in wanted.select(ledger_store.slice_of(F.col("run_uuid"), 8)).collect()}
+
+
+def test_a_delete_leaves_the_files_of_other_slices_alone(spark, many_runs):
+    gone, hit = _slices(spark, many_runs, ["run0", "run1"])
+    before = {t: _files(spark, f"{many_runs}.{t}") for t in RUN_TABLES}
+    ledger_store.change_runs(
+        spark, many_runs, gone, lambda ledger: delete.hard_delete_runs(ledger, gone), removing=True
+    )
+    for table in RUN_TABLES:
+        after = _files(spark, f"{many_runs}.{table}")
+        others = {p: t for p, t in before[table].items() if not any(f"slice={n}/" in p for n in hit)}
+        assert others and others == {p: t for p, t in after.items() if not any(f"slice={n}/" in p for n in hit)}
+        left = spark.table(f"{many_runs}.{table}")
+        assert left.count() == 58 and left.where("run_uuid IN ('run0', 'run1')").isEmpty()
+
+
+def test_slices_left_without_runs_are_empty(spark, many_runs):
+    """Every run of a slice deleted: its partition goes, and no other row."""
+    runs = spark.table(f"{many_runs}.runs")
+    first = runs.first()["slice"]
+    gone = session.stage(runs.where(runs["slice"] == first).select("run_uuid"), "gone")
+    change = lambda ledger: delete.hard_delete_runs(ledger, gone)
+    for _ in range(2):
+        ledger_store.change_runs(spark, many_runs, gone, change, removing=True)
+        for table in RUN_TABLES:
+            assert spark.table(f"{many_runs}.{table}").count() == 60 - gone.count()
+            assert spark.table(f"{many_runs}.{table}").where(f"slice = {first}").isEmpty()
+    nothing = gone.limit(0)
+    ledger_store.change_runs(spark, many_runs, nothing, change, removing=True)
+
+
+def test_soft_delete_and_restore_of_slices_give_the_same_ledger(spark, many_runs, rows):
+    def all_rows():
+        return {t: rows(df) for t, df in ledger_store.open_ledger(spark, many_runs).tables().items()}
+
+    before = all_rows()
+    ids, _ = _slices(spark, many_runs, ["run3", "run4"])
+    ledger_store.change_runs(spark, many_runs, ids, lambda x: delete.soft_delete_runs(x, ids), removing=True)
+    hidden = ledger_store.open_ledger(spark, many_runs)
+    assert hidden.runs.where("lifecycle_stage = 'deleted'").count() == 2
+    assert hidden.aliases.where("name = 'mrun3'").isEmpty() and hidden.aliases.count() == 19
+    ledger_store.change_runs(spark, many_runs, ids, lambda x: delete.restore_runs(x, ids), removing=False)
+    assert all_rows() == before
+
+
+@pytest.mark.parametrize("stops_at", [2, 5, 9])
+def test_a_stopped_delete_is_finished_by_a_second_call(spark, many_runs, rows, monkeypatch, stops_at):
+    """Stopped before the second, fifth and last table; no alias or version is left that points at nothing."""
+    ids, _ = _slices(spark, many_runs, ["run6", "run7"])
+
+    def change(ledger):
+        hidden = delete.soft_delete_runs(ledger, ids)
+        return delete.hard_delete_runs(delete.delete_versions_by_source(
+            hidden, ledger.model_versions.where("run_id = 'run6'").selectExpr("source AS model_uri")), ids)
+
+    calls, rebuild, overwrite = [], sinks.rebuild_tables, sinks.overwrite_partitions
+
+    def counted(real):
+        def call(*args):
+            calls.append(1)
+            if len(calls) == stops_at:
+                raise RuntimeError("stopped")
+            return real(*args)
+
+        return call
+
+    monkeypatch.setattr(sinks, "rebuild_tables", counted(rebuild))
+    monkeypatch.setattr(sinks, "overwrite_partitions", counted(overwrite))
+    with pytest.raises(RuntimeError):
+        ledger_store.change_runs(spark, many_runs, ids, change, removing=True)
+    half = ledger_store.open_ledger(spark, many_runs)
+    assert half.aliases.join(half.model_versions, ["name", "version"], "left_anti").isEmpty()
+    ledger_store.change_runs(spark, many_runs, ids, change, removing=True)
+    whole = ledger_store.open_ledger(spark, many_runs)
+    assert whole.model_versions.where("name = 'mrun6'").isEmpty() and whole.model_versions.count() == 19
+    assert whole.aliases.count() == whole.registered_models.count() == 19
+    assert {t: getattr(whole, t).count() for t in RUN_TABLES} == dict.fromkeys(RUN_TABLES, 58)
+
+
+def test_an_update_goes_on_where_it_stopped(spark, revenue, monkeypatch):
+    """Stopped in every step and in the middle of the switch; steps that were finished do not run again, and the ledger
+    in the end is that of an update without a stop."""
+    metrics = literal_rows(spark, [(dt.date(2025, 6, 1), 50.0, None, None, 60.0, "u")], METRICS)
+    better = literal_rows(spark, [(dt.date(2025, 6, 1), 1.0, None, None, 1.0, "u")], METRICS)
+
+    def new_store():
+        name = "ledger_" + uuid.uuid4().hex[:8]
+        sinks.create_schema(spark, name, session.new_folder(spark, name))
+        ledger_store.create_ledger(spark, name, slices=4)
+        experiment = literal_rows(spark, [(1, "revenue", "active")], COLUMNS["experiments"])
+        ledger_store.append_rows({"experiments": experiment}, name)
+        return name
+
+    def run(store, metrics):
+        return update.update_model(spark, store, revenue, metrics, 10, *RANGES, "revenue", "revenue_model", START)
+
+    def held(store):
+        tables = ledger_store.open_ledger(spark, store).tables()
+        return {t: sorted(map(tuple, df.collect()), key=repr) for t, df in tables.items()}
+
+    smooth, store = new_store(), new_store()
+    message = run(smooth, metrics)
+    ran, stopping = [], None
+
+    def watched(module, name):
+        real = getattr(module, name)
+
+        def call(*args, **more):
+            ran.append(name)
+            if stopping == name:
+                raise RuntimeError(name)
+            return real(*args, **more)
+
+        monkeypatch.setattr(module, name, call)
+
+    for name in ("run_training", "run_evaluation", "next_versions", "replace_tables"):
+        watched(update, name)
+    watched(sinks, "_take_place")
+    for stopping in ("run_training", "run_evaluation", "next_versions", "replace_tables", "_take_place"):
+        with pytest.raises(RuntimeError, match=stopping):
+            run(store, metrics)
+    stopping = None
+    # The decision was made by the first call.
+    assert run(store, better) == message == '{"should_retrain":true}'
+    assert ran.count("run_training") == ran.count("run_evaluation") == ran.count("next_versions") == 2
+    assert held(store) == held(smooth)
+    ran.clear()
+    assert run(store, metrics) == message
+    assert ran == [] and held(store) == held(smooth)

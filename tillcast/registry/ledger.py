@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,9 +12,11 @@ from tillcast.operators import ledger_delete as delete
 from tillcast.operators import ledger_search as texts
 from tillcast.operators import ledger_write as write
 from tillcast.operators.pairs import evaluation_pairs
-from tillcast.plans import training, update
+from tillcast.plans import ledger_store, training, update
 from tillcast.registry.common import EVALUATION_RANGE, digits, revenue
 from tillcast.registry.forecast import EVALUATED
+from tillcast.session import new_folder, stage
+from tillcast.sources import sinks
 from tillcast.sources.retail_ledger import ledger
 
 EXPERIMENT = "1-URGENT"
@@ -215,6 +218,19 @@ def ledger_hard_delete_runs(spark, folder):
     return _ids(delete.hard_delete_runs(tables, _deleted_runs(tables)), *search.RUN_TABLES)
 
 
+def ledger_delete_slices(spark, folder):
+    """The ledger stored with its run tables in slices, and the softly deleted runs removed slice by slice: what remains
+    of each run table."""
+    tables = ledger(spark, folder)
+    schema = f"tc_{uuid.uuid4().hex[:12]}"
+    sinks.create_schema(spark, schema, new_folder(spark, schema))
+    ledger_store.create_ledger(spark, schema, slices=8)
+    ledger_store.append_rows({table: getattr(tables, table) for table in search.RUN_TABLES}, schema)
+    gone = stage(_deleted_runs(tables).select("run_uuid"), "gone")
+    ledger_store.change_runs(spark, schema, gone, lambda x: delete.hard_delete_runs(x, gone), removing=True)
+    return _ids(ledger_store.open_ledger(spark, schema), *search.RUN_TABLES)
+
+
 def ledger_hard_delete_models(spark, folder):
     """Models of the softly deleted runs removed, with their versions."""
     tables = ledger(spark, folder)
@@ -579,6 +595,9 @@ SELECT 'version', name || ':' || version, CASE WHEN name < '{SOME}' THEN 'Delete
 FROM model_versions""",
     "ledger_hard_delete_runs": f"""
 WITH {LONG}, latest_metrics AS (SELECT * FROM metrics)
+{_ids_sql(*[(table, _RUN_OK) for table in search.RUN_TABLES])}""",
+    "ledger_delete_slices": f"""
+WITH {LONG}, latest_metrics AS (SELECT * FROM metrics)
 {_ids_sql(*[(table, _RUN_OK) for table in search.RUN_TABLES])}""",
     "ledger_hard_delete_models": f"""
 WITH {ALL}
