@@ -1,7 +1,8 @@
 """The ledger as catalog tables of one schema.
 
-The run tables are partitioned by ``slice``, a hash of the run, so a delete or restore reads and rewrites only the slices
-of its runs, and no experiment makes a large partition. The column is the stored tables' own; an opened ledger lacks it.
+A ledger made with ``slices`` has its run tables partitioned by ``slice``, a hash of the run, so a delete or restore reads
+and rewrites only the slices of its runs, and no experiment makes a large partition. The column is the stored tables'
+own: ``append_rows`` fills it, and an opened ledger lacks it.
 """
 
 from __future__ import annotations
@@ -15,18 +16,17 @@ from tillcast.operators.ledger import COLUMNS, OPTIONAL, RUN_TABLES, Ledger
 from tillcast.session import stage
 from tillcast.sources import sinks
 
-#: Slices of a new ledger's run tables.
-SLICES = 256
 SLICE = "slice"
 _SLICES_SET = "ledger.slices"
 
 
-def create_ledger(spark: SparkSession, schema: str, slices: int = SLICES) -> None:
-    """Create the tables that are not there; ``slices`` holds for new ledgers."""
+def create_ledger(spark: SparkSession, schema: str, slices: int | None = None) -> None:
+    """Create the tables that are not there. ``slices``, for run tables too large to be rewritten for a delete, holds
+    for new tables; rows are then appended by ``append_rows`` only."""
     sliced = f", {SLICE} int"
     for table, columns in {**COLUMNS, **OPTIONAL}.items():
         name = f"{schema}.{table}"
-        if table not in RUN_TABLES:
+        if table not in RUN_TABLES or slices is None:
             sinks.create_table_if_absent(spark, name, columns)
         elif not spark.catalog.tableExists(name):
             sinks.create_table_if_absent(spark, name, columns + sliced, sinks.Layout(partition_by=(SLICE,)))
@@ -38,7 +38,7 @@ def slices_of(spark: SparkSession, table: str) -> int | None:
     if SLICE not in spark.table(table).columns:
         return None
     told = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return int(told.get(_SLICES_SET, SLICES))
+    return int(told[_SLICES_SET])
 
 
 def slice_of(run: Column, slices: int) -> Column:
