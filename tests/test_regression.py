@@ -242,3 +242,61 @@ def test_opaque_models(spark, monkeypatch):
     assert empty.count() == 0
     with pytest.raises(ValueError):
         scoring.evaluate_opaque(models, pairs_.limit(0), load)
+
+
+def test_opaque_models_take_one_job(spark, monkeypatch):
+    """However many blocks of models there are: as many jobs, and every model loaded once."""
+    monkeypatch.setattr(scoring, "BLOCK_OF_MODELS", 4)
+    rows = [(c % 5, float(c), float(3 * c)) for c in range(60)]
+    pairs_ = literal_rows(spark, rows, PAIR).repartition(6)
+    loads = spark.sparkContext.accumulator(0)
+
+    def load(a):
+        loads.add(1)
+        return lambda x: a * x["revenueLastMonth"]
+
+    def jobs(count):
+        models = literal_rows(spark, [(float(i),) for i in range(count)], "a double")
+        group = f"opaque-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            found = {r.a: r.mse for r in scoring.evaluate_opaque(models, pairs_, load, ["a"]).collect()}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert found == {float(a): pytest.approx(np.mean([(y - a * x) ** 2 for _, x, y in rows])) for a in range(count)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(8) == jobs(96)
+    assert loads.value == 8 + 96
+
+
+def test_opaque_models_in_parts(spark, monkeypatch):
+    """Rows and models in many blocks and parts; equal models, arrays and nulls among what tells models apart."""
+    monkeypatch.setattr(scoring, "BLOCK_OF_MODELS", 3)
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 7 * 24)
+    monkeypatch.setattr(scoring, "BLOCKS_OF_TASK", 2)
+    monkeypatch.setattr(scoring, "PREDICTIONS_OF_TASK", 90)
+    assert scoring._parts(23, 100, 7, 8) == (4, 8)
+    rows = [(c % 7, float(c * c % 53), float(c % 11)) for c in range(100)]
+    given = [(i, None if i == 5 else f"m{i}", [0.1 * i, 1.0 - i]) for i in range(23)]
+    models = literal_rows(spark, [*given, *given[3:6]], "number int, model_uri string, weights array<double>")
+
+    def load(uri, weights):
+        assert isinstance(weights, tuple)
+        return lambda x: x["clientID"] * weights[0] + x["revenueLastMonth"] * weights[1] + (uri is None)
+
+    pairs_ = literal_rows(spark, rows, PAIR).repartition(5)
+    found = scoring.evaluate_opaque(models, pairs_, load, ["model_uri", "weights"]).collect()
+    assert sorted(r.number for r in found) == sorted([*range(23), 3, 4, 5])
+    for r in found:
+        told = [c * r.weights[0] + x * r.weights[1] + (r.model_uri is None) for c, x, _ in rows]
+        assert r.n == 100 and r.mse == pytest.approx(np.mean([(y - p) ** 2 for p, (_, _, y) in zip(told, rows)]))
+
+
+def test_opaque_models_get_values_without_a_copy(spark):
+    rows = literal_rows(spark, [(c, float(c), 1.0) for c in range(50)], PAIR)
+    models = literal_rows(spark, [("m",)], "model_uri string")
+    shared = scoring.evaluate_opaque(
+        models, rows, lambda uri: lambda x: np.full(len(x), float(np.shares_memory(x.to_numpy(), x.to_numpy())))
+    )
+    assert shared.first().mse == 0

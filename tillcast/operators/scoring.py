@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -10,12 +11,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tillcast.contracts import FEATURES, LABEL
 from tillcast.functions import errors
 from tillcast.functions.dates import month_from_parts, shift_months
 from tillcast.operators.regression import LinearModel, collect_moments
+from tillcast.session import stage
 
 
 def backlog(revenue: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -66,33 +67,105 @@ def evaluate_scored(rows: DataFrame, actual: str = "revenue", predicted: str = "
     return rows.agg(F.count(y).alias("n"), errors.mse(y, p).alias("mse"), errors.r2(y, p).alias("r2"))
 
 
-#: Models of a worker that stay loaded; then it starts anew.
-_LOADED: dict[tuple, Callable] = {}
-MOST_LOADED = 1000
-#: Models that one pass over the rows evaluates.
-BLOCK_OF_MODELS = 500
+#: Models that a worker has loaded at a time.
+BLOCK_OF_MODELS = 1000
+#: Bytes of features and label that a model gets at a time: many enough to make a call worth its while, few enough for
+#: a core's share of the cache.
+BLOCK_BYTES = 2**21
+#: Blocks of rows, and predictions, of one task at most.
+BLOCKS_OF_TASK = 16
+PREDICTIONS_OF_TASK = 2**31
+_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
 
+#: The models that a worker loaded last.
+_LOADED: dict[tuple, list[Callable]] = {}
 
-def _partial_errors(models: Sequence[tuple], load: Callable, told: str, names: Sequence[str]):
-    """Arrow function: rows to (place, total), each model's sum of squared errors over a partition."""
+
+def _in_blocks(most: int, pack: Callable[[pa.Table], bytes]):
+    """Arrow function: rows to blocks of at most ``most`` rows, each a row (first, block) with its first value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(rows: pa.Table) -> pa.RecordBatch:
+            first = rows.column(0).slice(0, 1).combine_chunks()
+            return pa.RecordBatch.from_pydict({"first": first, "block": [pack(rows)]})
+
+        held = None
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            while held.num_rows >= most:
+                yield packed(held.slice(0, most))
+                held = held.slice(most)
+        if held is not None and held.num_rows:
+            yield packed(held)
+
+    return run
+
+
+def _pack_rows(rows: pa.Table) -> bytes:
+    """Doubles, one column after the other."""
+    return np.stack([column.to_numpy() for column in rows.columns]).tobytes()
+
+
+def _pack_models(rows: pa.Table) -> bytes:
+    return pickle.dumps((rows.column(0).to_numpy(), rows.column(1).to_pylist()))
+
+
+def _loaded(told: str, first: int, models: Sequence[bytes], load: Callable) -> list[Callable]:
+    """The functions of a block of models; they stay with the worker until it gets another block."""
+    if (told, first) not in _LOADED:
+        _LOADED.clear()
+        _LOADED[told, first] = [load(*pickle.loads(model)) for model in models]
+    return _LOADED[told, first]
+
+
+def _partial_errors(load: Callable, told: str, names: Sequence[str], most: int):
+    """Arrow function: blocks of models beside blocks of rows to (_place, total), a model's sum of squared errors."""
+
+    def missed_by(functions: Sequence[Callable], blocks: Sequence[np.ndarray]) -> np.ndarray:
+        data = np.concatenate(blocks, axis=1)
+        # One array under the whole frame: a model that asks for its values gets them without a copy.
+        inputs, actual = pd.DataFrame(data[:-1].T, columns=list(names)), data[-1]
+        missed, totals = np.empty_like(actual), np.empty(len(functions))
+        for place, function in enumerate(functions):
+            np.subtract(actual, np.asarray(function(inputs), dtype=float), out=missed)
+            totals[place] = missed @ missed
+        return totals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if len(_LOADED) > MOST_LOADED:
-            _LOADED.clear()
-        totals = np.zeros(len(models))
+        block, places, functions, waiting = None, None, (), []
+
+        def found() -> pa.RecordBatch:
+            totals = missed_by(functions, waiting)
+            waiting.clear()
+            return pa.RecordBatch.from_pydict({"_place": places, "total": totals})
+
         for batch in batches:
-            frame = batch.to_pandas()
-            actual, inputs = frame.pop("actual").to_numpy(), frame[list(names)]
-            for place, model in enumerate(models):
-                if (told, *model) not in _LOADED:
-                    _LOADED[told, *model] = load(*model)
-                missed = actual - np.asarray(_LOADED[told, *model](inputs), dtype=float)
-                totals[place] += missed @ missed
-        yield pa.RecordBatch.from_pydict({"place": np.arange(len(models), dtype=np.int64), "total": totals})
+            for first, models, data in zip(*batch.columns, strict=True):
+                if block != first.as_py():
+                    if waiting:
+                        yield found()
+                    block, (places, packed) = first.as_py(), pickle.loads(models.as_buffer())
+                    functions = _loaded(told, block, packed, load)
+                waiting.append(np.frombuffer(data.as_py()).reshape(len(names) + 1, -1))
+                if sum(rows.shape[1] for rows in waiting) >= most:
+                    yield found()
+        if waiting:
+            yield found()
 
     return run
 
 
+def _parts(models: int, rows: int, most: int, cores: int) -> tuple[int, int]:
+    """Parts of the models and of the rows; each part of the one meets each of the other in a task.
+
+    Few parts of the rows, as every one loads all models; many of the models, as every one reads all rows.
+    """
+    by_rows = max(-(-rows // (most * BLOCKS_OF_TASK)), min(-(-rows // most), 2 * cores // max(1, models)), 1)
+    tasks = max(-(-models * rows // PREDICTIONS_OF_TASK), 2 * cores)
+    return max(1, min(models, -(-tasks // by_rows))), by_rows
+
+
 def evaluate_opaque(
     models: DataFrame,
     rows: DataFrame,
@@ -103,31 +176,47 @@ def evaluate_opaque(
 ) -> DataFrame:
     """Adds ``n``, ``mse`` and ``r2`` to models that are only known as Python functions, any number of them.
 
-    ``load`` makes a function of a frame of features from a model's columns ``by``; a worker calls it once a model. A
-    pass over the rows evaluates a block of models: each partition gives one sum of squared errors a model, which Spark
-    adds up, so neither rows nor predictions are shuffled. Only the models' own columns ``by`` come to the driver, a
-    block at a time. Rows without a feature or label, or no rows at all, are an error.
+    ``load`` makes a function of a frame of features from a model's columns ``by``. One job evaluates all models: a
+    task takes some blocks of models and some of rows, loads a block of models once, runs it over all its rows and
+    gives each model's sums of squared errors, which Spark adds up. Neither models, rows nor predictions come to the
+    driver, and predictions are not shuffled. Rows without a feature or label, or no rows at all, are an error.
     """
+    spark, told = rows.sparkSession, uuid.uuid4().hex
     spread = collect_moments(rows, features, label)
     spread.check()
+    named = stage(models.select(*by).distinct().withColumn("_place", F.monotonically_increasing_id()), "models")
+    count, most = named.count(), max(1, BLOCK_BYTES // (8 * (len(features) + 1)))
+    by_models, by_rows = _parts(count, spread.n, most, spark.sparkContext.defaultParallelism)
+
+    @F.udf("binary")
+    def one_model(*model) -> bytes:
+        return pickle.dumps(tuple(tuple(v) if isinstance(v, list) else v for v in model))
+
+    in_block = max(1, min(BLOCK_OF_MODELS, -(-count // by_models)))
+    model_blocks = (
+        named.select("_place", one_model(*by))
+        .mapInArrow(_in_blocks(in_block, _pack_models), "first bigint, block binary")
+        .select("first", F.col("block").alias("models"))
+        .repartition(by_models)
+    )
     inputs = [F.col(c).cast("double").alias(c) for c in features]
-    inputs = rows.select(*inputs, F.col(label).cast("double").alias("actual"))
-    told, block, parts = uuid.uuid4().hex, [], None
-    columns = models.select(*by).distinct()
-
-    def evaluated(block: Sequence[tuple]) -> DataFrame:
-        partial = inputs.mapInArrow(_partial_errors(block, load, told, features), "place bigint, total double")
-        totals = partial.groupBy("place").agg(F.sum("total").alias("total")).collect()  # one row a model of the block
-        found = [(*block[row.place], row.total / spread.n) for row in totals]
-        return rows.sparkSession.createDataFrame(found, StructType([*columns.schema, StructField("mse", DoubleType())]))
-
-    for row in columns.toLocalIterator():
-        block.append(tuple(tuple(v) if isinstance(v, list) else v for v in row))
-        if len(block) == BLOCK_OF_MODELS:
-            parts, block = evaluated(block) if parts is None else parts.unionByName(evaluated(block)), []
-    if block or parts is None:
-        parts = evaluated(block) if parts is None else parts.unionByName(evaluated(block))
-    named = parts.select(*(F.col(c).alias(f"_{c}") for c in by), "mse")
+    row_blocks = (
+        rows.select(*inputs, F.col(label).cast("double").alias("actual"))
+        .mapInArrow(_in_blocks(most, _pack_rows), "first double, block binary")
+        .select(F.col("block").alias("rows"))
+        .repartition(by_rows)
+    )
+    # Every model meets every row: a task for each part of the blocks of models and each of the blocks of rows.
+    met = model_blocks.hint("shuffle_replicate_nl").crossJoin(row_blocks)
+    partial = met.mapInArrow(_partial_errors(load, told, features, most), "_place bigint, total double")
+    totals = partial.groupBy("_place").agg((F.sum("total") / F.lit(spread.n)).alias("mse"))
+    bound = spark.conf.get(_BOUND, None)
+    spark.conf.set(_BOUND, str(BLOCK_BYTES))  # a block of rows is a batch of its own
+    try:
+        found = stage(named.join(totals, "_place").select(*by, "mse"), "errors")
+    finally:
+        spark.conf.unset(_BOUND) if bound is None else spark.conf.set(_BOUND, bound)
+    named = found.select(*(F.col(c).alias(f"_{c}") for c in by), "mse")
     same = F.lit(True)
     for c in by:
         same = same & models[c].eqNullSafe(named[f"_{c}"])

@@ -79,11 +79,18 @@ def evaluate_all_models(spark, folder):
 
 def _as_function(model_uri, intercept, coefficients):
     """A logged model as a function that tells nothing about itself."""
-    return lambda x: intercept + x.to_numpy() @ np.array(coefficients)
+    weights = np.array(coefficients)
+
+    def predict(x):
+        told = x.to_numpy() @ weights
+        told += intercept
+        return told
+
+    return predict
 
 
 def evaluate_opaque_models(spark, folder):
-    """Every logged model, evaluated as a Python function in one pass over the pairs."""
+    """Every logged model, evaluated as a Python function in one job over models and pairs."""
     models = retail_ledger.ledger(spark, folder).logged_models
     rows = stage(_evaluation_pairs(spark, folder), "pairs")
     evaluated = scoring.evaluate_opaque(models, rows, _as_function, ["model_uri", "intercept", "coefficients"])
